@@ -15,9 +15,8 @@ def first_per_key(rows: DataFrame, keys: Sequence[str] = KEYS,
     """The row with the smallest `order` of every key.
 
     `min_by` combines on the map side, so a key with very many rows sends one
-    row per task over the network. `order` should end in a unique column when
-    equal times are possible; the first column that is not a key breaks ties
-    no further.
+    row per task over the network. End `order` in a unique column where equal
+    times are possible; otherwise any of the equal rows may be kept.
     """
     rest = [c for c in rows.columns if c not in keys]
     first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_first")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,12 +14,14 @@ def write_topic(messages: DataFrame, path: str, topic: str) -> None:
      .write.mode("append").partitionBy("topic").text(path))
 
 
-def write_in_time_order(rows: DataFrame, time: str, slices: int, write) -> None:
+def feed_in_time_order(rows: DataFrame, time: str, slices: int,
+                       write: Callable[[DataFrame], None],
+                       after_each: Callable[[], None] = lambda: None) -> None:
     """Hand `rows` to `write` in equal spans of `time`, the earliest first.
 
-    Each span is its own job, so the files of a later span are newer and a file
-    stream meets them in order. Only the smallest and largest time come to the
-    driver.
+    Run the stream in `after_each` to make every span one micro-batch; it then
+    also restarts from its checkpoint each time. Only the smallest and largest
+    time come to the driver.
     """
     low, high = rows.agg(F.min(time), F.max(time)).first()
     if low is None:
@@ -25,3 +29,4 @@ def write_in_time_order(rows: DataFrame, time: str, slices: int, write) -> None:
     step = (high - low) // slices + 1
     for i in range(slices):
         write(rows.filter((F.col(time) >= low + i * step) & (F.col(time) < low + (i + 1) * step)))
+        after_each()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,18 +24,20 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType,
 
 def read_partitions(spark: SparkSession, path: str, schema: T.StructType, column: str,
                     values: Sequence[str | int]) -> DataFrame:
-    """The given partitions only, found by name, so the other folders are not even listed."""
+    """The given partitions only, found by name, so files of the others are not even listed.
+
+    Partitions that do not exist are left out.
+    """
     full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    if column not in full.names:
-        full = full.add(column, T.LongType() if values and isinstance(values[0], int) else T.StringType())
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    folders = [f"{path}/{column}={v}" for v in values]
-    present = [f for f in folders if files.exists(jvm.org.apache.hadoop.fs.Path(f))]
-    if not present:
+    if column not in schema.names:
+        full.add(column, T.LongType() if values and isinstance(values[0], int) else T.StringType())
+    folders = ",".join(f"{column}={v}" for v in values)
+    try:
+        return spark.read.schema(full).option("basePath", path).parquet(f"{path}/{{{folders}}}")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], full)
-    return spark.read.schema(full).option("basePath", path).parquet(*present)
 
 
 def latest_per_key(rows: DataFrame, key: str, version: Sequence[str] = ("batch_id",)) -> DataFrame:
