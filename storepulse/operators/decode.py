@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,8 +54,13 @@ def _also_reject(rows: DataFrame, checks: list[tuple[Column, str]]) -> DataFrame
     return rows.withColumn("_error", F.coalesce("_error", _first_error(checks)))
 
 
-def _decode_log(rows: DataFrame, schema: T.StructType, value: str) -> DataFrame:
-    logs = _also_reject(decode_json(rows, schema, value), [
+def _with_text(schema: T.StructType, extra: Sequence[str]) -> T.StructType:
+    return T.StructType(schema.fields + [T.StructField(c, T.StringType()) for c in extra])
+
+
+def _decode_log(rows: DataFrame, schema: T.StructType, value: str,
+                extra: Sequence[str]) -> DataFrame:
+    logs = _also_reject(decode_json(rows, _with_text(schema, extra), value), [
         (F.col("mid").isNull(), "missing_mid"),
         (F.col("ts").isNull(), "missing_ts"),
     ])
@@ -61,12 +68,14 @@ def _decode_log(rows: DataFrame, schema: T.StructType, value: str) -> DataFrame:
                              "log_hour": times.log_hour(F.col("ts"))})
 
 
-def decode_startup(rows: DataFrame, value: str = "value") -> DataFrame:
-    return _decode_log(rows, schemas.STARTUP, value)
+def decode_startup(rows: DataFrame, value: str = "value", extra: Sequence[str] = ()) -> DataFrame:
+    """App starts with their day and hour; `extra` names further fields to keep as text."""
+    return _decode_log(rows, schemas.STARTUP, value, extra)
 
 
-def decode_event(rows: DataFrame, value: str = "value") -> DataFrame:
-    return _decode_log(rows, schemas.EVENT, value)
+def decode_event(rows: DataFrame, value: str = "value", extra: Sequence[str] = ()) -> DataFrame:
+    """User actions with their day and hour."""
+    return _decode_log(rows, schemas.EVENT, value, extra)
 
 
 def decode_order(rows: DataFrame, value: str = "value") -> DataFrame:

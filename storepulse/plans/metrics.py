@@ -52,11 +52,15 @@ def new_devices(dau: DataFrame, day: str) -> DataFrame:
             .agg(F.count("*").alias("ct")))
 
 
-def realtime_total(dau: DataFrame, orders: DataFrame, day: str) -> DataFrame:
-    """The three totals in display order: `ord`, `id`, `name`, `value`."""
+def realtime_total(dau: DataFrame, orders: DataFrame, day: str,
+                   history: DataFrame | None = None) -> DataFrame:
+    """The three totals in display order: `ord`, `id`, `name`, `value`.
+
+    New devices are looked up in `history` (mid, log_date), by default `dau` itself.
+    """
     totals = [
         (schemas.METRIC_DAU, dau_total(dau, day)),
-        (schemas.METRIC_NEW_MID, new_devices(dau, day)),
+        (schemas.METRIC_NEW_MID, new_devices(dau if history is None else history, day)),
         (schemas.METRIC_ORDER_AMOUNT, order_amount(orders, day)),
     ]
     rows = None
@@ -69,13 +73,14 @@ def realtime_total(dau: DataFrame, orders: DataFrame, day: str) -> DataFrame:
     return rows
 
 
-def realtime_total_json(dau: DataFrame, orders: DataFrame, day: str) -> DataFrame:
+def realtime_total_json(dau: DataFrame, orders: DataFrame, day: str,
+                        history: DataFrame | None = None) -> DataFrame:
     """The totals as one JSON array; counts are whole numbers, a missing amount has no value."""
     counted = F.col("id") != schemas.METRIC_ORDER_AMOUNT
-    item = F.when(counted, F.to_json(F.struct("id", "name", F.col("value").cast("long")))
+    item = F.when(counted, F.to_json(F.struct("id", "name", F.col("value").cast("long").alias("value")))
                   ).otherwise(F.to_json(F.struct("id", "name", "value")))
     items = F.sort_array(F.collect_list(F.struct("ord", item.alias("item"))))
-    return realtime_total(dau, orders, day).agg(
+    return realtime_total(dau, orders, day, history).agg(
         F.concat(F.lit("["), F.array_join(F.transform(items, lambda i: i["item"]), ","), F.lit("]"))
         .alias("json"))
 

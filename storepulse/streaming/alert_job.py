@@ -26,7 +26,7 @@ from storepulse import schemas
 from storepulse.functions import times
 from storepulse.operators import alerts, decode
 from storepulse.operators.sliding import (
-    AlertRule, alert_spans, last_window_per_minute, window_end_s)
+    AlertRule, alert_spans, last_window_per_minute, window_end_s, with_pane)
 from storepulse.sources import tables
 from storepulse.streaming import sinks
 
@@ -74,12 +74,13 @@ class CouponAlertJob:
         batch.persist()
         try:
             sinks.write_quarantine(batch, batch_id, f"{self.path}/_quarantine")
-            facts = alerts.pane_facts(decode.accepted(batch), rule).withColumn(
-                "folder", times.div(F.col("pane"), self._folder_panes))
-            sinks.write_batch(facts, batch_id, f"{self.path}/panes", "folder")
-            oldest, newest = facts.agg(F.min("pane"), F.max("pane")).first()
+            events = decode.accepted(batch)
+            oldest, newest = with_pane(events, rule).agg(F.min("pane"), F.max("pane")).first()
             closed, newest_before = self._clock(spark, batch_id - 1)
             if newest is not None:
+                facts = alerts.pane_facts(events, rule).withColumn(
+                    "folder", times.div(F.col("pane"), self._folder_panes))
+                sinks.write_batch(facts, batch_id, f"{self.path}/panes", "folder")
                 newest = newest if newest_before is None else max(newest, newest_before)
                 closed = oldest - 1 if closed is None else closed
                 until = max(closed, newest - 1 - self.wait_s // rule.slide_s)
@@ -184,5 +185,7 @@ class CouponAlertJob:
 
     def _set_clock(self, spark: SparkSession, batch_id: int, closed: int | None,
                    newest: int | None) -> None:
-        (spark.createDataFrame([(batch_id, closed, newest)], _CLOCK).coalesce(1)
+        row = dict(batch_id=batch_id, closed=closed, newest=newest)
+        (spark.range(1, numPartitions=1)
+         .select(*[F.lit(v).cast("long").alias(k) for k, v in row.items()])
          .write.mode("overwrite").parquet(f"{self.path}/_clock/{batch_id % _CLOCK_ROWS}"))

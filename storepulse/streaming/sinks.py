@@ -57,8 +57,10 @@ def text_log(path: str) -> BatchSink:
 
 
 def write_quarantine(decoded: DataFrame, batch_id: int, path: str) -> None:
+    """Rejected payloads by reason; nothing is written while there are none."""
     rejected = decoded.filter(F.col("_error").isNotNull()).select("_raw", "_error")
-    write_batch(rejected, batch_id, path, "_error")
+    if not rejected.isEmpty():
+        write_batch(rejected, batch_id, path, "_error")
 
 
 def start(stream: DataFrame, handle: BatchSink, checkpoint: str, every: str = "5 seconds",
