@@ -44,15 +44,17 @@ def unseen(rows: DataFrame, seen: DataFrame, keys: Sequence[str] = KEYS,
 def dedup_stream(logs: DataFrame, delay: str = "1 day", salts: int = 8) -> DataFrame:
     """One row per device and day of a stream, the first to arrive.
 
-    The day itself is the watermarked key, so a day's state is dropped once the
-    watermark has passed it. The first of the two passes keeps one row per
-    device, day and salt: a device that sends a large share of all rows is
-    spread over `salts` tasks before its key meets in one place.
+    A device's state is kept until the watermark is `delay` past its launch, so
+    a delay of a day or more covers every later launch of the same day; a
+    shorter one would let repeats through. Launches older than the watermark
+    are dropped. The first of the two passes keeps one row per device, day and
+    salt: a device that sends a large share of all rows is spread over `salts`
+    tasks before its key meets in one place.
     """
-    days = (logs.withColumn("_day", F.date_trunc("day", F.timestamp_millis("ts")))
-            .withWatermark("_day", delay))
+    timed = logs.withColumn("_at", F.timestamp_millis("ts")).withWatermark("_at", delay)
     if salts > 1:
         spread = [c for c in logs.columns if c not in KEYS]
-        days = (days.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-                .dropDuplicates(["mid", "_day", "_salt"]).drop("_salt"))
-    return days.dropDuplicates(["mid", "_day"]).drop("_day")
+        timed = (timed
+                 .withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
+                 .dropDuplicatesWithinWatermark([*KEYS, "_salt"]).drop("_salt"))
+    return timed.dropDuplicatesWithinWatermark([*KEYS]).drop("_at")
