@@ -28,19 +28,22 @@ def decode_json(rows: DataFrame, schema: T.StructType, value: str = "value") ->
 
     Unknown keys are ignored and missing keys are null. Every field is read as
     text first and cast afterwards, because producers quote their numbers.
+
+    The payload is parsed inside a generator, so that later filters on its
+    fields cannot be pushed below the parse, where they would repeat it.
     """
     as_text = T.StructType(
         [T.StructField(f.name, T.StringType()) for f in schema.fields]
         + [T.StructField(_CORRUPT, T.StringType())])
     parsed = F.from_json(F.col(value), as_text, {"columnNameOfCorruptRecord": _CORRUPT})
-    read = rows.select(F.col(value).alias("_raw"), parsed.alias("_r"))
+    read = rows.select(F.col(value).alias("_raw"), F.inline(F.array(parsed)))
 
     columns, checks = [], [
         (F.coalesce(F.trim("_raw"), F.lit("")) == "", "empty"),
-        (F.col(f"_r.{_CORRUPT}").isNotNull(), "bad_json"),
+        (F.col(_CORRUPT).isNotNull(), "bad_json"),
     ]
     for field in schema.fields:
-        raw = F.col(f"_r.{field.name}")
+        raw = F.col(field.name)
         if isinstance(field.dataType, T.StringType):
             columns.append(raw.alias(field.name))
         else:

@@ -24,14 +24,16 @@ def stamp_and_route(logs: DataFrame, value: str = "value", now: Column | None =
     in epoch milliseconds, for replays.
     """
     stamp = _now_ms() if now is None else now
-    fields = text.last_entry_wins(
-        F.map_entries(F.from_json(F.col(value), "map<string,variant>")), "key")
-    read = logs.select(F.col(value).alias("_raw"), fields.alias("_f"), stamp.alias("ts"))
+    fields = F.map_entries(F.from_json(F.col(value), "map<string,variant>"))
+    # A generator parses each line once; see decode_json.
+    read = logs.select(F.col(value).alias("_raw"), stamp.alias("ts"),
+                       F.explode(F.array(fields)).alias("_all"))
+    read = read.select("_raw", "ts", text.last_entry_wins(F.col("_all"), "key").alias("_f"))
     others = F.filter("_f", lambda e: e["key"] != "ts")
     stamped = F.map_from_entries(F.concat(others, F.array(
         F.struct(F.lit("ts").alias("key"), F.col("ts").cast("variant").alias("value")))))
-    kind = F.try_variant_get(
-        F.get(F.filter("_f", lambda e: e["key"] == "type"), F.lit(0))["value"], "$", "string")
+    place = F.array_position(F.col("_f")["key"], "type").cast("int") - 1
+    kind = F.try_variant_get(F.get(F.col("_f")["value"], place), "$", "string")
     return read.select(
         F.when(kind == "startup", startup_topic).otherwise(event_topic).alias("topic"),
         F.to_json(stamped).alias("value"),

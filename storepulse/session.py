@@ -38,7 +38,8 @@ def work_folder(spark: SparkSession, name: str) -> str:
     It lies under `spark.checkpoint.dir`. Only a local session, where driver and
     executors share one disk, may fall back to a temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = (spark.conf.get("spark.checkpoint.dir", None)
+            or spark.sparkContext.getConf().get("spark.checkpoint.dir"))
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")

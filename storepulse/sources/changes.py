@@ -10,8 +10,8 @@ from storepulse import schemas
 
 def parse_entries(messages: DataFrame, value: str = "value") -> DataFrame:
     """Entries from JSON messages, for feeds that arrive on a topic."""
-    return (messages.select(F.from_json(value, schemas.CHANGE).alias("_e"))
-            .select("_e.*").filter(F.col("table").isNotNull()))
+    entries = messages.select(F.inline(F.array(F.from_json(value, schemas.CHANGE))))
+    return entries.filter(F.col("table").isNotNull())
 
 
 def stream_entries(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
