@@ -190,10 +190,9 @@ def realtime_hour_json(spark, sf):
 # -- alerts -----------------------------------------------------------------------
 
 def _flat(documents: DataFrame, *first: str) -> DataFrame:
-    """Document parts put together as joined strings, for comparison with SQL."""
-    whole = lambda c: F.array_join(F.sort_array(F.flatten(F.collect_list(c))), ",").alias(c)
-    return documents.groupBy(*first, (F.col("ts") / 1000).cast("long").alias("w_end")).agg(
-        whole("uids"), whole("item_ids"), whole("events"))
+    """Documents with their (bounded) arrays as joined strings, for comparison with SQL."""
+    arrays = [F.array_join(c, ",").alias(c) for c in ("uids", "item_ids", "events")]
+    return documents.select(*first, (F.col("ts") / 1000).cast("long").alias("w_end"), "part", *arrays)
 
 
 def _alerts(spark, sf, rule, every_window):
@@ -515,11 +514,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT '{{"yesterday":{{' || {_dau_json(LOG_DAY_BEFORE)}
               || '}},"today":{{' || {_dau_json(LOG_DAY)} || '}}}}' AS json""",
         "coupon_alert_windows":
-            f"WITH {_alert_sql(BROAD)} SELECT mid, w_end, uids, item_ids, events FROM alert",
+            f"WITH {_alert_sql(BROAD)} SELECT mid, w_end, 0 AS part, uids, item_ids, events FROM alert",
         "coupon_alert_windows_live":
-            f"WITH {_alert_sql(LIVE)} SELECT mid, w_end, uids, item_ids, events FROM alert",
+            f"WITH {_alert_sql(LIVE)} SELECT mid, w_end, 0 AS part, uids, item_ids, events FROM alert",
         "coupon_alert_minute":
-            f"WITH {_MINUTE} SELECT alert_id, w_end, uids, item_ids, events FROM kept",
+            f"WITH {_MINUTE} SELECT alert_id, w_end, 0 AS part, uids, item_ids, events FROM kept",
         "stream_first_launch": f"WITH {_START} SELECT DISTINCT mid, log_date FROM start_log",
         "stream_first_launch_exact": f"WITH {_FIRST} SELECT mid, log_date, event_id FROM launch",
         "stream_orders": f"""WITH {_ORDER}
