@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -214,14 +215,27 @@ def coupon_alert_minute(spark, sf):
 
 # -- streams: bounded replays, then a batch read of what they wrote -----------------
 
+@contextmanager
+def _state_partitions(spark):
+    """No more state partitions than two per core: each is a store to open in every batch."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def stream_first_launch(spark, sf):
     root = work_folder(spark, "first-launch")
     lines = bindings.startup_logs(_table(spark, sf, "events"))
-    replay.feed_in_time_order(
-        lines, "ts", SLICES,
-        lambda part: replay.write_topic(bindings.as_json(part), f"{root}/topics", "startup"),
-        lambda: jobs.first_launches(topics.read_folder(spark, f"{root}/topics", "startup"),
-                                    f"{root}/table", once=True).awaitTermination())
+    with _state_partitions(spark):
+        replay.feed_in_time_order(
+            lines, "ts", SLICES,
+            lambda part: replay.write_topic(bindings.as_json(part), f"{root}/topics", "startup"),
+            lambda: jobs.first_launches(topics.read_folder(spark, f"{root}/topics", "startup"),
+                                        f"{root}/table", once=True).awaitTermination())
     stored = tables.read_table(spark, f"{root}/table", schemas.FIRST_LAUNCH_TABLE)
     return stored.select("mid", "log_date")
 
