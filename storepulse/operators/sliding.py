@@ -1,7 +1,7 @@
 """Sliding windows in which a device shows enough distinct members and no veto.
 
 The windows of a device are decided without copying each event into every
-window that covers it (60 copies at the reference setting of 300 s every 5 s):
+window that covers it (60 copies at the default setting of 300 s every 5 s):
 
 1. Time is cut into panes of one slide. A member seen in pane p is present in
    the `panes` windows that end with panes p .. p + panes - 1.
