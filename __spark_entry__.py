@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from contextlib import contextmanager
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,11 +14,18 @@ from storepulse.functions import times
 from storepulse.operators import alerts, changefeed, decode, first_launch, routing
 from storepulse.operators.sliding import AlertRule
 from storepulse.plans import metrics, regions, sale_detail
-from storepulse.session import work_folder
+from storepulse.session import default_work_root, work_folder
 from storepulse.sources import bindings, changes, replay, tables, topics
 from storepulse.streaming import jobs, sinks
 from storepulse.streaming.alert_job import CouponAlertJob
 
+# The operators for training data are an addition: without their folder the rest works.
+_LLM = find_spec("storepulse.llm")
+if _LLM and _LLM.origin:
+    from storepulse.llm import queries as llm_queries
+else:
+    llm_queries = None
+
 LOG_DAY, LOG_DAY_BEFORE = "2024-01-15", "2024-01-14"
 ORDER_DAY, ORDER_DAY_BEFORE = "1997-01-15", "1997-01-14"
 EMPTY_DAY = "2035-06-01"
@@ -362,13 +370,15 @@ QUERIES = [
 def _in_utc(query):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        default_work_root(spark)
         return query(spark, str(sf_dir).rstrip("/"))
     run.__name__ = query.__name__
     return run
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: _in_utc(q) for q in QUERIES}
+    found = {q.__name__: q for q in QUERIES} | (llm_queries.QUERIES if llm_queries else {})
+    return {name: _in_utc(q) for name, q in found.items()}
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -469,6 +479,10 @@ def _dau_json(day: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    return _sql() | (llm_queries.ORACLE_SQL if llm_queries else {})
+
+
+def _sql() -> dict[str, str]:
     label = schemas.METRIC_LABELS
     routed = """SELECT *, CASE WHEN event_type = 'signup' THEN 'startup' ELSE 'event' END AS topic
                 FROM events WHERE event_id % 97 <> 0"""

@@ -32,16 +32,32 @@ def build_session(app: str = "storepulse", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
-def work_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder that every executor can reach.
+#: Where the shared folder is kept if `spark.checkpoint.dir` is not set.
+_ROOT = "storepulse.work.dir"
+
+
+def _configured(spark: SparkSession) -> str | None:
+    return (spark.conf.get("spark.checkpoint.dir", None)
+            or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(_ROOT, None))
+
+
+def use_work_root(spark: SparkSession, path: str) -> None:
+    """Name the shared folder of a session that has no `spark.checkpoint.dir`."""
+    if not _configured(spark):
+        spark.conf.set(_ROOT, path)
 
-    It lies under `spark.checkpoint.dir`. Only a local session, where driver and
-    executors share one disk, may fall back to a temporary folder.
-    """
-    root = (spark.conf.get("spark.checkpoint.dir", None)
-            or spark.sparkContext.getConf().get("spark.checkpoint.dir"))
+
+def default_work_root(spark: SparkSession) -> None:
+    """For tests and trials on one machine: a temporary folder, if none is named.
+
+    On a cluster nothing is set; `work_folder` then refuses to work."""
+    if not _configured(spark) and spark.sparkContext.master.split("[")[0] == "local":
+        use_work_root(spark, tempfile.mkdtemp(prefix="storepulse-"))
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder below `spark.checkpoint.dir`, which every executor can reach."""
+    root = _configured(spark)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="storepulse-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -14,9 +14,10 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "storepulse-tests", master="local[8]", spark__sql__shuffle__partitions="4",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__ui__enabled="false", spark__ui__showConsoleProgress="false")
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -4,7 +4,9 @@ import __spark_entry__ as registry
 import oracle
 from conftest import SF_DIR
 
-QUERIES, SQL = registry.queries(), registry.oracle_sql()
+SQL = registry.oracle_sql()
+QUERIES = registry.queries()
+OWN = [q.__name__ for q in registry.QUERIES]
 
 
 @pytest.fixture(scope="module")
@@ -13,10 +15,10 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(QUERIES)
+    assert set(OWN) <= set(SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, db, name):
     columns, rows, ours, theirs = oracle.compare(spark, db, QUERIES[name], SQL[name], SF_DIR)
     assert columns

@@ -1,3 +1,5 @@
+import tempfile
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,7 +105,7 @@ def test_kafka_options():
 class _Session:
     def __init__(self, master, **settings):
         get = lambda key, default=None: settings.get(key, default)
-        self.conf = type("Conf", (), {"get": staticmethod(get)})
+        self.conf = type("Conf", (), {"get": staticmethod(get), "set": staticmethod(settings.__setitem__)})
         self.sparkContext = type("Context", (), {
             "master": master, "getConf": staticmethod(lambda: self.conf)})
 
@@ -111,9 +113,18 @@ class _Session:
 def test_work_folder_lies_in_the_configured_folder():
     cluster = _Session("yarn", **{"spark.checkpoint.dir": "hdfs://shared/ck/"})
     assert session.work_folder(cluster, "x").startswith("hdfs://shared/ck/x-")
-    assert session.work_folder(_Session("local[2]"), "x").startswith("/tmp")
 
 
-def test_no_local_work_folder_on_a_cluster():
+@pytest.mark.parametrize("master", ["yarn", "local-cluster[3,2,1024]", "local[2]"])
+def test_no_work_folder_without_a_name(master):
+    with pytest.raises(RuntimeError):
+        session.work_folder(_Session(master), "x")
+
+
+def test_default_work_root_is_for_one_machine(tmp_path):
+    near, far = _Session("local[2]"), _Session("local-cluster[3,2,1024]")
+    session.default_work_root(near)
+    session.default_work_root(far)
+    assert session.work_folder(near, "x").startswith(tempfile.gettempdir())
     with pytest.raises(RuntimeError):
-        session.work_folder(_Session("yarn"), "x")
+        session.work_folder(far, "x")
