@@ -23,7 +23,7 @@ class WordEncoder:
     which costs time and changes no result.
     """
 
-    def __init__(self, path: str, words: int = 700_000):
+    def __init__(self, path: str, words: int = 1_600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
@@ -58,25 +58,24 @@ class WordEncoder:
         """Null counts as empty."""
         if len(self._known) > self._words:
             self._known, self._tails = {}, {}
-        split = []
+        split, new = [], set()
         for text in texts:
             text = text or ""
-            if text.replace("\n", " ").split(" ") == text.split():
-                split.append(text.replace("\n", " \n").split(" "))
+            if text and text.replace("\n", " ").split(" ") == text.split():
+                # As if a line break came before the text: its one id is taken off again.
+                chunks = ("\n" + text).replace("\n", " \n").split(" ")
+                new.update(chunks)
+                split.append(chunks)
             else:
                 split.append(None)
-        new = set()
-        for chunks in split:
-            if chunks:
-                new.update(chunks[1:])
-        new.difference_update(self._known)
+        new.difference_update(self._known, [""])
         if new:
             self._learn(new)
         known, out = self._known, []
-        firsts = iter(self._plain([c[0] for c in split if c]))
+        known[""] = b""
         for text, chunks in zip(texts, split):
             if chunks:
-                out.append(next(firsts) + b"".join(map(known.__getitem__, chunks[1:])))
+                out.append(b"".join(map(known.__getitem__, chunks))[4:])
             elif not text:
                 out.append(b"")
             else:
