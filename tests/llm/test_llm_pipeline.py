@@ -1,0 +1,55 @@
+import corpus_pipeline as pipeline
+import pytest
+from conftest import SF_DIR
+from pyspark.sql import functions as F
+
+import __spark_entry__ as registry
+import oracle
+from storepulse.llm import queries
+from storepulse.llm.tables import read
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, score int"
+
+
+def test_stages_call_the_dealt_operators():
+    assert [n for n, _ in pipeline.STAGES] == ["language", "exact", "near", "private", "packed"]
+    assert set(queries.QUERIES) <= set(registry.queries())
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_query_equals_sql(spark, name):
+    columns, rows, ours, theirs = oracle.compare(
+        spark, oracle.connect(SF_DIR), registry.queries()[name], queries.ORACLE_SQL[name], SF_DIR)
+    assert columns and rows, (len(ours), len(theirs), ours[:2], theirs[:2])
+
+
+def test_stages_keep_clean_documents(spark):
+    docs = read(spark, SF_DIR, "documents")
+    told = pipeline.language(spark, docs, SF_DIR)
+    assert told.columns == list(pipeline.COLUMNS)
+    assert told.count() >= 0.97 * docs.count()
+
+
+def test_run_packs_what_is_left(spark):
+    pieces = pipeline.run(spark, SF_DIR)
+    tokens = pieces.groupBy("doc_id").agg(F.sum("length").alias("n"), F.first("doc_tokens").alias("d"))
+    assert tokens.filter("n <> d").count() == 0
+    docs = read(spark, SF_DIR, "documents")
+    kept = pipeline.exact(spark, docs, SF_DIR).count()
+    assert 0 < tokens.count() <= kept <= docs.count()
+
+
+def test_stages_on_hand_made_rows(spark):
+    base = " ".join(f"word{i}" for i in range(200))
+    rows = [(1, base, "en"), (2, base.replace(" ", "  "), "en"), (3, base + " tail", "en"), (4, None, None), (5, "12 34", None),
+            (6, "write to a@b.example now " + base[:40], None)]
+    docs = spark.createDataFrame([(i, t, g, "s", 0, "k", 1) for i, t, g in rows], SCHEMA)
+    ids = lambda f: sorted(r.doc_id for r in f.collect())
+    assert ids(pipeline.language(spark, docs, SF_DIR)) == [1, 2, 3, 6]
+    assert ids(pipeline.exact(spark, docs, SF_DIR)) == [2, 3, 4, 5, 6]
+    assert ids(pipeline.near(spark, docs, SF_DIR)) == [1, 4, 5, 6]
+    clean = {r.doc_id: r for r in pipeline.private(spark, docs, SF_DIR).collect()}
+    assert clean[6].text.startswith("write to <EMAIL> now") and clean[6].n_chars == len(clean[6].text)
+    none = spark.createDataFrame([], SCHEMA)
+    for _, step in pipeline.STAGES:
+        assert step(spark, none, SF_DIR).count() == 0
