@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from contextlib import contextmanager
 from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +31,7 @@ EMPTY_DAY = "2035-06-01"
 FIRST_DAY = "1970-01-01"
 KEYWORD = "bo"
 SLICES = 3
+STATE_PARTITIONS = 16
 BROAD, LIVE = AlertRule(window_s=3600, slide_s=300), AlertRule()
 
 
@@ -51,8 +51,8 @@ def _logs(spark: SparkSession, sf: str, first: str | None = None, last: str | No
 
 
 def _dau(spark: SparkSession, sf: str, first: str, last: str) -> DataFrame:
-    slim = _logs(spark, sf, first, last).select("mid", "log_date", "log_hour", "ts", "event_id")
-    return first_launch.first_per_key(slim, order=("ts", "event_id"))
+    found = first_launch.earliest_per_key(_logs(spark, sf, first, last))
+    return found.withColumn("log_hour", times.log_hour(F.col("ts")))
 
 
 def _orders(spark: SparkSession, sf: str, first: str, last: str) -> DataFrame:
@@ -117,8 +117,8 @@ def change_feed_inserts(spark, sf):
 # -- first launches -----------------------------------------------------------
 
 def first_launch_batch(spark, sf):
-    first = first_launch.first_per_key(_logs(spark, sf), order=("ts", "event_id"))
-    return first.select("mid", "log_date", "log_hour", "event_id", "ts")
+    first = first_launch.earliest_per_key(_logs(spark, sf))
+    return first.select("mid", "log_date", times.log_hour(F.col("ts")).alias("log_hour"), "event_id", "ts")
 
 
 def first_launch_unseen(spark, sf):
@@ -198,52 +198,36 @@ def realtime_hour_json(spark, sf):
 
 # -- alerts -----------------------------------------------------------------------
 
-def _flat(documents: DataFrame, *first: str) -> DataFrame:
-    """Documents with their (bounded) arrays as joined strings, for comparison with SQL."""
-    arrays = [F.array_join(c, ",").alias(c) for c in ("uids", "item_ids", "events")]
-    return documents.select(*first, (F.col("ts") / 1000).cast("long").alias("w_end"), "part", *arrays)
-
-
 def _alerts(spark, sf, rule, every_window):
-    return alerts.coupon_alerts(_behaviour(spark, sf), rule, every_window,
-                                staging=work_folder(spark, "alert-windows"))
+    found = alerts.coupon_alerts(_behaviour(spark, sf), rule, every_window,
+                                 staging=work_folder(spark, "alerts"))
+    return found.select("alert_id", "mid", (F.col("ts") / 1000).cast("long").alias("w_end"), "kind", "name",
+                        "copies", "n_uids", "n_items", "n_events")
 
 
 def coupon_alert_windows(spark, sf):
-    return _flat(_alerts(spark, sf, BROAD, True), "mid")
+    return _alerts(spark, sf, BROAD, True)
 
 
 def coupon_alert_windows_live(spark, sf):
-    return _flat(_alerts(spark, sf, LIVE, True), "mid")
+    return _alerts(spark, sf, LIVE, True)
 
 
 def coupon_alert_minute(spark, sf):
-    return _flat(_alerts(spark, sf, LIVE, False), "alert_id")
+    return _alerts(spark, sf, LIVE, False)
 
 
 # -- streams: bounded replays, then a batch read of what they wrote -----------------
 
-@contextmanager
-def _state_partitions(spark):
-    """No more state partitions than two per core: each is a store to open in every batch."""
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(min(int(before), 2 * spark.sparkContext.defaultParallelism)))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def stream_first_launch(spark, sf):
     root = work_folder(spark, "first-launch")
     lines = bindings.startup_logs(_table(spark, sf, "events"))
-    with _state_partitions(spark):
-        replay.feed_in_time_order(
-            lines, "ts", SLICES,
-            lambda part: replay.write_topic(bindings.as_json(part), f"{root}/topics", "startup"),
-            lambda: jobs.first_launches(topics.read_folder(spark, f"{root}/topics", "startup"),
-                                        f"{root}/table", once=True).awaitTermination())
+    replay.feed_in_time_order(
+        lines, "ts", SLICES,
+        lambda part: replay.write_topic(bindings.as_json(part), f"{root}/topics", "startup"),
+        lambda: jobs.first_launches(topics.read_folder(spark, f"{root}/topics", "startup"),
+                                    f"{root}/table", state_partitions=STATE_PARTITIONS,
+                                    once=True).awaitTermination())
     stored = tables.read_table(spark, f"{root}/table", schemas.FIRST_LAUNCH_TABLE)
     return stored.select("mid", "log_date")
 
@@ -319,8 +303,9 @@ def stream_alerts(spark, sf):
         lines, "ts", SLICES,
         lambda part: replay.write_topic(bindings.as_json(part), f"{root}/topics", "event"), run)
     job.close(spark, batches[-1])
-    return job.alerts(spark).groupBy("alert_id").agg(
-        F.sum(F.size("uids")).alias("n_uids"), F.sum(F.size("events")).alias("n_events"))
+    return job.alerts(spark).select(
+        "alert_id", "mid", (F.col("ts") / 1000).cast("long").alias("w_end"), "kind", "name",
+        "copies", "n_uids", "n_items", "n_events")
 
 
 # -- sale details and regions -----------------------------------------------------------
@@ -416,26 +401,30 @@ _BEHAVIOUR = """act AS (
   FROM events)"""
 
 
-def _alert_sql(rule: AlertRule) -> str:
+def _alert_sql(rule: AlertRule, per_minute: bool) -> str:
+    """Header and member rows of every window that raises an alert, or of each minute's last."""
     panes, slide = rule.panes, rule.slide_s
-    return f"""{_BEHAVIOUR}, placed AS (
+    kept = "row_number() OVER (PARTITION BY mid, w_end // 60 ORDER BY w_end DESC) = 1" if per_minute else "true"
+    return f"""WITH {_BEHAVIOUR}, placed AS (
   SELECT *, unnest(generate_series(ts // {slide * 1000}, ts // {slide * 1000} + {panes - 1})) AS w
   FROM act), alert AS (
-  SELECT mid, ((w + 1) * {slide})::BIGINT AS w_end,
-         string_agg(DISTINCT uid, ',' ORDER BY uid) FILTER (evid = 'coupon') AS uids,
-         string_agg(DISTINCT itemid, ',' ORDER BY itemid) FILTER (evid = 'coupon') AS item_ids,
-         string_agg(evid, ',' ORDER BY evid) AS events,
-         count(DISTINCT uid) FILTER (evid = 'coupon') AS n_uids, count(*) AS n_events
+  SELECT mid, w, ((w + 1) * {slide})::BIGINT AS w_end,
+         count(DISTINCT uid) FILTER (evid = 'coupon') AS n_uids,
+         count(DISTINCT itemid) FILTER (evid = 'coupon') AS n_items, count(evid) AS n_events
   FROM placed GROUP BY mid, w
   HAVING count(DISTINCT uid) FILTER (evid = 'coupon') >= {rule.min_uids}
-     AND NOT bool_or(evid = 'clickItem'))"""
-
+     AND NOT bool_or(evid = 'clickItem')), kept AS (
+  SELECT *, mid || '_' || (w_end // 60) AS alert_id FROM alert QUALIFY {kept}), inside AS (
+  SELECT k.alert_id, k.mid, k.w_end, p.uid, p.itemid, p.evid
+  FROM kept k JOIN placed p ON p.mid = k.mid AND p.w = k.w), member AS (
+  SELECT alert_id, mid, w_end, 'uid' AS kind, uid AS name FROM inside WHERE evid = 'coupon'
+  UNION ALL SELECT alert_id, mid, w_end, 'item', itemid FROM inside WHERE evid = 'coupon'
+  UNION ALL SELECT alert_id, mid, w_end, 'event', evid FROM inside)
+SELECT alert_id, mid, w_end, kind, name, count(*) AS copies,
+       NULL::BIGINT AS n_uids, NULL::BIGINT AS n_items, NULL::BIGINT AS n_events
+FROM member GROUP BY alert_id, mid, w_end, kind, name
+UNION ALL SELECT alert_id, mid, w_end, 'alert', NULL, NULL, n_uids, n_items, n_events FROM kept"""
 
-_MINUTE = _alert_sql(LIVE) + """, kept AS (
-  SELECT * FROM (
-    SELECT *, mid || '_' || (w_end // 60) AS alert_id,
-           row_number() OVER (PARTITION BY mid, w_end // 60 ORDER BY w_end DESC) AS rn
-    FROM alert) WHERE rn = 1)"""
 
 _DETAIL = f"""detail AS (
   SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS order_detail_id,
@@ -541,12 +530,9 @@ def _sql() -> dict[str, str]:
         "realtime_hour_json": f"""WITH {_FIRST}
             SELECT '{{"yesterday":{{' || {_dau_json(LOG_DAY_BEFORE)}
               || '}},"today":{{' || {_dau_json(LOG_DAY)} || '}}}}' AS json""",
-        "coupon_alert_windows":
-            f"WITH {_alert_sql(BROAD)} SELECT mid, w_end, 0 AS part, uids, item_ids, events FROM alert",
-        "coupon_alert_windows_live":
-            f"WITH {_alert_sql(LIVE)} SELECT mid, w_end, 0 AS part, uids, item_ids, events FROM alert",
-        "coupon_alert_minute":
-            f"WITH {_MINUTE} SELECT alert_id, w_end, 0 AS part, uids, item_ids, events FROM kept",
+        "coupon_alert_windows": _alert_sql(BROAD, False),
+        "coupon_alert_windows_live": _alert_sql(LIVE, False),
+        "coupon_alert_minute": _alert_sql(LIVE, True),
         "stream_first_launch": f"WITH {_START} SELECT DISTINCT mid, log_date FROM start_log",
         "stream_first_launch_exact": f"WITH {_FIRST} SELECT mid, log_date, event_id FROM launch",
         "stream_orders": f"""WITH {_ORDER}
@@ -558,7 +544,7 @@ def _sql() -> dict[str, str]:
             UNION ALL SELECT 'archive', strftime(ts, '%Y-%m-%d'), count(*) FROM routed GROUP BY 2
             UNION ALL SELECT 'quarantine', 'bad_json', count(*) FROM events
                       WHERE event_id % 97 = 0 HAVING count(*) > 0""",
-        "stream_alerts": f"WITH {_MINUTE} SELECT alert_id, n_uids, n_events FROM kept",
+        "stream_alerts": _alert_sql(LIVE, True),
         "sale_detail_page":
             f"WITH {_DETAIL} SELECT * FROM detail ORDER BY order_detail_id LIMIT 10 OFFSET 5",
         "sale_detail_keyword":

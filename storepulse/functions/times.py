@@ -9,18 +9,26 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DAY = "yyyy-MM-dd"
+#: The end of the year 9999: later times have no four-digit date.
+LAST_MS = 253_402_300_799_999
 
 
-def log_date(ts: Column) -> Column:
-    return F.to_date(F.timestamp_millis(ts)).cast("string")
+def usable_ms(ts: Column) -> Column:
+    """Whether a time lies in the years 1970 to 9999; null for null."""
+    return ts.between(0, LAST_MS)
 
 
-def log_hour(ts: Column) -> Column:
-    return F.lpad(F.hour(F.timestamp_millis(ts)).cast("string"), 2, "0")
+def instant(ts: Column) -> Column:
+    """The timestamp of an epoch value, null where there is none; never fails."""
+    return F.when(usable_ms(ts), F.timestamp_millis(ts))
+
+
+def log_date(ts: Column) -> Column:
+    return F.to_date(instant(ts)).cast("string")
 
 
-def _drop_trailing(text: Column, mark: str) -> Column:
-    return F.rtrim(text) if mark == " " else F.regexp_replace(text, f"{mark}+$", "")
+def log_hour(ts: Column) -> Column:
+    return F.lpad(F.hour(instant(ts)).cast("string"), 2, "0")
 
 
 def create_date(create_time: Column) -> Column:
@@ -30,7 +38,7 @@ def create_date(create_time: Column) -> Column:
 
 def create_hour(create_time: Column) -> Column:
     """The text between the first space and the next colon, null if there is no time part."""
-    clock = F.get(F.split(_drop_trailing(create_time, " "), " "), F.lit(1))
+    clock = F.get(F.split(F.rtrim(create_time), " "), F.lit(1))
     return F.get(F.split(clock, ":"), F.lit(0))
 
 
@@ -46,7 +54,7 @@ def today() -> Column:
 
 def div(value: Column, step: int) -> Column:
     """Floor division of a long, right for negative values too."""
-    return ((value - F.pmod(value, F.lit(step))) / F.lit(step)).cast("long")
+    return F.call_function("div", value - F.pmod(value, F.lit(step)), F.lit(step)).cast("long")
 
 
 def minute_of(seconds: Column) -> Column:

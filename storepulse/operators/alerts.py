@@ -9,6 +9,7 @@ from storepulse.functions import times
 from storepulse.operators.sliding import (
     AlertRule, alert_spans, last_window_per_minute, span_windows, window_end_s, with_pane)
 
+
 def pane_facts(events: DataFrame, rule: AlertRule) -> DataFrame:
     """Events counted per device, pane, name, account and item."""
     return (with_pane(events, rule)
@@ -16,43 +17,30 @@ def pane_facts(events: DataFrame, rule: AlertRule) -> DataFrame:
             .agg(F.count("*").alias("n")))
 
 
-def alert_windows(events: DataFrame, rule: AlertRule = AlertRule()) -> DataFrame:
-    """`mid`, `w`: every window that raises an alert."""
-    return span_windows(alert_spans(with_pane(events, rule), rule))
-
-
-def alert_minutes(events: DataFrame, rule: AlertRule = AlertRule()) -> DataFrame:
-    """`mid`, `w`: the last alert of each device and minute, the one a keyed store keeps."""
-    return last_window_per_minute(alert_spans(with_pane(events, rule), rule), rule).drop("minute")
-
-
 def _slots(w, rule: AlertRule):
     """The one or two window-long slots of time that window `w` touches."""
     n = rule.panes
     return F.array_distinct(F.array(times.div(w - (n - 1), n), times.div(w, n)))
 
 
-def alert_documents(facts: DataFrame, windows: DataFrame, rule: AlertRule,
-                    part_size: int = 10_000, salts: int = 4) -> DataFrame:
-    """Documents of the given windows: sorted arrays, with the window end as `ts`.
+#: What an alert's member rows list: accounts and items of its coupons, names of all its events.
+KINDS = ("uid", "item", "event")
+HEADER = "alert"
+
+
+def alert_members(facts: DataFrame, windows: DataFrame, rule: AlertRule, salts: int = 8) -> DataFrame:
+    """The contents of the given windows: `alert_id`, `mid`, `ts` (window end), `kind`, `name`, `copies`.
 
     `facts` has mid, pane, evid, uid, itemid and n, and holds at least the slots
-    of time that `windows` (mid, w) touch. A document is one row (`part` 0)
-    unless its slots hold more than `part_size` events. A larger one is dealt
-    out by hash over numbered parts, so no array grows with the window; its
-    parts together are the document and share no account or item. Event names
-    are listed once per event.
-
-    Windows and facts meet on device and slot, with the facts of a busy slot
-    spread over `salts` tasks.
+    of time that `windows` (mid, w) touch. Every distinct account, item and event
+    name is one row with the number of events that have it, so no row grows with
+    the window, and each step is combined before its shuffle.
+
+    Windows and facts meet on device and slot, with the facts of every slot spread
+    over `salts` tasks and the (few) windows copied to each.
     """
     placed = facts.withColumn("slot", times.div(F.col("pane"), rule.panes))
-    busy = placed.groupBy("mid", "slot").agg(F.sum("n").alias("size"))
-    touched = windows.select("mid", "w", F.explode(_slots(F.col("w"), rule)).alias("slot"))
-    parts = (touched.join(busy, ["mid", "slot"])
-             .groupBy("mid", "w").agg(F.sum("size").alias("size"))
-             .select("mid", "w", F.ceil(F.col("size") / part_size).cast("int").alias("parts")))
-    spread = (parts
+    spread = (windows.select("mid", "w")
               .withColumn("slot", F.explode(_slots(F.col("w"), rule)))
               .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
     inside = (placed
@@ -60,62 +48,57 @@ def alert_documents(facts: DataFrame, windows: DataFrame, rule: AlertRule,
                                          F.lit(salts)).cast("int"))
               .join(spread, ["mid", "slot", "salt"])
               .filter(F.col("pane").between(F.col("w") - (rule.panes - 1), F.col("w"))))
-
     coupon = F.col("evid") == rule.coupon
-    uid = F.when(coupon, F.col("uid").cast("string"))
-    item = F.when(coupon, F.col("itemid").cast("string"))
-    nothing = F.lit(None).cast("string")
-    none, all_copies = F.lit(0).cast("long"), F.col("n")
-
-    def entry(part, uid=nothing, item=nothing, name=nothing, copies=none):
-        return F.struct(part.alias("part"), uid.alias("uid"), item.alias("item"),
-                        name.alias("name"), copies.alias("copies"))
-
-    def dealt(*values):
-        return F.pmod(F.xxhash64(*values), F.col("parts")).cast("int")
-
-    whole = F.array(entry(F.lit(0), uid, item, F.col("evid"), all_copies))
-    chunks = F.transform(
-        F.sequence(none, times.div(all_copies - 1, part_size)),
-        lambda c: entry(dealt("uid", "itemid", "evid", "pane", c), name=F.col("evid"),
-                        copies=F.least(F.lit(part_size), all_copies - c * part_size)))
-    split = F.concat(F.array(entry(dealt(uid), uid=uid), entry(dealt(item), item=item)), chunks)
+    names = (F.when(coupon, F.col("uid").cast("string")), F.when(coupon, F.col("itemid").cast("string")),
+             F.col("evid"))
+    entries = F.array(*[F.struct(F.lit(k).alias("kind"), name.alias("name")) for k, name in zip(KINDS, names)])
     end = window_end_s(F.col("w"), rule)
-    return (inside
-            .select("mid", "w", F.inline(F.when(F.col("parts") <= 1, whole).otherwise(split)))
-            .groupBy("mid", "w", "part")
-            .agg(F.sort_array(F.collect_set("uid")).alias("uids"),
-                 F.sort_array(F.collect_set("item")).alias("item_ids"),
-                 F.sort_array(F.collect_list(F.when(
-                     F.col("name").isNotNull(), F.struct("name", "copies")))).alias("_names"))
-            .select(times.alert_id(F.col("mid"), end).alias("alert_id"),
-                    "mid", (end * 1000).alias("ts"), "part", "uids", "item_ids",
-                    F.flatten(F.transform(
-                        "_names", lambda e: F.array_repeat(e["name"], e["copies"].cast("int"))))
-                    .alias("events")))
-
-
-def _near(events: DataFrame, windows: DataFrame, rule: AlertRule) -> DataFrame:
-    """Events of devices and slots that some window touches."""
+    return (inside.select("mid", "w", "n", F.inline(entries))
+            .filter(F.col("name").isNotNull())
+            .groupBy("mid", "w", "kind", "name").agg(F.sum("n").alias("copies"))
+            .select(times.alert_id(F.col("mid"), end).alias("alert_id"), "mid",
+                    (end * 1000).alias("ts"), "kind", "name", "copies"))
+
+
+def alert_headers(members: DataFrame) -> DataFrame:
+    """One row per alert: `alert_id`, `mid`, `ts`, `n_uids`, `n_items`, `n_events`."""
+    of = lambda kind: F.col("kind") == kind
+    return members.groupBy("alert_id", "mid", "ts").agg(
+        F.count_if(of("uid")).alias("n_uids"), F.count_if(of("item")).alias("n_items"),
+        F.sum(F.when(of("event"), F.col("copies")).otherwise(0)).alias("n_events"))
+
+
+def alert_rows(members: DataFrame) -> DataFrame:
+    """Headers (kind `alert`) and members in one frame of one shape, whatever an alert's size."""
+    return alert_headers(members).withColumn("kind", F.lit(HEADER)).unionByName(
+        members, allowMissingColumns=True)
+
+
+def _near(facts: DataFrame, windows: DataFrame, rule: AlertRule) -> DataFrame:
+    """Facts of devices and slots that some window touches."""
     slots = windows.select("mid", F.explode(_slots(F.col("w"), rule)).alias("_slot"))
-    return (with_pane(events, rule)
-            .withColumn("_slot", times.div(F.col("pane"), rule.panes))
-            .join(slots, ["mid", "_slot"], "left_semi")
-            .drop("_slot", "pane"))
+    return (facts.withColumn("_slot", times.div(F.col("pane"), rule.panes))
+            .join(slots, ["mid", "_slot"], "left_semi").drop("_slot"))
 
 
 def coupon_alerts(events: DataFrame, rule: AlertRule = AlertRule(), every_window: bool = False,
-                  part_size: int = 10_000, staging: str | None = None) -> DataFrame:
-    """Alert documents of a bounded set of events, per minute or per window.
-
-    With `staging`, a folder all executors share, the qualifying windows are
-    written there first. Their true size is then known when the events are
-    joined to them: few windows are broadcast and the events are not shuffled
-    at all. Without it the whole result is one lazy plan.
+                  staging: str | None = None) -> DataFrame:
+    """Alerts of a bounded set of events, per minute or per window, as `alert_rows`.
+
+    With `staging`, a folder all executors share, the events counted per pane, the
+    qualifying windows and the members are written there, each once. The windows' true
+    size is then known when the facts are joined to them: few windows are broadcast and
+    the facts are not shuffled; and the headers are counted from what is written. Without it the whole result
+    is one lazy plan, which works the windows out several times: for trials only.
     """
-    windows = alert_windows(events, rule) if every_window else alert_minutes(events, rule)
-    if staging:
-        windows.write.parquet(staging)
-        windows = events.sparkSession.read.parquet(staging)
-    facts = pane_facts(_near(events, windows, rule), rule)
-    return alert_documents(facts, windows, rule, part_size)
+    def settle(rows: DataFrame, name: str) -> DataFrame:
+        if not staging:
+            return rows
+        rows.write.parquet(f"{staging}/{name}")
+        return rows.sparkSession.read.schema(rows.schema).parquet(f"{staging}/{name}")
+
+    facts = settle(pane_facts(events, rule), "facts")
+    spans = alert_spans(facts, rule)
+    windows = settle(span_windows(spans) if every_window
+                     else last_window_per_minute(spans, rule).drop("minute"), "windows")
+    return alert_rows(settle(alert_members(_near(facts, windows, rule), windows, rule), "members"))

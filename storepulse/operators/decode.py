@@ -12,6 +12,8 @@ from storepulse import schemas
 from storepulse.functions import text, times
 
 _CORRUPT = "_corrupt"
+#: Amounts from here on do not fit the two-digit decimals that totals are summed in.
+MOST_AMOUNT = 1e16
 
 
 def _first_error(checks: list[tuple[Column, str]]) -> Column:
@@ -66,6 +68,7 @@ def _decode_log(rows: DataFrame, schema: T.StructType, value: str,
     logs = _also_reject(decode_json(rows, _with_text(schema, extra), value), [
         (F.col("mid").isNull(), "missing_mid"),
         (F.col("ts").isNull(), "missing_ts"),
+        (~times.usable_ms(F.col("ts")), "bad_ts"),
     ])
     return logs.withColumns({"log_date": times.log_date(F.col("ts")),
                              "log_hour": times.log_hour(F.col("ts"))})
@@ -88,7 +91,9 @@ def decode_order(rows: DataFrame, value: str = "value") -> DataFrame:
         "create_hour": times.create_hour(F.col("create_time")),
         "consignee_tel": text.mask_phone(F.col("consignee_tel")),
     })
+    amount = F.col("total_amount")
     return _also_reject(orders, [
+        (F.isnan(amount) | (F.abs(amount) >= MOST_AMOUNT), "bad_total_amount"),
         (F.col("consignee_tel").isNull(), "missing_consignee_tel"),
         (_is_blank(F.col("create_date")) | F.col("create_hour").isNull(), "bad_create_time"),
     ])

@@ -7,9 +7,27 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from storepulse.functions import times
+
 KEYS = ("mid", "log_date")
 
 
+def earliest_per_key(rows: DataFrame, keys: Sequence[str] = KEYS, ts: str = "ts",
+                     tie: str = "event_id") -> DataFrame:
+    """`keys`, `ts`, `tie` of the earliest row of every key, ties to the smallest `tie`.
+
+    Both numbers are packed in one decimal, so the aggregate stays in the hash map:
+    no sort before or after the shuffle, and no other column is carried along.
+    """
+    shift = F.lit(1 << 64).cast("decimal(20,0)")
+    unsigned = F.col(tie).cast("decimal(20,0)") + F.lit(1 << 63).cast("decimal(20,0)")
+    packed = (F.col(ts).cast("decimal(17,0)") * shift + unsigned).cast("decimal(38,0)")
+    first = rows.groupBy(*keys).agg(F.min(packed).alias("_first"))
+    at = F.call_function("div", F.col("_first"), shift)
+    rest = F.col("_first") - at.cast("decimal(17,0)") * shift - F.lit(1 << 63).cast("decimal(20,0)")
+    return first.select(*keys, at.cast("long").alias(ts), rest.cast("long").alias(tie))
+
+
 def first_per_key(rows: DataFrame, keys: Sequence[str] = KEYS,
                   order: Sequence[str] = ("ts",)) -> DataFrame:
     """The row with the smallest `order` of every key.
@@ -41,17 +59,17 @@ def unseen(rows: DataFrame, seen: DataFrame, keys: Sequence[str] = KEYS,
     return salted.join(copies, [*keys, "_salt"], "left_anti").select(*rows.columns)
 
 
-def dedup_stream(logs: DataFrame, delay: str = "1 day", salts: int = 8) -> DataFrame:
+def dedup_stream(logs: DataFrame, delay: str = "1 day", salts: int = 1) -> DataFrame:
     """One row per device and day of a stream, the first to arrive.
 
-    A device's state is kept until the watermark is `delay` past its launch, so
-    a delay of a day or more covers every later launch of the same day; a
-    shorter one would let repeats through. Launches older than the watermark
-    are dropped. The first of the two passes keeps one row per device, day and
-    salt: a device that sends a large share of all rows is spread over `salts`
-    tasks before its key meets in one place.
+    A device's state is one row, kept until the watermark is `delay` past its launch, so
+    a delay of a day or more covers every later launch of the same day; a shorter one
+    would let repeats through. Launches older than the watermark are dropped, so this is
+    an approximation for late data. `salts` > 1 adds a pass that keeps one row per device,
+    day and salt: where a device sends a large share of all rows, it is spread over so
+    many tasks before its key meets in one place, at the cost of as many state rows.
     """
-    timed = logs.withColumn("_at", F.timestamp_millis("ts")).withWatermark("_at", delay)
+    timed = logs.withColumn("_at", times.instant(F.col("ts"))).withWatermark("_at", delay)
     if salts > 1:
         spread = [c for c in logs.columns if c not in KEYS]
         timed = (timed

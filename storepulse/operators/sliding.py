@@ -68,8 +68,8 @@ def alert_spans(events: DataFrame, rule: AlertRule) -> DataFrame:
               .filter(F.col("veto") | F.col("member").isNotNull()))
     placed = signal.withColumn("bucket", F.explode(F.sequence(
         times.div(F.col("pane"), rule.bucket_panes),
-        times.div(F.col("pane") + rule.panes - 1, rule.bucket_panes)))).distinct()
-
+        times.div(F.col("pane") + rule.panes - 1, rule.bucket_panes))))
+    # Repeats of a pane need no step of their own: their interval comes out empty below.
     same = Window.partitionBy("mid", "veto", "member", "bucket").orderBy("pane")
     start = F.greatest("pane", F.col("bucket") * size, F.lag("pane").over(same) + rule.panes)
     end = F.least(F.col("pane") + rule.panes, (F.col("bucket") + 1) * size)

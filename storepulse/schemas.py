@@ -47,7 +47,7 @@ CHANGE = T.StructType([
     T.StructField("rows", T.ArrayType(_ROW)),
 ])
 
-# Facts of one slide-wide pane of the alert stream, and the alert documents.
+# Facts of one slide-wide pane of the alert stream, and the alerts: a header row each, and its members.
 PANE_FACTS = T.StructType([
     T.StructField("mid", T.StringType()),
     T.StructField("pane", T.LongType()),
@@ -60,10 +60,12 @@ ALERT_TABLE = T.StructType([
     T.StructField("alert_id", T.StringType()),
     T.StructField("mid", T.StringType()),
     T.StructField("ts", T.LongType()),
-    T.StructField("part", T.IntegerType()),
-    T.StructField("uids", T.ArrayType(T.StringType())),
-    T.StructField("item_ids", T.ArrayType(T.StringType())),
-    T.StructField("events", T.ArrayType(T.StringType())),
+    T.StructField("kind", T.StringType()),
+    T.StructField("name", T.StringType()),
+    T.StructField("copies", T.LongType()),
+    T.StructField("n_uids", T.LongType()),
+    T.StructField("n_items", T.LongType()),
+    T.StructField("n_events", T.LongType()),
     T.StructField("withdrawn", T.BooleanType()),
 ])
 

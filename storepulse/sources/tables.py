@@ -47,9 +47,14 @@ def latest_per_key(rows: DataFrame, key: str, version: Sequence[str] = ("batch_i
 
 
 def live_alerts(alerts: DataFrame) -> DataFrame:
-    """The documents of the last batch that wrote each alert, without withdrawn ones."""
-    last = alerts.groupBy("alert_id").agg(F.max("batch_id").alias("batch_id"))
-    return (alerts.join(last, ["alert_id", "batch_id"], "left_semi")
+    """The rows of the last batch that wrote each alert, without withdrawn ones.
+
+    An alert's id fixes its minute and so its date: the date is part of the key, and a
+    filter on it reaches the scan on both sides.
+    """
+    key = ["alert_date", "alert_id"]
+    last = alerts.groupBy(*key).agg(F.max("batch_id").alias("batch_id"))
+    return (alerts.join(last, [*key, "batch_id"], "left_semi")
             .filter(~F.col("withdrawn")).drop("withdrawn"))
 
 

@@ -31,10 +31,6 @@ from storepulse.sources import tables
 from storepulse.streaming import sinks
 
 _CLOCK = T.StructType([T.StructField(c, T.LongType()) for c in ("batch_id", "closed", "newest")])
-# Clock rows kept; only the one before the current batch is ever read.
-_CLOCK_ROWS = 8
-# Folders read by name; a longer stretch is read through the partition filter.
-_NAMED_FOLDERS = 1000
 
 
 @dataclass(frozen=True)
@@ -49,7 +45,6 @@ class CouponAlertJob:
     path: str
     rule: AlertRule = field(default_factory=AlertRule)
     wait_s: int = 0
-    part_size: int = 10_000
     folder_s: int = 900
 
     @property
@@ -63,7 +58,7 @@ class CouponAlertJob:
         return sinks.start(decoded, self.on_batch, checkpoint or f"{self.path}/_checkpoint", **run)
 
     def alerts(self, spark: SparkSession) -> DataFrame:
-        """The alerts as they stand, one document per device and minute."""
+        """The alerts as they stand, per device and minute: a header row and its members."""
         stored = tables.read_table(spark, f"{self.path}/alerts", schemas.ALERT_TABLE, ["alert_date"])
         return tables.live_alerts(stored)
 
@@ -124,13 +119,8 @@ class CouponAlertJob:
         """Facts of panes first .. last, and of the folders `more`."""
         path = f"{self.path}/panes"
         low, high = first // self._folder_panes, last // self._folder_panes
-        if high - low + 1 + len(more) <= _NAMED_FOLDERS:
-            folders = sorted({*range(low, high + 1), *more})
-            return tables.read_partitions(spark, path, schemas.PANE_FACTS, "folder", folders)
-        whole = spark.read.schema(
-            T.StructType([*schemas.PANE_FACTS, T.StructField("folder", T.LongType()),
-                          T.StructField("batch_id", T.LongType())])).parquet(path)
-        return whole.filter(F.col("folder").between(low, high) | F.col("folder").isin(more))
+        folders = sorted({*range(low, high + 1), *more})
+        return tables.read_partitions(spark, path, schemas.PANE_FACTS, "folder", folders)
 
     def _judge(self, spark: SparkSession, batch_id: int, closed: int, until: int,
                late: DataFrame | None) -> None:
@@ -139,7 +129,7 @@ class CouponAlertJob:
         first = closed + 1 - (rule.panes - 1)
         late_folders = self._folders_of_minutes(late) if late is not None else []
         # A repeated batch must not see what later batches may have added.
-        known = self._panes(spark, first, until, late_folders).filter(F.col("batch_id") <= batch_id)
+        known = self._panes(spark, first, until, late_folders).filter(F.col("batch_id") <= batch_id).persist()
 
         def minutes(facts: DataFrame, low: int | None, high: int) -> DataFrame:
             spans = alert_spans(facts, rule).withColumn("last", F.least("last", F.lit(high)))
@@ -154,22 +144,21 @@ class CouponAlertJob:
             raised = (raised.unionByName(again.join(late, ["mid", "minute"], "left_semi"))
                       .groupBy("mid", "minute").agg(F.max("w").alias("w")))
         raised = raised.persist()
+        members = alerts.alert_members(known, raised.drop("minute"), rule).persist()
         try:
-            raised.count()
-            documents = alerts.alert_documents(known, raised.drop("minute"), rule, self.part_size)
-            rows = documents.withColumn("withdrawn", F.lit(False))
+            rows = alerts.alert_rows(members).withColumn("withdrawn", F.lit(False))
             if late is not None:
                 gone = late.join(raised, ["mid", "minute"], "left_anti").select(
                     times.alert_id(F.col("mid"), F.col("minute") * 60).alias("alert_id"), "mid",
-                    (F.col("minute") * 60_000).alias("ts"), F.lit(0).alias("part"),
+                    (F.col("minute") * 60_000).alias("ts"), F.lit(alerts.HEADER).alias("kind"),
                     F.lit(True).alias("withdrawn"))
                 rows = rows.unionByName(gone, allowMissingColumns=True)
             dated = rows.withColumn("alert_date", times.log_date(F.col("ts")))
             sinks.write_batch(dated, batch_id, f"{self.path}/alerts", "alert_date")
         finally:
-            raised.unpersist()
-            if late is not None:
-                late.unpersist()
+            for frame in (members, raised, known, late):
+                if frame is not None:
+                    frame.unpersist()
 
     # -- clock -------------------------------------------------------------
 
@@ -177,7 +166,7 @@ class CouponAlertJob:
         """Last judged window and newest pane as of a batch, (None, None) before the first."""
         if batch_id < 0:
             return None, None
-        row = (spark.read.schema(_CLOCK).parquet(f"{self.path}/_clock/{batch_id % _CLOCK_ROWS}")
+        row = (spark.read.schema(_CLOCK).parquet(f"{self.path}/_clock/{batch_id}")
                .filter(F.col("batch_id") == batch_id).first())
         if row is None:
             raise RuntimeError(f"no clock of batch {batch_id} below {self.path}")
@@ -188,4 +177,4 @@ class CouponAlertJob:
         row = dict(batch_id=batch_id, closed=closed, newest=newest)
         (spark.range(1, numPartitions=1)
          .select(*[F.lit(v).cast("long").alias(k) for k, v in row.items()])
-         .write.mode("overwrite").parquet(f"{self.path}/_clock/{batch_id % _CLOCK_ROWS}"))
+         .write.mode("overwrite").parquet(f"{self.path}/_clock/{batch_id}"))

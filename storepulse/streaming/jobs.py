@@ -6,7 +6,9 @@ otherwise: offsets and results then cannot drift apart.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -49,9 +51,23 @@ def route_logs(lines: DataFrame, topics: BatchSink, archive: str, now: Column |
     return sinks.start(stamped, handle, _checkpoint(archive, checkpoint), **run)
 
 
-def forward_changes(entries: DataFrame, topics: BatchSink, checkpoint: str, **run) -> StreamingQuery:
-    """Send inserted rows of the routed tables to their topics."""
-    return sinks.start(changefeed.flatten_changes(entries), topics, checkpoint, **run)
+def forward_changes(entries: DataFrame, topics: BatchSink, checkpoint: str,
+                    quarantine: str | None = None, **run) -> StreamingQuery:
+    """Send inserted rows of the routed tables to their topics.
+
+    Entries that cannot be read go to `quarantine`, by default a folder beside the checkpoint.
+    """
+    rejected = quarantine or f"{checkpoint.rstrip('/')}_quarantine"
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            sinks.write_quarantine(batch, batch_id, rejected)
+            topics(changefeed.flatten_changes(decode.accepted(batch)), batch_id)
+        finally:
+            batch.unpersist()
+
+    return sinks.start(_counted(entries, "changes"), handle, checkpoint, **run)
 
 
 def ingest_orders(messages: DataFrame, path: str, checkpoint: str | None = None,
@@ -78,18 +94,41 @@ def ingest_orders(messages: DataFrame, path: str, checkpoint: str | None = None,
 
 
 def first_launches(messages: DataFrame, path: str, checkpoint: str | None = None,
-                   delay: str = "1 day", salts: int = 8, **run) -> StreamingQuery:
+                   delay: str = "1 day", salts: int = 1, state_partitions: int | None = None,
+                   **run) -> StreamingQuery:
     """One launch per device and day, whichever arrives first, by streaming state.
 
-    Launches later than `delay` behind the newest day are dropped by the
-    watermark and counted in the progress report.
+    Launches later than `delay` behind the newest day are dropped by the watermark and
+    counted in the progress report; `first_launches_exact` drops none and is the job to
+    take where that matters. Unreadable lines go to `_quarantine` by a query of their own.
+    `state_partitions` fixes the number of state stores at the first start of the stream.
     """
-    decoded = _counted(decode.decode_startup(messages), "startups")
-    first = first_launch.dedup_stream(decode.accepted(decoded), delay, salts)
+    spark = messages.sparkSession
+    where = _checkpoint(path, checkpoint)
+    decoded = decode.decode_startup(messages)
+    rejects = sinks.start(decoded.filter(F.col("_error").isNotNull()),
+                          lambda rows, batch_id: sinks.write_quarantine(rows, batch_id, f"{path}/_quarantine"),
+                          f"{where}_quarantine", once=run.get("once", False))
+    if run.get("once"):
+        rejects.awaitTermination()
+    first = first_launch.dedup_stream(decode.accepted(_counted(decoded, "startups")), delay, salts)
     kept = first.observe("first_launches", F.count("*").alias("rows"))
-    write = sinks.table(path, "log_date")
-    return sinks.start(kept.select(*schemas.FIRST_LAUNCH_COLUMNS), write,
-                       _checkpoint(path, checkpoint), **run)
+    with _shuffle_partitions(spark, state_partitions):
+        return sinks.start(kept.select(*schemas.FIRST_LAUNCH_COLUMNS), sinks.table(path, "log_date"),
+                           where, **run)
+
+
+@contextmanager
+def _shuffle_partitions(spark: SparkSession, number: int | None):
+    """A query takes its settings when it starts; the session's stay as they were."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    if number:
+        spark.conf.set(key, str(number))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def first_launches_exact(messages: DataFrame, path: str, checkpoint: str | None = None,
@@ -105,9 +144,11 @@ def first_launches_exact(messages: DataFrame, path: str, checkpoint: str | None
     columns = [*schemas.FIRST_LAUNCH_COLUMNS, *extra]
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
         first = first_launch.first_per_key(decode.accepted(batch).select(*columns), order=order)
         first = first.persist()
         try:
+            sinks.write_quarantine(batch, batch_id, f"{path}/_quarantine")
             # One short string per calendar day in the batch.
             days = [r.log_date for r in first.select("log_date").distinct().collect()]
             if not days:
@@ -118,5 +159,6 @@ def first_launches_exact(messages: DataFrame, path: str, checkpoint: str | None
             sinks.write_batch(new, batch_id, path, "log_date")
         finally:
             first.unpersist()
+            batch.unpersist()
 
     return sinks.start(decoded, handle, _checkpoint(path, checkpoint), **run)

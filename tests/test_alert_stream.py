@@ -32,12 +32,19 @@ class _Replay:
         self.last = query.lastProgress["batchId"]
 
     def alerts(self):
-        return sorted((r.alert_id, r.ts, tuple(r.uids), tuple(r.events))
-                      for r in self.job.alerts(self.spark).collect())
+        return self._documents(self.job.alerts(self.spark))
 
     def expected(self, lines):
         rows = alerts.coupon_alerts(decode.accepted(decode.decode_event(lines(*self.sent))))
-        return sorted((r.alert_id, r.ts, tuple(r.uids), tuple(r.events)) for r in rows.collect())
+        return self._documents(rows)
+
+    @staticmethod
+    def _documents(rows):
+        found = {}
+        for r in rows.collect():
+            found.setdefault((r.alert_id, r.ts), []).append(
+                (r.kind, r.name, r.copies, r.n_uids, r.n_items, r.n_events))
+        return sorted((*key, tuple(sorted(members, key=str))) for key, members in found.items())
 
 
 def test_stream_equals_batch_with_late_and_repeated_batches(spark, tmp_path, put, lines):

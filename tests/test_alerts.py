@@ -38,19 +38,26 @@ def _rows(documents):
                   for r in documents.collect())
 
 
-def _whole(documents):
-    joined = lambda c: F.sort_array(F.flatten(F.collect_list(c))).alias(c)
-    return documents.groupBy("mid", "ts").agg(joined("uids"), joined("item_ids"), joined("events"))
+def _whole(rows):
+    """Alerts as documents, from their member rows; headers must agree with them."""
+    names = lambda kind: F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.col("name"))))
+    copies = F.collect_list(F.when(F.col("kind") == "event", F.array_repeat("name", F.col("copies").cast("int"))))
+    whole = rows.groupBy("alert_id", "mid", "ts").agg(
+        names("uid").alias("uids"), names("item").alias("item_ids"), F.sort_array(F.flatten(copies)).alias("events"),
+        F.max("n_uids").alias("n_uids"), F.max("n_items").alias("n_items"), F.max("n_events").alias("n_events"))
+    assert whole.filter((F.size("uids") != F.col("n_uids")) | (F.size("item_ids") != F.col("n_items"))
+                        | (F.size("events") != F.col("n_events"))).count() == 0
+    return whole
 
 
 def test_three_accounts_without_a_click(spark):
-    got = alerts.coupon_alerts(_events(spark, *_coupons("a", "1", "2", "3"),
-                                       ("a", "addCart", "9", "x", 1)), RULE)
+    got = _whole(alerts.coupon_alerts(_events(spark, *_coupons("a", "1", "2", "3"),
+                                              ("a", "addCart", "9", "x", 1)), RULE))
     first = got.orderBy("ts").first()
     assert (first.uids, first.item_ids) == (["1", "2", "3"], ["i"])
     assert first.events == ["addCart", "coupon", "coupon", "coupon"]
     assert first.alert_id == f"a_{T0 // 60000}" and first.ts == T0 + 55_000
-    assert got.count() == 6 and first.part == 0
+    assert got.count() == 6
 
 
 def test_what_raises_no_alert(spark):
@@ -66,22 +73,22 @@ def test_what_raises_no_alert(spark):
 
 def test_click_outside_the_window_does_not_count(spark):
     events = _events(spark, ("a", "clickItem", "1", "i", -10), *_coupons("a", "1", "2", "3", at=0))
-    assert _rows(alerts.coupon_alerts(events, RULE, True)) == _rows(_by_window(events, RULE))
+    assert _rows(_whole(alerts.coupon_alerts(events, RULE, True))) == _rows(_by_window(events, RULE))
 
 
 def test_last_window_of_a_minute_is_kept(spark):
     events = _events(spark, *_coupons("a", "1", "2", "3", at=10), *_coupons("a", "4", at=40))
-    every = alerts.coupon_alerts(events, RULE, every_window=True)
+    every = _whole(alerts.coupon_alerts(events, RULE, every_window=True))
     last = every.groupBy("alert_id").agg(F.max("ts").alias("ts"))
     want = _rows(every.join(last, ["alert_id", "ts"], "left_semi"))
-    assert _rows(alerts.coupon_alerts(events, RULE)) == want
+    assert _rows(_whole(alerts.coupon_alerts(events, RULE))) == want
 
 
 @pytest.mark.parametrize("rule", [
     RULE, AlertRule(window_s=60, slide_s=20), AlertRule(window_s=1800, slide_s=300, min_uids=2),
     AlertRule(window_s=30, slide_s=30, min_uids=1), AlertRule(window_s=120, slide_s=7 * 5 - 5, bucket_s=1),
 ])
-def test_equals_plain_windows_on_random_events(spark, rule):
+def test_equals_plain_windows_on_random_events(spark, rule, tmp_path):
     rng = random.Random(rule.window_s)
     rows = [(f"m{rng.randrange(3)}", rng.choice(["coupon"] * 8 + ["clickItem", "addCart", None]),
              rng.choice(["1", "2", "3", "4", None]), str(rng.randrange(5)), rng.uniform(-4000, 9000))
@@ -92,26 +99,24 @@ def test_equals_plain_windows_on_random_events(spark, rule):
     events = _events(spark, *rows)
     want = _rows(_by_window(events, rule))
     assert want
-    assert _rows(alerts.coupon_alerts(events, rule, every_window=True)) == want
-    assert _rows(_whole(alerts.coupon_alerts(events, rule, True, part_size=9))) == want
+    assert _rows(_whole(alerts.coupon_alerts(events, rule, True, staging=str(tmp_path / "s")))) == want
 
 
-def test_parts_of_a_large_alert_are_bounded_and_complete(spark):
+def test_a_large_alert_is_complete_in_bounded_rows(spark, tmp_path):
     events = _events(spark, *[("a", "coupon", str(n), str(n % 70), n / 100) for n in range(3000)],
-                     *[("a", "addCart", "1", "1", 1)] * 500)
-    parts = alerts.coupon_alerts(events, RULE, part_size=100)
-    assert parts.agg(F.max(F.size("events"))).first()[0] <= 300
-    whole = parts.groupBy("alert_id").agg(
-        F.sum(F.size("uids")).alias("u"), F.sum(F.size("item_ids")).alias("i"),
-        F.sum(F.size("events")).alias("e"), F.countDistinct("part").alias("p")).collect()
-    assert {(r.u, r.i, r.e) for r in whole if r.u == 3000} == {(3000, 70, 3500)}
-    assert max(r.p for r in whole) > 10
+                     *[("a", "addCart", "1", "1", 1)] * 500, *[("b", "addCart", "1", "1", 31)] * 20)
+    rows = alerts.coupon_alerts(events, RULE, staging=str(tmp_path / "s"))
+    header = rows.filter("kind = 'alert'").orderBy(F.desc("n_uids")).first()
+    assert (header.n_uids, header.n_items, header.n_events) == (3000, 70, 3500)
+    own = rows.filter((F.col("alert_id") == header.alert_id) & (F.col("kind") == "event"))
+    assert {r.name: r.copies for r in own.collect()} == {"coupon": 3000, "addCart": 500}
+    assert rows.filter("mid = 'b'").count() == 0
 
 
 def test_staging_gives_the_same_alerts(spark, tmp_path):
     events = _events(spark, *_coupons("a", "1", "2", "3"), *_coupons("b", "1", "2"))
-    assert _rows(alerts.coupon_alerts(events, RULE, staging=str(tmp_path / "w"))) == _rows(
-        alerts.coupon_alerts(events, RULE))
+    assert _rows(_whole(alerts.coupon_alerts(events, RULE, staging=str(tmp_path / "w")))) == _rows(
+        _whole(alerts.coupon_alerts(events, RULE)))
 
 
 def test_window_must_be_a_multiple_of_the_slide():
