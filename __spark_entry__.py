@@ -96,6 +96,17 @@ def order_quarantine(spark, sf):
         F.count("*").alias("n"))
 
 
+def startup_quarantine(spark, sf):
+    """Reasons for which damaged start logs are set aside, with their numbers."""
+    decoded = decode.decode_startup(bindings.damaged_startups(_table(spark, sf, "events")))
+    return decode.quarantined(decoded).groupBy(F.col("_error").alias("error")).agg(F.count("*").alias("n"))
+
+
+def change_quarantine(spark, sf):
+    entries = changes.parse_entries(bindings.damaged_changes(_table(spark, sf, "orders")))
+    return decode.quarantined(entries).groupBy(F.col("_error").alias("error")).agg(F.count("*").alias("n"))
+
+
 def _read_back(stamped: DataFrame) -> DataFrame:
     fields = F.from_json("value", "event_id long, ts long, extra struct<amount: double>")
     return stamped.select("topic", fields.alias("f")).select(
@@ -196,6 +207,50 @@ def realtime_hour_json(spark, sf):
     return metrics.realtime_hour_json(_hourly_tables(spark, sf), schemas.METRIC_DAU, LOG_DAY)
 
 
+# -- metrics on stored tables -------------------------------------------------------
+
+def _stored_launches(spark, sf):
+    path = work_folder(spark, "stored-launches")
+    launches = first_launch.earliest_per_key(_logs(spark, sf)).select(
+        "mid", "ts", times.log_hour(F.col("ts")).alias("log_hour"), "log_date")
+    tables.write_daily(launches, path, "log_date")
+    return tables.read_daily(spark, path, launches.schema)
+
+
+def _stored_orders(spark, sf):
+    path = work_folder(spark, "stored-orders")
+    orders = decode.accepted(decode.decode_order(bindings.as_json(
+        bindings.order_messages(_table(spark, sf, "orders"))))).select(
+            "id", "total_amount", "create_hour", "create_date", F.substring("create_date", 1, 7).alias("create_month"))
+    tables.write_daily(orders, path, "create_month")  # years of orders: a folder per month
+    return tables.read_daily(spark, path, orders.schema)
+
+
+def _stored_first_days(spark, launches):
+    path = work_folder(spark, "stored-first-days")
+    days = metrics.first_days(launches)
+    tables.write_daily(days, path, "first_day")
+    return tables.read_daily(spark, path, days.schema)
+
+
+def stored_dau_hour(spark, sf):
+    return metrics.dau_by_hour(_stored_launches(spark, sf), LOG_DAY)
+
+
+def stored_order_amount_hour(spark, sf):
+    month = _stored_orders(spark, sf).filter(F.col("create_month") == ORDER_DAY[:7])
+    return metrics.order_amount_by_hour(month, ORDER_DAY)
+
+
+def stored_realtime_total(spark, sf):
+    launches = _stored_launches(spark, sf)
+    orders = _stored_orders(spark, sf)
+    days = _stored_first_days(spark, launches)
+    # Orders lie in other years than logs: their day is read by its own date, then renamed.
+    moved = orders.filter((F.col("create_month") == ORDER_DAY[:7]) & (F.col("create_date") == ORDER_DAY)).withColumn("create_date", F.lit(LOG_DAY))
+    return metrics.realtime_total(launches, moved, LOG_DAY, days=days)
+
+
 # -- alerts -----------------------------------------------------------------------
 
 def _alerts(spark, sf, rule, every_window):
@@ -321,6 +376,25 @@ def sale_detail_page(spark, sf):
     return sale_detail.page(_found(spark, sf, None), offset=5, size=10)
 
 
+def sale_detail_next_page(spark, sf):
+    found = _found(spark, sf, None)
+    last = found.orderBy("order_detail_id").offset(4).limit(1).first()
+    return sale_detail.page_after(found, last["order_detail_id"], size=10) if last else found.limit(0)
+
+
+def sale_detail_json(spark, sf):
+    """The document, read back into rows: total, facet options and details."""
+    found = _found(spark, sf, KEYWORD)
+    fields = ", ".join(f"{f.name}:{f.dataType.simpleString()}" for f in found.schema.fields)
+    shape = f"total long, stat array<struct<facet:string,options:array<struct<name:string,value:long>>>>, detail array<struct<{fields}>>"
+    doc = sale_detail.result_json(found, offset=0, size=10).select(F.from_json("json", shape).alias("d")).select("d.*")
+    options = doc.select("total", F.inline("stat")).select("total", "facet", F.explode_outer("options").alias("o"))
+    facets = options.select("total", "facet", F.col("o.name").alias("name"), F.col("o.value").alias("value"))
+    rows = doc.select("total", F.explode("detail").alias("r")).select(
+        "total", F.lit("detail").alias("facet"), F.col("r.order_detail_id").alias("name"), F.col("r.sku_id").alias("value"))
+    return facets.unionByName(rows)
+
+
 def sale_detail_keyword(spark, sf):
     return _found(spark, sf, KEYWORD.upper())
 
@@ -345,10 +419,12 @@ QUERIES = [
     order_amount_day, order_amount_empty_day, order_amount_hour,
     realtime_total, realtime_total_json, realtime_hour_dau, realtime_hour_amount,
     realtime_hour_map, realtime_hour_json,
+    stored_dau_hour, stored_order_amount_hour, stored_realtime_total,
     coupon_alert_windows, coupon_alert_windows_live, coupon_alert_minute,
     stream_first_launch, stream_first_launch_exact, stream_orders, stream_change_feed,
     stream_route_logs, stream_alerts,
-    sale_detail_page, sale_detail_keyword, sale_detail_total, sale_detail_facets, region_sales,
+    sale_detail_page, sale_detail_next_page, sale_detail_keyword, sale_detail_total, sale_detail_facets,
+    sale_detail_json, region_sales, startup_quarantine, change_quarantine,
 ]
 
 
@@ -491,6 +567,13 @@ def _sql() -> dict[str, str]:
                           WHEN o_orderkey % 43 = 0 THEN 'missing_consignee_tel'
                           WHEN o_orderkey % 47 = 0 THEN 'bad_create_time' END AS error FROM orders)
             WHERE error IS NOT NULL GROUP BY error""",
+        "startup_quarantine": """SELECT error, count(*) AS n FROM (
+              SELECT CASE WHEN event_id % 37 = 0 THEN 'bad_json' WHEN event_id % 41 = 0 THEN 'missing_mid'
+                          WHEN event_id % 43 = 0 THEN 'bad_ts' WHEN event_id % 47 = 0 THEN 'missing_ts' END AS error
+              FROM events) WHERE error IS NOT NULL GROUP BY error""",
+        "change_quarantine": """SELECT error, count(*) AS n FROM (
+              SELECT CASE WHEN o_orderkey % 59 = 0 THEN 'bad_json' WHEN o_orderkey % 61 = 0 THEN 'missing_table' END AS error
+              FROM orders) WHERE error IS NOT NULL GROUP BY error""",
         "log_route": f"""SELECT event_id, topic, epoch_us(ts) // 1000 AS ts, value AS amount
             FROM ({routed})""",
         "change_feed_inserts": f"""WITH {_ORDER}
@@ -519,6 +602,15 @@ def _sql() -> dict[str, str]:
             SELECT '[{{"id":"dau","name":"{label["dau"]}","value":' || {_DAU}
               || '}},{{"id":"new_mid","name":"{label["new_mid"]}","value":' || {_NEW}
               || '}},{{"id":"order_amount","name":"{label["order_amount"]}"}}]' AS json""",
+        "stored_dau_hour": f"""WITH {_FIRST} SELECT log_hour, count(*) AS ct FROM launch
+            WHERE log_date = '{LOG_DAY}' GROUP BY log_hour""",
+        "stored_order_amount_hour": f"""WITH {_ORDER}
+            SELECT create_hour, sum(cents)::DOUBLE AS order_amount FROM order_row
+            WHERE create_date = '{ORDER_DAY}' GROUP BY create_hour""",
+        "stored_realtime_total": f"""WITH {_FIRST}, {_ORDER}
+            SELECT 1::INTEGER AS ord, 'dau' AS id, '{label["dau"]}' AS name, {_DAU}::DOUBLE AS value
+            UNION ALL SELECT 2, 'new_mid', '{label["new_mid"]}', {_NEW}::DOUBLE
+            UNION ALL SELECT 3, 'order_amount', '{label["order_amount"]}', {_amount(ORDER_DAY)}""",
         "realtime_hour_dau": f"WITH {_FIRST} " + _axis(
             "launch", "log_date", "log_hour", "count(*)::BIGINT", LOG_DAY, LOG_DAY_BEFORE, "0"),
         "realtime_hour_amount": f"WITH {_ORDER} " + _axis(
@@ -547,6 +639,19 @@ def _sql() -> dict[str, str]:
         "stream_alerts": _alert_sql(LIVE, True),
         "sale_detail_page":
             f"WITH {_DETAIL} SELECT * FROM detail ORDER BY order_detail_id LIMIT 10 OFFSET 5",
+        "sale_detail_next_page":
+            f"WITH {_DETAIL} SELECT * FROM detail ORDER BY order_detail_id LIMIT 10 OFFSET 5",
+        "sale_detail_json": f"""WITH {_DETAIL}, hit AS (
+              SELECT * FROM detail WHERE contains(lower(sku_name), '{KEYWORD}')), t AS (SELECT count(*) AS total FROM hit),
+            member AS (
+              SELECT 'age' AS facet, CASE WHEN user_age < 20 THEN '<20'
+                     WHEN user_age <= 30 THEN '20-30' ELSE '>30' END AS name FROM hit
+              UNION ALL SELECT 'gender', user_gender FROM hit),
+            counted AS (SELECT facet, name, count(*) AS value FROM member GROUP BY facet, name
+              UNION ALL SELECT f, NULL, NULL FROM (VALUES ('age'), ('gender')) v(f) WHERE (SELECT total FROM t) = 0)
+            SELECT total, facet, name, value FROM t, counted
+            UNION ALL SELECT total, 'detail', order_detail_id, sku_id::BIGINT FROM t,
+              (SELECT * FROM hit ORDER BY order_detail_id LIMIT 10)""",
         "sale_detail_keyword":
             f"WITH {_DETAIL} SELECT * FROM detail WHERE contains(lower(sku_name), '{KEYWORD}')",
         "sale_detail_total": f"""WITH {_DETAIL} SELECT count(*) AS total FROM detail

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,12 +20,12 @@ def earliest_per_key(rows: DataFrame, keys: Sequence[str] = KEYS, ts: str = "ts"
     Both numbers are packed in one decimal, so the aggregate stays in the hash map:
     no sort before or after the shuffle, and no other column is carried along.
     """
-    shift = F.lit(1 << 64).cast("decimal(20,0)")
-    unsigned = F.col(tie).cast("decimal(20,0)") + F.lit(1 << 63).cast("decimal(20,0)")
+    shift, half = F.lit(Decimal(1 << 64)), F.lit(Decimal(1 << 63))
+    unsigned = F.col(tie).cast("decimal(20,0)") + half
     packed = (F.col(ts).cast("decimal(17,0)") * shift + unsigned).cast("decimal(38,0)")
     first = rows.groupBy(*keys).agg(F.min(packed).alias("_first"))
     at = F.call_function("div", F.col("_first"), shift)
-    rest = F.col("_first") - at.cast("decimal(17,0)") * shift - F.lit(1 << 63).cast("decimal(20,0)")
+    rest = F.col("_first") - at.cast("decimal(17,0)") * shift - half
     return first.select(*keys, at.cast("long").alias(ts), rest.cast("long").alias(tie))
 
 

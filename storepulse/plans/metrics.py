@@ -13,30 +13,40 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storepulse import schemas
+from storepulse.functions import times
 from storepulse.operators import axis
 
 CENTS = "decimal(18,2)"
 
 
 def _money(amount: str = "total_amount") -> Column:
-    """An exact sum of two-digit amounts, null when there is none."""
+    """An exact sum of two-digit amounts, null when there is none.
+
+    Each amount is rounded to cents first (1.005 counts as 1.01); a sum of doubles would
+    depend on the order of the rows. Amounts that do not fit were set aside by decoding.
+    """
     return F.sum(F.col(amount).cast(CENTS)).cast("double")
 
 
-def dau_total(dau: DataFrame, day: str) -> DataFrame:
-    return dau.filter(F.col("log_date") == day).agg(F.count("*").alias("ct"))
+def _is_day(column: str, day: str | None) -> Column:
+    """Rows of a day; of today if none is given. Either way a constant, which prunes partitions."""
+    return F.col(column) == (times.today() if day is None else F.lit(day))
+
+
+def dau_total(dau: DataFrame, day: str | None = None) -> DataFrame:
+    return dau.filter(_is_day("log_date", day)).agg(F.count("*").alias("ct"))
 
 
-def dau_by_hour(dau: DataFrame, day: str) -> DataFrame:
-    return dau.filter(F.col("log_date") == day).groupBy("log_hour").agg(F.count("*").alias("ct"))
+def dau_by_hour(dau: DataFrame, day: str | None = None) -> DataFrame:
+    return dau.filter(_is_day("log_date", day)).groupBy("log_hour").agg(F.count("*").alias("ct"))
 
 
-def order_amount(orders: DataFrame, day: str) -> DataFrame:
-    return orders.filter(F.col("create_date") == day).agg(_money().alias("order_amount"))
+def order_amount(orders: DataFrame, day: str | None = None) -> DataFrame:
+    return orders.filter(_is_day("create_date", day)).agg(_money().alias("order_amount"))
 
 
-def order_amount_by_hour(orders: DataFrame, day: str) -> DataFrame:
-    return (orders.filter(F.col("create_date") == day)
+def order_amount_by_hour(orders: DataFrame, day: str | None = None) -> DataFrame:
+    return (orders.filter(_is_day("create_date", day))
             .groupBy("create_hour").agg(_money().alias("order_amount")))
 
 
@@ -52,15 +62,29 @@ def new_devices(dau: DataFrame, day: str) -> DataFrame:
             .agg(F.count("*").alias("ct")))
 
 
+def first_days(dau: DataFrame) -> DataFrame:
+    """`mid`, `first_day` (text): the table that the launch job keeps beside the launches."""
+    first = dau.groupBy("mid").agg(F.min(F.col("log_date").cast("date")).alias("first_day"))
+    return first.select("mid", F.col("first_day").cast("string").alias("first_day"))
+
+
+def new_devices_stored(days: DataFrame, day: str | None = None) -> DataFrame:
+    """Devices whose first day is `day`, from a table of first days partitioned by them."""
+    return days.filter(_is_day("first_day", day)).agg(F.count("*").alias("ct"))
+
+
 def realtime_total(dau: DataFrame, orders: DataFrame, day: str,
-                   history: DataFrame | None = None) -> DataFrame:
+                   history: DataFrame | None = None, days: DataFrame | None = None) -> DataFrame:
     """The three totals in display order: `ord`, `id`, `name`, `value`.
 
-    New devices are looked up in `history` (mid, log_date), by default `dau` itself.
+    New devices are counted in `days` (mid, first_day) if given; else they are looked up in
+    `history` (mid, log_date), by default `dau` itself.
     """
+    new = (new_devices(dau if history is None else history, day) if days is None
+           else new_devices_stored(days, day))
     totals = [
         (schemas.METRIC_DAU, dau_total(dau, day)),
-        (schemas.METRIC_NEW_MID, new_devices(dau if history is None else history, day)),
+        (schemas.METRIC_NEW_MID, new),
         (schemas.METRIC_ORDER_AMOUNT, order_amount(orders, day)),
     ]
     rows = None

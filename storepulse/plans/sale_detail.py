@@ -28,7 +28,7 @@ def page(found: DataFrame, offset: int, size: int, key: str = "order_detail_id")
 
 def page_after(found: DataFrame, after: str | None, size: int,
                key: str = "order_detail_id") -> DataFrame:
-    """The next `size` rows behind the last key of the page before."""
+    """The next `size` rows behind the last key of the page before; the key must be unique."""
     rest = found if after is None else found.filter(F.col(key) > after)
     return rest.orderBy(key).limit(size)
 
@@ -52,16 +52,29 @@ def facets(found: DataFrame) -> DataFrame:
 
 
 def result_json(found: DataFrame, offset: int, size: int) -> DataFrame:
-    """The page with its total and facets as one JSON object; the page bounds its length."""
-    options = (facets(found)
-               .groupBy("facet").agg(F.sort_array(F.collect_list(
-                   F.struct(F.col("value").alias("name"), F.col("n").alias("value"))))
-                   .alias("options"))
-               .agg(F.sort_array(F.collect_list(F.struct("facet", "options"))).alias("stat")))
-    rows = page(found, offset, size).agg(
-        F.sort_array(F.collect_list(F.struct("order_detail_id", *[
-            c for c in found.columns if c != "order_detail_id"]))).alias("detail"))
-    one = total(found).withColumn("_one", F.lit(1))
-    joined = (one.join(options.withColumn("_one", F.lit(1)), "_one")
-              .join(rows.withColumn("_one", F.lit(1)), "_one"))
-    return joined.select(F.to_json(F.struct("total", "stat", "detail")).alias("json"))
+    """The page with its total and both facets as one JSON object; the page bounds its length.
+
+    One pass over the rows counts every (age group, gender); total and facets are added up
+    from those few counts. A second pass takes the page. A facet without rows has no options.
+    """
+    age = F.coalesce(*[F.when(F.col("user_age") < end, F.lit(name)) for end, name in AGE_GROUPS],
+                     F.lit(OLDEST_GROUP))
+    counts = found.groupBy(age.alias("age"), F.col("user_gender").alias("gender")).agg(F.count("*").alias("n"))
+    listed = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
+                        F.collect_list(F.struct("age", "gender", "n")).alias("c"))
+
+    def options(by: str):
+        names = F.array_sort(F.array_distinct(F.transform("c", lambda e: e[by])))
+        return F.transform(names, lambda name: F.struct(name.alias("name"), F.aggregate(
+            F.filter("c", lambda e: e[by].eqNullSafe(name)), F.lit(0).cast("long"),
+            lambda total, e: total + e["n"]).alias("value")))
+
+    stat = F.array(*[F.struct(F.lit(by).alias("facet"), options(by).alias("options")) for by in ("age", "gender")])
+    head = listed.select("total", stat.alias("stat"), F.lit(None).cast("string").alias("_row"))
+    row = F.struct("order_detail_id", *[c for c in found.columns if c != "order_detail_id"])
+    rows = page(found, offset, size).select(row.alias("_row"))
+    detail = rows.agg(F.sort_array(F.collect_list("_row")).alias("detail"))
+    one = head.drop("_row").unionByName(detail, allowMissingColumns=True)
+    merged = one.agg(F.first("total", True).alias("total"), F.first("stat", True).alias("stat"),
+                     F.first("detail", True).alias("detail"))
+    return merged.select(F.to_json(F.struct("total", "stat", "detail")).alias("json"))

@@ -135,6 +135,26 @@ def damaged_orders(orders: DataFrame) -> DataFrame:
                      F.lit("{broken")).otherwise(F.col("value")).alias("value"))
 
 
+def damaged_startups(events: DataFrame) -> DataFrame:
+    """Start logs of which some cannot be used: no device, a time out of range or none, broken."""
+    key = F.col("event_id")
+    logs = startup_logs(events).withColumns({
+        "mid": F.when(F.pmod(key, F.lit(41)) != 0, F.col("mid")),
+        "ts": F.when(F.pmod(key, F.lit(43)) == 0, F.lit(2**63 - 1)).when(F.pmod(key, F.lit(47)) != 0, F.col("ts"))})
+    return as_json(logs, "event_id").select(
+        F.when(F.pmod(key, F.lit(37)) == 0, F.lit("{broken")).otherwise(F.col("value")).alias("value"))
+
+
+def damaged_changes(orders: DataFrame) -> DataFrame:
+    """Change-feed messages of which some are broken or name no table."""
+    key = F.col("o_orderkey")
+    return orders.select(
+        F.when(F.pmod(key, F.lit(59)) == 0, F.lit('{"table":')).when(
+            F.pmod(key, F.lit(61)) == 0, F.lit('{"entry_type":"ROWDATA"}')).otherwise(
+            F.to_json(F.struct(F.lit("ROWDATA").alias("entry_type"), F.lit("order_info").alias("table"),
+                               F.lit("INSERT").alias("type")))).alias("value"))
+
+
 def change_entries(orders: DataFrame) -> DataFrame:
     """Change-feed entries of one row each; some of another table, some updates."""
     fields = ["id", "user_id", "total_amount", "order_status", "consignee_tel", "create_time"]

@@ -22,6 +22,17 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType,
     return spark.read.schema(full).parquet(path)
 
 
+def write_daily(rows: DataFrame, path: str, partition: str) -> None:
+    """A whole table in one folder per day; the rebalance step sizes the files and splits a
+    day that holds most of the rows."""
+    (rows.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).parquet(path))
+
+
+def read_daily(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table of `write_daily`; a filter on its partition column reads those folders only."""
+    return spark.read.schema(schema).parquet(path)
+
+
 def read_partitions(spark: SparkSession, path: str, schema: T.StructType, column: str,
                     values: Sequence[str | int]) -> DataFrame:
     """The given partitions only, found by name, so files of the others are not even listed.
