@@ -44,7 +44,7 @@ def test_result_json(details):
 
 def test_result_json_without_hits(details):
     got = json.loads(sale_detail.result_json(sale_detail.search(details, "none"), 0, 2).first().json)
-    assert got == {"total": 0, "stat": [], "detail": []}
+    assert got == {"total": 0, "detail": [], "stat": [{"facet": "age", "options": []}, {"facet": "gender", "options": []}]}
 
 
 def test_region_bands(spark):
