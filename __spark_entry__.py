@@ -74,20 +74,19 @@ def _behaviour(spark: SparkSession, sf: str) -> DataFrame:
 def startup_decode_dates(spark, sf):
     lines = bindings.as_json(bindings.startup_logs(_table(spark, sf, "events")))
     logs = decode.accepted(decode.decode_startup(lines, extra=["event_id"]))
-    return logs.select(F.col("event_id").cast("long").alias("event_id"), "mid", "log_date", "log_hour")
+    return logs.withColumn("event_id", F.col("event_id").cast("long"))
 
 
 def event_decode(spark, sf):
     lines = bindings.as_json(_behaviour(spark, sf))
     logs = decode.accepted(decode.decode_event(lines, extra=["event_id"]))
-    return logs.select(F.col("event_id").cast("long").alias("event_id"), "mid", "uid", "evid",
-                       "itemid", "ch", "log_date", "log_hour", "ts")
+    return logs.withColumn("event_id", F.col("event_id").cast("long"))
 
 
 def order_decode_mask(spark, sf):
-    lines = bindings.as_json(bindings.order_messages(_table(spark, sf, "orders")))
-    return decode.accepted(decode.decode_order(lines)).select(
-        "id", "consignee_tel", "create_date", "create_hour", "total_amount")
+    lines = bindings.as_json(bindings.order_messages(
+        _table(spark, sf, "orders"), _table(spark, sf, "customer")))
+    return decode.accepted(decode.decode_order(lines)).select(*schemas.ORDER_COLUMNS)
 
 
 def order_quarantine(spark, sf):
@@ -302,12 +301,11 @@ def stream_first_launch_exact(spark, sf):
 
 def stream_orders(spark, sf):
     root = work_folder(spark, "orders")
-    lines = bindings.order_messages(_table(spark, sf, "orders"))
+    lines = bindings.order_messages(_table(spark, sf, "orders"), _table(spark, sf, "customer"))
     replay.write_topic(bindings.as_json(lines), f"{root}/topics", "order")
     jobs.ingest_orders(topics.read_folder(spark, f"{root}/topics", "order"), f"{root}/table",
                        partition="create_month", once=True).awaitTermination()
-    stored = tables.read_table(spark, f"{root}/table", schemas.ORDER_TABLE)
-    return stored.select("id", "consignee_tel", "create_date", "create_hour", "total_amount")
+    return tables.read_table(spark, f"{root}/table", schemas.ORDER_TABLE).select(*schemas.ORDER_COLUMNS)
 
 
 def stream_change_feed(spark, sf):
@@ -324,7 +322,7 @@ def stream_change_feed(spark, sf):
 
 
 def stream_route_logs(spark, sf):
-    """Rows per topic, per archived day and per reason in quarantine."""
+    """Messages by topic and by archived day, read back, and numbers per reason in quarantine."""
     root = work_folder(spark, "logs")
     lines = bindings.client_logs(_table(spark, sf, "events"))
     replay.write_topic(lines.select(F.to_json(F.struct("value", "arrived")).alias("value")),
@@ -334,13 +332,16 @@ def stream_route_logs(spark, sf):
               .select(arrived.alias("l")).select("l.*"))
     jobs.route_logs(stream, sinks.topic_folder(f"{root}/topics"), f"{root}/archive",
                     now=F.col("arrived"), once=True).awaitTermination()
-    count = lambda rows, sink, part: rows.groupBy(F.col(part).alias("part")).agg(
-        F.count("*").alias("n")).select(F.lit(sink).alias("sink"), "part", "n")
     archive = spark.read.schema("value string, log_date string").text(f"{root}/archive")
     rejected = tables.read_table(spark, f"{root}/archive/_quarantine", schemas.QUARANTINE_TABLE)
-    return (count(topics.read_folder_once(spark, f"{root}/topics"), "topic", "topic")
-            .unionByName(count(archive, "archive", "log_date"))
-            .unionByName(count(rejected, "quarantine", "_error")))
+    fields = F.from_json("value", "event_id long, mid string, ts long, extra struct<amount: double>").alias("f")
+    body = lambda rows, sink, part: rows.select(
+        F.lit(sink).alias("sink"), F.col(part).alias("part"), fields).select(
+        "sink", "part", "f.event_id", "f.mid", "f.ts", F.col("f.extra.amount").alias("amount"))
+    bad = rejected.groupBy(F.col("_error").alias("part")).agg(F.count("*").alias("event_id"))
+    return (body(topics.read_folder_once(spark, f"{root}/topics"), "topic", "topic")
+            .unionByName(body(archive, "archive", "log_date"))
+            .unionByName(bad.withColumn("sink", F.lit("quarantine")), allowMissingColumns=True))
 
 
 def stream_alerts(spark, sf):
@@ -459,6 +460,24 @@ _FIRST = _START + """, launch AS (
     SELECT *, row_number() OVER (PARTITION BY mid, log_date ORDER BY ts, event_id) AS rn
     FROM start_log) WHERE rn = 1)"""
 
+_PICK = lambda values, key: f"list_extract({values!r}, ({key} % {len(values)} + 1)::INTEGER)"
+
+_STARTUP_FIELDS = f"""event_id, 'mid_' || user_id AS mid, user_id::VARCHAR AS uid, '{bindings.APP_ID}' AS appid,
+  {_PICK(bindings.AREAS, 'event_id')} AS area, {_PICK(bindings.SYSTEMS, 'event_id')} AS os,
+  CASE WHEN event_id % 2 = 0 THEN '{bindings.IOS_CHANNEL}' ELSE {_PICK(bindings.CHANNELS, 'event_id')} END AS ch,
+  'startup' AS type, {_PICK(bindings.VERSIONS, 'event_id')} AS vs, epoch_us(ts) // 1000 AS ts,
+  strftime(ts, '%Y-%m-%d') AS log_date, strftime(ts, '%H') AS log_hour"""
+
+_ORDER_FIELDS = """SELECT o_orderkey::VARCHAR AS id, c_nationkey::VARCHAR AS province_id, c_name AS consignee,
+  NULL::VARCHAR AS order_comment, left('138' || lpad(o_custkey::VARCHAR, 8, '0'), 3) || repeat('*', 8) AS consignee_tel,
+  o_orderstatus AS order_status, NULL::VARCHAR AS payment_way, o_custkey::VARCHAR AS user_id, NULL::VARCHAR AS img_url,
+  o_totalprice::DECIMAL(18,2)::DOUBLE AS total_amount, NULL::VARCHAR AS expire_time, NULL::VARCHAR AS delivery_address,
+  strftime(o_orderdate, '%Y-%m-%d ') || lpad((o_orderkey % 24)::VARCHAR, 2, '0') || ':00:00' AS create_time,
+  NULL::VARCHAR AS operate_time, NULL::VARCHAR AS tracking_no, NULL::VARCHAR AS parent_order_id,
+  NULL::VARCHAR AS out_trade_no, NULL::VARCHAR AS trade_body, strftime(o_orderdate, '%Y-%m-%d') AS create_date,
+  lpad((o_orderkey % 24)::VARCHAR, 2, '0') AS create_hour
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey"""
+
 _ORDER = """order_row AS (
   SELECT o_orderkey::VARCHAR AS id, o_custkey::VARCHAR AS user_id, o_orderstatus,
          '138********' AS consignee_tel,
@@ -554,13 +573,14 @@ def _sql() -> dict[str, str]:
     inserted = """k % 100 <> 50 AND k % 10 <> 9 AND o_orderstatus <> 'P'"""
     return {
         "startup_decode_dates":
-            f"WITH {_START} SELECT event_id, mid, log_date, log_hour FROM start_log",
+            f"SELECT {_STARTUP_FIELDS} FROM events",
         "event_decode": f"""WITH {_BEHAVIOUR}
-            SELECT event_id, mid, uid, evid, itemid, NULL::VARCHAR AS ch,
-                   strftime(seen_at, '%Y-%m-%d') AS log_date, strftime(seen_at, '%H') AS log_hour, ts
+            SELECT event_id, mid, uid, '{bindings.APP_ID}' AS appid, {_PICK(bindings.AREAS, 'event_id')} AS area,
+                   {_PICK(bindings.SYSTEMS, 'event_id')} AS os, NULL::VARCHAR AS ch, 'event' AS type, evid,
+                   (event_id % 7)::VARCHAR AS pgid, (event_id % 11)::VARCHAR AS npgid, itemid, ts,
+                   strftime(seen_at, '%Y-%m-%d') AS log_date, strftime(seen_at, '%H') AS log_hour
             FROM act""",
-        "order_decode_mask": f"""WITH {_ORDER}
-            SELECT id, consignee_tel, create_date, create_hour, total_amount FROM order_row""",
+        "order_decode_mask": _ORDER_FIELDS,
         "order_quarantine": """SELECT error, count(*) AS n FROM (
               SELECT CASE WHEN o_orderkey % 53 = 0 THEN 'bad_json'
                           WHEN o_orderkey % 41 = 0 THEN 'bad_total_amount'
@@ -627,14 +647,13 @@ def _sql() -> dict[str, str]:
         "coupon_alert_minute": _alert_sql(LIVE, True),
         "stream_first_launch": f"WITH {_START} SELECT DISTINCT mid, log_date FROM start_log",
         "stream_first_launch_exact": f"WITH {_FIRST} SELECT mid, log_date, event_id FROM launch",
-        "stream_orders": f"""WITH {_ORDER}
-            SELECT id, consignee_tel, create_date, create_hour, total_amount FROM order_row""",
+        "stream_orders": _ORDER_FIELDS,
         "stream_change_feed": f"""WITH {_ORDER}
             SELECT id, user_id, total_amount, create_date FROM order_row WHERE {inserted}""",
-        "stream_route_logs": f"""WITH routed AS ({routed})
-            SELECT 'topic' AS sink, topic AS part, count(*) AS n FROM routed GROUP BY topic
-            UNION ALL SELECT 'archive', strftime(ts, '%Y-%m-%d'), count(*) FROM routed GROUP BY 2
-            UNION ALL SELECT 'quarantine', 'bad_json', count(*) FROM events
+        "stream_route_logs": f"""WITH routed AS (SELECT *, 'mid_' || user_id AS mid, epoch_us(ts) // 1000 AS ms FROM ({routed}))
+            SELECT 'topic' AS sink, topic AS part, event_id, mid, ms AS ts, value AS amount FROM routed
+            UNION ALL SELECT 'archive', strftime(ts, '%Y-%m-%d'), event_id, mid, ms, value FROM routed
+            UNION ALL SELECT 'quarantine', 'bad_json', count(*), NULL, NULL, NULL FROM events
                       WHERE event_id % 97 = 0 HAVING count(*) > 0""",
         "stream_alerts": _alert_sql(LIVE, True),
         "sale_detail_page":
