@@ -95,7 +95,7 @@ def decode_words(words: np.ndarray) -> np.ndarray:
     return ids
 
 
-BLOCK = pa.schema([("file_first", pa.int64()), ("file", pa.int64()), ("block", pa.int64()), ("n_ids", pa.int64()),
+BLOCK = pa.schema([("file", pa.int64()), ("block", pa.int64()), ("before", pa.int64()), ("n_ids", pa.int64()),
                    ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("words", pa.binary())])
 
 
@@ -105,8 +105,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col:
 
     Returns the folder: a Parquet table with one row per block, sorted by (file, block).
     Files cover ranges of ids in order. A block holds whole documents up to about
-    `block_ids` ids (a longer document has a block of its own): the ids of its documents,
-    their lengths, and the Simple-8b words. Null texts are empty; null ids come first;
+    `block_ids` ids (a longer document has a block of its own): the ids that come before it
+    in its file, the names and lengths of its documents, and the Simple-8b words. Null texts are empty; null ids come first;
     rows that repeat an id stay, ordered by their text. Other columns are not read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
@@ -115,12 +115,12 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        file, block, first, open_docs = TaskContext.get().partitionId(), 0, None, []
+        file, block, before, open_docs = TaskContext.get().partitionId(), 0, 0, []
 
         def flush():
             ids = np.frombuffer(b"".join(b for _, b in open_docs), dtype="<u4")
             return pa.RecordBatch.from_pylist([{
-                "file_first": first, "file": file, "block": block, "n_ids": len(ids),
+                "file": file, "block": block, "before": before, "n_ids": len(ids),
                 "doc_ids": [d for d, _ in open_docs], "lengths": [len(b) // 4 for _, b in open_docs],
                 "words": encode_words(ids).astype("<u8").tobytes()}], schema=BLOCK)
 
@@ -131,16 +131,15 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col:
                 part = batch.slice(at, 512)
                 names = part.column(0).to_pylist()
                 for name, ids in zip(names, tokens.encode(part.column(1).to_pylist())):
-                    first = name if first is None else first
                     if open_docs and held + len(ids) // 4 + 1 > block_ids:
                         yield flush()
-                        block, held, open_docs = block + 1, 0, []
+                        block, before, held, open_docs = block + 1, before + held, 0, []
                     open_docs.append((name, ids + end))
                     held += len(ids) // 4 + 1
         if open_docs:
             yield flush()
 
-    schema = ("file_first long, file long, block long, n_ids long, doc_ids array<long>, "
+    schema = ("file long, block long, before long, n_ids long, doc_ids array<long>, "
               "lengths array<long>, words binary")
     path = work_folder(docs.sparkSession, "token-files")
     dealt.select("doc_id", "text").mapInArrow(pack, schema).write.parquet(path)
@@ -154,11 +153,7 @@ def read_token_files(spark, path: str) -> DataFrame:
     # One row per file, however many documents: a running sum over them is short.
     before = F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     files = totals.select("file", before.alias("file_start"))
-    within = F.coalesce(F.sum("n_ids").over(Window.partitionBy("file").orderBy("block").rowsBetween(
-        Window.unboundedPreceding, -1)), F.lit(0))
-    places = blocks.select("file", "block", within.alias("block_start")).join(files, "file")
-    whole = blocks.select("file", "block", "doc_ids", "lengths", "words").join(
-        places.select("file", "block", (F.col("file_start") + F.col("block_start")).alias("start")), ["file", "block"])
+    whole = blocks.join(files, "file").withColumn("start", F.col("file_start") + F.col("before"))
 
     def unpack(batches):
         for batch in batches:
