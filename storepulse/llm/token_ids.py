@@ -13,7 +13,8 @@ import re
 from collections.abc import Iterable
 
 _CUT = re.compile(r"(?<=\S)(?= \S)")
-_CLOSING = ".,!?;:"
+#: Marks that after a letter start a piece of their own; an apostrophe may belong to the word.
+_CLOSING = ".,!?;:\"#$%&()*+-/<=>@[\\]^_`{|}~"
 
 
 class WordEncoder:

@@ -48,7 +48,7 @@ def test_trained_gradient_lowers_the_loss():
     texts = [bytes(rng.choice(b"abcd" if i % 2 else b"cdef") for _ in range(60)) for i in range(200)]
     windows, owner = language_id.cut_windows(texts)
     labels = (owner % 2).astype(int)
-    model = language_id.ByteConvNet(["x", "y"]).fit(windows, labels, epochs=20, batch=20, rate=0.01)
+    model = language_id.ByteConvNet(["x", "y"]).fit(windows, labels, steps=200, batch=20, rate=0.01)
     assert (model.predict(windows, model.tables()).argmax(axis=1) == labels).mean() > 0.95
 
 
