@@ -305,7 +305,18 @@ def stream_orders(spark, sf):
     replay.write_topic(bindings.as_json(lines), f"{root}/topics", "order")
     jobs.ingest_orders(topics.read_folder(spark, f"{root}/topics", "order"), f"{root}/table",
                        partition="create_month", once=True).awaitTermination()
-    return tables.read_table(spark, f"{root}/table", schemas.ORDER_TABLE).select(*schemas.ORDER_COLUMNS)
+    return tables.read_orders(spark, f"{root}/table")
+
+
+def stream_orders_upsert(spark, sf):
+    """Two versions of many orders in one batch; one row per order is read."""
+    root = work_folder(spark, "orders-upsert")
+    lines = bindings.repeated_orders(_table(spark, sf, "orders"), _table(spark, sf, "customer"))
+    replay.write_topic(bindings.as_json(lines), f"{root}/topics", "order")
+    jobs.ingest_orders(topics.read_folder(spark, f"{root}/topics", "order"), f"{root}/table",
+                       partition="create_month", once=True).awaitTermination()
+    return tables.read_orders(spark, f"{root}/table").select(
+        "id", "order_status", "total_amount", "create_time", "operate_time", "consignee", "create_date")
 
 
 def stream_change_feed(spark, sf):
@@ -317,8 +328,7 @@ def stream_change_feed(spark, sf):
                          once=True).awaitTermination()
     jobs.ingest_orders(topics.read_folder(spark, f"{root}/topics", "order"), f"{root}/table",
                        partition="create_month", once=True).awaitTermination()
-    stored = tables.read_table(spark, f"{root}/table", schemas.ORDER_TABLE)
-    return tables.latest_per_key(stored, "id").select("id", "user_id", "total_amount", "create_date")
+    return tables.read_orders(spark, f"{root}/table").select("id", "user_id", "total_amount", "create_date")
 
 
 def stream_route_logs(spark, sf):
@@ -422,7 +432,8 @@ QUERIES = [
     realtime_hour_map, realtime_hour_json,
     stored_dau_hour, stored_order_amount_hour, stored_realtime_total,
     coupon_alert_windows, coupon_alert_windows_live, coupon_alert_minute,
-    stream_first_launch, stream_first_launch_exact, stream_orders, stream_change_feed,
+    stream_first_launch, stream_first_launch_exact, stream_orders,
+    stream_orders_upsert, stream_change_feed,
     stream_route_logs, stream_alerts,
     sale_detail_page, sale_detail_next_page, sale_detail_keyword, sale_detail_total, sale_detail_facets,
     sale_detail_json, region_sales, startup_quarantine, change_quarantine,
@@ -648,6 +659,10 @@ def _sql() -> dict[str, str]:
         "stream_first_launch": f"WITH {_START} SELECT DISTINCT mid, log_date FROM start_log",
         "stream_first_launch_exact": f"WITH {_FIRST} SELECT mid, log_date, event_id FROM launch",
         "stream_orders": _ORDER_FIELDS,
+        "stream_orders_upsert": f"""SELECT id, CASE WHEN id::BIGINT % 3 = 0 THEN 'X' ELSE order_status END AS order_status,
+              CASE WHEN id::BIGINT % 3 = 0 THEN 1.0::DOUBLE ELSE total_amount END AS total_amount, create_time,
+              CASE WHEN id::BIGINT % 3 = 0 THEN strftime(create_time::TIMESTAMP + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S')
+                   ELSE create_time END AS operate_time, consignee, create_date FROM ({_ORDER_FIELDS})""",
         "stream_change_feed": f"""WITH {_ORDER}
             SELECT id, user_id, total_amount, create_date FROM order_row WHERE {inserted}""",
         "stream_route_logs": f"""WITH routed AS (SELECT *, 'mid_' || user_id AS mid, epoch_us(ts) // 1000 AS ms FROM ({routed}))

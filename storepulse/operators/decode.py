@@ -25,8 +25,9 @@ def _is_blank(column: Column) -> Column:
     return column.isNull() | (column == "")
 
 
-def decode_json(rows: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
-    """Fields of `schema`, the raw payload as `_raw` and a reason as `_error`.
+def decode_json(rows: DataFrame, schema: T.StructType, value: str = "value",
+                keep: Sequence[str] = ()) -> DataFrame:
+    """Fields of `schema`, the raw payload as `_raw` and a reason as `_error`; columns `keep` beside them.
 
     Unknown keys are ignored and missing keys are null. Every field is read as
     text first and cast afterwards, because producers quote their numbers.
@@ -38,7 +39,7 @@ def decode_json(rows: DataFrame, schema: T.StructType, value: str = "value") ->
         [T.StructField(f.name, T.StringType()) for f in schema.fields]
         + [T.StructField(_CORRUPT, T.StringType())])
     parsed = F.from_json(F.col(value), as_text, {"columnNameOfCorruptRecord": _CORRUPT})
-    read = rows.select(F.col(value).alias("_raw"), F.inline(F.array(parsed)))
+    read = rows.select(*keep, F.col(value).alias("_raw"), F.inline(F.array(parsed)))
 
     columns, checks = [], [
         (F.coalesce(F.trim("_raw"), F.lit("")) == "", "empty"),
@@ -52,7 +53,7 @@ def decode_json(rows: DataFrame, schema: T.StructType, value: str = "value") ->
             typed = raw.try_cast(field.dataType)
             columns.append(typed.alias(field.name))
             checks.append((~_is_blank(raw) & typed.isNull(), f"bad_{field.name}"))
-    return read.select(*columns, "_raw", _first_error(checks).alias("_error"))
+    return read.select(*keep, *columns, "_raw", _first_error(checks).alias("_error"))
 
 
 def _also_reject(rows: DataFrame, checks: list[tuple[Column, str]]) -> DataFrame:
@@ -84,9 +85,9 @@ def decode_event(rows: DataFrame, value: str = "value", extra: Sequence[str] = (
     return _decode_log(rows, schemas.EVENT, value, extra)
 
 
-def decode_order(rows: DataFrame, value: str = "value") -> DataFrame:
+def decode_order(rows: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """Order messages with masked phones and the date and hour of their creation."""
-    orders = decode_json(rows, schemas.ORDER, value).withColumns({
+    orders = decode_json(rows, schemas.ORDER, value, keep).withColumns({
         "create_date": times.create_date(F.col("create_time")),
         "create_hour": times.create_hour(F.col("create_time")),
         "consignee_tel": text.mask_phone(F.col("consignee_tel")),

@@ -121,6 +121,15 @@ def order_messages(orders: DataFrame, customer: DataFrame | None = None) -> Data
     return orders.select(*columns)
 
 
+def repeated_orders(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """Every order as it was placed and, for each third, as it was changed a day later."""
+    placed = order_messages(orders, customer).withColumn("operate_time", F.col("create_time"))
+    later = F.date_format(F.col("create_time").cast("timestamp") + F.make_interval(days=F.lit(1)), "yyyy-MM-dd HH:mm:ss")
+    changed = placed.filter(F.pmod(F.col("id").cast("long"), F.lit(3)) == 0).withColumns({
+        "operate_time": later, "order_status": F.lit("X"), "total_amount": F.lit("1.00")})
+    return changed.unionByName(placed)
+
+
 def damaged_orders(orders: DataFrame) -> DataFrame:
     """Order payloads of which some cannot be read, each in a different way."""
     good = order_messages(orders)

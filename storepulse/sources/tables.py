@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from storepulse import schemas
+
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType,
                partitions: Sequence[str] = ()) -> DataFrame:
@@ -57,6 +59,14 @@ def latest_per_key(rows: DataFrame, key: str, version: Sequence[str] = ("batch_i
     return rows.groupBy(key).agg(newest.alias("_row")).select(key, "_row.*").select(*rows.columns)
 
 
+def read_orders(spark: SparkSession, path: str) -> DataFrame:
+    """The order table as a keyed store would hold it: the newest version of every id.
+
+    A version sent again in a later batch replaces the earlier copy."""
+    stored = read_table(spark, path, schemas.ORDER_TABLE, ["version"])
+    return latest_per_key(stored, "id", ("version", "batch_id")).select(*schemas.ORDER_COLUMNS)
+
+
 def live_alerts(alerts: DataFrame) -> DataFrame:
     """The rows of the last batch that wrote each alert, without withdrawn ones.
 

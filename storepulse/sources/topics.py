@@ -20,9 +20,10 @@ def kafka_source_options(servers: str, topic: str, start: str = "latest",
 
 
 def read_kafka(spark: SparkSession, servers: str, topic: str, **kw) -> DataFrame:
-    """A topic as a stream of string keys and values; needs the Kafka connector package."""
+    """A topic as a stream of string keys and values with their place; needs the Kafka connector package."""
     stream = spark.readStream.format("kafka").options(**kafka_source_options(servers, topic, **kw)).load()
-    return stream.select(F.col("key").cast("string"), F.col("value").cast("string"), "topic")
+    return stream.select(F.col("key").cast("string"), F.col("value").cast("string"), "topic",
+                         "partition", "offset", "timestamp")
 
 
 def read_folder(spark: SparkSession, path: str, topic: str | None = None,

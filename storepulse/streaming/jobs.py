@@ -74,18 +74,27 @@ def ingest_orders(messages: DataFrame, path: str, checkpoint: str | None = None,
                   partition: str = "create_date", **run) -> StreamingQuery:
     """Masked orders by creation date; unreadable messages go to `_quarantine`.
 
+    Of several messages on one order in a batch the newest is written: that with the
+    highest offset if the messages carry one (all messages of a key share a partition),
+    else with the latest `operate_time`. `tables.read_orders` then takes the newest of all
+    batches, so the table reads as a keyed store would.
+
     For a backfill of years, `partition="create_month"` makes fewer folders;
     filters on the date then skip by the statistics inside the files.
     """
-    decoded = _counted(decode.decode_order(messages), "orders")
+    place = ["offset"] if "offset" in messages.columns else []
+    version = F.lpad(F.col("offset").cast("string"), 20, "0") if place else F.coalesce("operate_time", F.lit(""))
+    decoded = _counted(decode.decode_order(messages, keep=place), "orders")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            orders = decode.accepted(batch).select(*schemas.ORDER_COLUMNS)
+            orders = decode.accepted(batch).withColumn("version", version)
+            newest = tables.latest_per_key(orders.select(*schemas.ORDER_COLUMNS, "version"), "id",
+                                           ("version", "total_amount"))
             if partition == "create_month":
-                orders = orders.withColumn(partition, F.substring("create_date", 1, 7))
-            sinks.write_batch(orders, batch_id, path, partition)
+                newest = newest.withColumn(partition, F.substring("create_date", 1, 7))
+            sinks.write_batch(newest, batch_id, path, partition)
             sinks.write_quarantine(batch, batch_id, f"{path}/_quarantine")
         finally:
             batch.unpersist()

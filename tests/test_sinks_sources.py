@@ -1,3 +1,4 @@
+import json
 import tempfile
 
 import pytest
@@ -58,7 +59,17 @@ def test_a_resent_order_is_stored_once_for_readers(spark, tmp_path, put):
                            str(tmp_path / "orders"), once=True).awaitTermination()
     stored = tables.read_table(spark, str(tmp_path / "orders"), schemas.ORDER_TABLE)
     assert stored.count() == 2
-    assert [r.total_amount for r in tables.latest_per_key(stored, "id").collect()] == [7.0]
+    assert [r.total_amount for r in tables.read_orders(spark, str(tmp_path / "orders")).collect()] == [7.0]
+
+
+def test_the_newest_message_of_a_batch_wins(spark, tmp_path):
+    order = {"id": "1", "consignee_tel": "138", "create_time": "2024-01-02 03:04:05"}
+    rows = [(json.dumps({**order, "total_amount": str(n)}), n) for n in (9, 11, 10)]
+    (tmp_path / "in").mkdir()
+    spark.createDataFrame(rows, "value string, offset long").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("value string, offset long").parquet(str(tmp_path / "in"))
+    jobs.ingest_orders(stream, str(tmp_path / "orders"), once=True).awaitTermination()
+    assert [r.total_amount for r in tables.read_orders(spark, str(tmp_path / "orders")).collect()] == [11.0]
 
 
 def test_routed_lines_reach_topics_and_archive(spark, tmp_path, put):
