@@ -57,6 +57,9 @@ class Lattice:
         self.weights = weights
         self.letters = {p for p in weights if len(p) == 1 and p != MARK and ord(p) < BYTE}
         self.longest = max((len(p) for p in weights), default=1)
+        # Weight of every piece, 0 for what only begins a piece: where a look-up fails, no longer piece fits.
+        self.begins = dict.fromkeys((p[:i] for p in weights for i in range(1, len(p))), 0.0) | {
+            p: w for p, w in weights.items() if p}
 
     def spell(self, word: bytes) -> str:
         """Mark and characters; characters that are no piece by themselves become bytes."""
@@ -65,54 +68,58 @@ class Lattice:
             text = "".join(c if c in self.letters else "".join(chr(BYTE + b) for b in c.encode()) for c in text)
         return MARK + text
 
-    def _forward(self, text: str) -> tuple[list[float], float]:
-        """Sums for each prefix, scaled, and log of the scale that was taken out at the end.
+    def log10(self, word: bytes) -> float:
+        """log10 of the sum over all segmentations of a word.
 
-        Long words would underflow, so a stretch of the sums is rescaled as it goes."""
-        n, weights, longest = len(text), self.weights, self.longest
+        Sums over long words would underflow, so they are rescaled on the way."""
+        text, get, longest = self.spell(word), self.begins.get, self.longest
+        n = len(text)
         sums, logs = [1.0] + [0.0] * n, 0.0
-        for i in range(1, n + 1):
-            total = 0.0
-            for j in range(max(0, i - longest), i):
-                if sums[j]:
-                    w = weights.get(text[j:i])
+        for i in range(n):
+            if i % 32 == 31:
+                top = max(sums[i:i + longest + 1])
+                if top < 1e-100:
+                    logs += math.log(top)
+                    sums[i:i + longest + 1] = [x / top for x in sums[i:i + longest + 1]]
+            here = sums[i]
+            if here:
+                for k in range(i + 1, n + 1):
+                    w = get(text[i:k])
+                    if w is None:
+                        break
                     if w:
-                        total += sums[j] * w
-            sums[i] = total
-            if total < 1e-200:  # rescale what later sums can see
-                back = max(0, i - longest)
-                top = max(sums[back:i + 1])
-                logs += math.log(top)
-                for j in range(back, i + 1):
-                    sums[j] /= top
-        return sums, logs
-
-    def log10(self, word: bytes) -> float:
-        """log10 of the sum over all segmentations of a word."""
-        sums, logs = self._forward(self.spell(word))
-        return (math.log(sums[-1]) + logs) / math.log(10)
+                        sums[k] += here * w
+        return (math.log(sums[n]) + logs) / math.log(10)
 
     def expected(self, word: bytes, times: int, into: Counter) -> None:
         """Add the expected number of uses of each piece in `times` copies of the word.
 
         Words too long for plain sums count their characters."""
-        text, weights, longest = self.spell(word), self.weights, self.longest
+        text, get = self.spell(word), self.begins.get
         n = len(text)
         if n > 60:
             for c in text:
                 into[c] += times
             return
-        ahead, _ = self._forward(text)
-        behind = [0.0] * n + [1.0]
-        for i in range(n - 1, -1, -1):
-            behind[i] = sum(behind[k] * weights.get(text[i:k], 0.0) for k in range(i + 1, min(n, i + longest) + 1))
-        scale = times / ahead[n]
+        ahead, edges = [1.0] + [0.0] * n, []
         for i in range(n):
-            if ahead[i]:
-                for k in range(i + 1, min(n, i + longest) + 1):
-                    w = weights.get(text[i:k])
-                    if w and behind[k]:
-                        into[text[i:k]] += ahead[i] * w * behind[k] * scale
+            here = ahead[i]
+            if here:
+                for k in range(i + 1, n + 1):
+                    piece = text[i:k]
+                    w = get(piece)
+                    if w is None:
+                        break
+                    if w:
+                        w *= here
+                        ahead[k] += w
+                        edges.append((i, k, w, piece))
+        # `w` holds the sum up to the edge's end; `share` is the part of it that reaches the word's end.
+        share = [0.0] * n + [times / ahead[n]]
+        for i, k, w, piece in reversed(edges):
+            if part := share[k] * w:
+                into[piece] += part
+                share[i] += part / ahead[i]
 
 
 def _words(batches: Iterator[pa.RecordBatch], column: int):
@@ -151,7 +158,7 @@ def word_counts(docs: DataFrame, text_col: str = "text", train_col: str = "train
             .groupBy("word").agg(F.sum("c").alias("c")))
 
 
-def fit(counts: DataFrame, end_count: int, vocabulary_path: str, rounds: int = 1) -> dict[str, float]:
+def fit(counts: DataFrame, end_count: int, vocabulary_path: str, rounds: int = 2) -> dict[str, float]:
     """Piece probabilities after `rounds` of expectation-maximisation over the word counts.
 
     Only the expected counts of the pieces, as many as the vocabulary has, reach the
@@ -199,7 +206,7 @@ def score_documents(docs: DataFrame, vocabulary_path: str, train: Column, id_col
     ends = rows.filter("train").count()
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
     n, v = total["n"] + ends, total["v"] + (ends > 0)
-    weights = fit(counts, ends, vocabulary_path, rounds=1 if ends else 0)
+    weights = fit(counts, ends, vocabulary_path, rounds=2 if ends else 0)
     end_base, end_score = math.log10(ends + 0.1), math.log10(weights[END])
     norm = math.log10(n + 0.1 * (v + 1))
 
