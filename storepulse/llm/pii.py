@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Kinds in the order of listings. The first four are the base; the method adds the others.
-KINDS = ("email", "ip", "card", "phone", "url", "account")
+#: `tel` and `pan` are phones and cards that the base patterns run past or into something else.
+KINDS = ("email", "ip", "card", "phone", "url", "account", "tel", "pan", "secret")
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -20,7 +21,11 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _HOST = re.compile(r"(?:[^\s/@<>\"']*@)?[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?::[0-9]+)?(?:[/?#][^\s<>\"']*)?")
 _ACCOUNT = re.compile(r"[\s:#=.]{0,3}(?:(?:number|no|nr|num)\b[\s:#=.]{0,3})?([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{1,4}){3,8}|[0-9][0-9-]{5,}[0-9])")
 
-#: Cues of accounts (fixed values, in lower case) and of addresses with a scheme.
+_GROUP = re.compile(r"[0-9]+")
+_SECRET = re.compile(r"[\"']?\s{0,3}[=:]\s{0,3}[\"']?([A-Za-z0-9_./+-]{8,}=*)")
+
+#: Cues of credentials, of accounts (fixed values, in lower case) and of addresses with a scheme.
+SECRET_CUES = ("token", "secret", "password", "passwd", "api_key", "apikey")
 ACCOUNT_CUES = ("iban", "account", "acct", "konto", "cuenta", "compte")
 SCHEMES = ("http://", "https://", "ftp://")
 
@@ -43,14 +48,44 @@ def iban(text: str) -> bool:
     return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97 == 1
 
 
+def card_groups(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """Cards inside a stretch of digit groups that is none as a whole: a group of 16 to 19
+    digits, or four groups of four with equal separators."""
+    groups, found, i = [m.span() for m in _GROUP.finditer(text, start, end)], [], 0
+    while i < len(groups):
+        a, b = groups[i]
+        four = groups[i:i + 4]
+        if 16 <= b - a <= 19 and luhn(text[a:b]):
+            found.append((a, b))
+        elif (len(four) == 4 and all(y - x == 4 for x, y in four)
+              and len({text[y] for _, y in four[:3]}) == 1 and luhn("".join(text[x:y] for x, y in four))):
+            found.append((a, four[-1][1]))
+            i += 3
+        i += 1
+    return found
+
+
+def phone_prefix(text: str) -> int:
+    """Length of the longest start of a phone match, up to a space, that has 8 to 15 digits; 0 if none."""
+    best = digits = 0
+    for i, c in enumerate(text):
+        if c == " " and 8 <= digits <= 15 and "0" <= text[i - 1] <= "9":
+            best = i
+        digits += "0" <= c <= "9"
+        if digits > 15:
+            break
+    return best
+
+
 def automaton():
     import ahocorasick
     words = ahocorasick.Automaton()
     for anchor in ("@", "+", *"0123456789"):
         words.add_word(anchor, (anchor if anchor in "@+" else "0", len(anchor)))
-    for anchor in ACCOUNT_CUES:
-        for form in {anchor, anchor.upper(), anchor.capitalize()}:
-            words.add_word(form, ("account", len(form)))
+    for kind, cues in (("account", ACCOUNT_CUES), ("secret", SECRET_CUES)):
+        for anchor in cues:
+            for form in {anchor, anchor.upper(), anchor.capitalize()}:
+                words.add_word(form, (kind, len(form)))
     for anchor in SCHEMES:
         words.add_word(anchor, ("url", len(anchor)))
     words.make_automaton()
@@ -88,6 +123,8 @@ def find(text: str, anchors) -> list[tuple[str, int, int]]:
                     digits = m[0].replace(" ", "").replace("-", "")
                     if 16 <= len(digits) <= 19 and luhn(digits):
                         found["card"].append(m.span())
+                    elif len(digits) > 16:
+                        found["pan"] += card_groups(text, *m.span())
         elif kind == "@":
             start = at
             while start > end_of["email"] and text[start - 1] in _LOCAL:
@@ -102,6 +139,13 @@ def find(text: str, anchors) -> list[tuple[str, int, int]]:
                 end_of["phone"] = m.end()
                 if 8 <= sum("0" <= c <= "9" for c in m[0]) <= 15:
                     found["phone"].append(m.span())
+                elif size := phone_prefix(m[0]):
+                    found["tel"].append((at, at + size))
+        elif kind == "secret" and at >= end_of["secret"]:
+            m = _SECRET.match(text, last + 1)
+            if m and any("0" <= c <= "9" for c in m[1]):
+                found["secret"].append(m.span(1))
+                end_of["secret"] = m.end()
         elif kind == "url" and at >= end_of["url"]:
             m = _HOST.match(text, last + 1)
             if m and m.end() > last + 1:

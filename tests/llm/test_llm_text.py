@@ -86,6 +86,9 @@ def test_added_kinds_and_redaction():
     spans = pii.find(text, anchors)
     assert [(k, text[s:e]) for k, s, e in spans if k in ("url", "account")] == [
         ("url", "https://a.example/x?y=1"), ("account", "DE89 3704 0044 0532 0130 00"), ("account", "12345678")]
+    text = 'call +1 (826) 555-4081 10.11.12.13 pay 4111 1111 1111 1111 2024 or 4111111111111111 77 token = "ab12cd34ef56" x'
+    assert [(k, text[s:e]) for k, s, e in pii.find(text, anchors) if k not in pii.KINDS[:4]] == [
+        ("tel", "+1 (826) 555-4081"), ("pan", "4111 1111 1111 1111"), ("pan", "4111111111111111"), ("secret", "ab12cd34ef56")]
     assert pii.redacted("mail a@b.co now", [("email", 5, 11)]) == "mail <EMAIL> now"
     assert pii.redacted("0123456789", [("card", 0, 5), ("phone", 3, 8)]) == "<CARD>89"
 
