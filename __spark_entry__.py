@@ -510,7 +510,7 @@ _BEHAVIOUR = """act AS (
 def _alert_sql(rule: AlertRule, per_minute: bool) -> str:
     """Header and member rows of every window that raises an alert, or of each minute's last."""
     panes, slide = rule.panes, rule.slide_s
-    kept = "row_number() OVER (PARTITION BY mid, w_end // 60 ORDER BY w_end DESC) = 1" if per_minute else "true"
+    last = "QUALIFY row_number() OVER (PARTITION BY mid, w_end // 60 ORDER BY w_end DESC) = 1" if per_minute else ""
     return f"""WITH {_BEHAVIOUR}, placed AS (
   SELECT *, unnest(generate_series(ts // {slide * 1000}, ts // {slide * 1000} + {panes - 1})) AS w
   FROM act), alert AS (
@@ -520,7 +520,7 @@ def _alert_sql(rule: AlertRule, per_minute: bool) -> str:
   FROM placed GROUP BY mid, w
   HAVING count(DISTINCT uid) FILTER (evid = 'coupon') >= {rule.min_uids}
      AND NOT bool_or(evid = 'clickItem')), kept AS (
-  SELECT *, mid || '_' || (w_end // 60) AS alert_id FROM alert QUALIFY {kept}), inside AS (
+  SELECT *, mid || '_' || (w_end // 60) AS alert_id FROM alert {last}), inside AS (
   SELECT k.alert_id, k.mid, k.w_end, p.uid, p.itemid, p.evid
   FROM kept k JOIN placed p ON p.mid = k.mid AND p.w = k.w), member AS (
   SELECT alert_id, mid, w_end, 'uid' AS kind, uid AS name FROM inside WHERE evid = 'coupon'
