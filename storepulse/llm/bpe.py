@@ -52,7 +52,7 @@ class WordCodec:
     """Words to ids and back, with what was found kept up to `remembered` words."""
 
     def __init__(self, path: str, pattern: str, memory: str = "200MB", chunk: int = 50_000,
-                 remembered: int = 450_000):
+                 remembered: int = 700_000):
         import duckdb
         import regex
         with open(path, "rb") as lines:
