@@ -91,35 +91,54 @@ class Lattice:
                         sums[k] += here * w
         return (math.log(sums[n]) + logs) / math.log(10)
 
+    def _lift(self, sums: list[float], i: int) -> float:
+        """Scale up the sums from `i` on, of which that at `i` has become small; the factor.
+
+        Sums are never scaled down, and each is used while it is 1e-100 or more: none is lost."""
+        begun = sums[i:i + self.longest]
+        up = min(1 / begun[0], 1e280 / max(begun))
+        sums[i:i + self.longest] = [x * up for x in begun]
+        return up
+
     def expected(self, word: bytes, times: int, into: Counter) -> None:
         """Add the expected number of uses of each piece in `times` copies of the word.
 
-        Words too long for plain sums count their characters."""
-        text, get = self.spell(word), self.begins.get
+        Forward sums are rescaled on the way, whatever the length of the word. `share` is the
+        number of uses that pass a place, over the place's forward sum, and scaled like it."""
+        text, get, longest = self.spell(word), self.begins.get, self.longest
         n = len(text)
-        if n > 60:
-            for c in text:
-                into[c] += times
-            return
-        ahead, edges = [1.0] + [0.0] * n, []
+        ahead, lifts = [1.0] + [0.0] * n, []
         for i in range(n):
+            here = ahead[i]
+            if here < 1e-100:
+                if not here:
+                    continue
+                lifts.append((i, self._lift(ahead, i)))
+                here = ahead[i]
+            for k in range(i + 1, n + 1):
+                w = get(text[i:k])
+                if w is None:
+                    break
+                if w:
+                    ahead[k] += here * w
+        share = [0.0] * n + [times / ahead[n]]
+        for i in range(n - 1, -1, -1):
             here = ahead[i]
             if here:
+                passing = 0.0
                 for k in range(i + 1, n + 1):
                     piece = text[i:k]
                     w = get(piece)
                     if w is None:
                         break
                     if w:
-                        w *= here
-                        ahead[k] += w
-                        edges.append((i, k, w, piece))
-        # `w` holds the sum up to the edge's end; `share` is the part of it that reaches the word's end.
-        share = [0.0] * n + [times / ahead[n]]
-        for i, k, w, piece in reversed(edges):
-            if part := share[k] * w:
-                into[piece] += part
-                share[i] += part / ahead[i]
+                        w *= share[k]
+                        passing += w
+                        into[piece] += w * here
+                share[i] = passing
+            if lifts and lifts[-1][0] == i:
+                up = lifts.pop()[1]
+                share[i:i + longest] = [x * up for x in share[i:i + longest]]
 
 
 def _words(batches: Iterator[pa.RecordBatch], column: int):

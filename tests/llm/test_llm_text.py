@@ -4,6 +4,7 @@ import re
 import zlib
 
 import public_tokenizers as vocabularies
+import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
@@ -134,6 +135,48 @@ def test_expected_counts_are_those_of_all_segmentations():
         assert math.isclose(total[piece], expected, abs_tol=1e-9)
 
 
+def exact_counts(text, weights, times):
+    """Sum over segmentations and expected uses of each piece, in fractions."""
+    from fractions import Fraction
+    longest = max(map(len, weights))
+    exact = {p: Fraction(w) for p, w in weights.items()}
+    n = len(text)
+    edges = [(i, k) for i in range(n) for k in range(i + 1, min(n, i + longest) + 1) if text[i:k] in exact]
+    ahead, behind = [Fraction(1)] + [Fraction(0)] * n, [Fraction(0)] * n + [Fraction(1)]
+    for i, k in edges:
+        ahead[k] += ahead[i] * exact[text[i:k]]
+    for i, k in reversed(edges):
+        behind[i] += behind[k] * exact[text[i:k]]
+    uses = {}
+    for i, k in edges:
+        uses[text[i:k]] = uses.get(text[i:k], 0) + times * ahead[i] * exact[text[i:k]] * behind[k] / ahead[n]
+    return ahead[n], {p: float(u) for p, u in uses.items()}
+
+
+TINY = {"▁": 2.0**-30, "▁a": 2.0**-9, "a": 2.0**-40, "b": 2.0**-36, "ab": 2.0**-45, "aba": 2.0**-70, "bbbb": 2.0**-20}
+
+
+@pytest.mark.parametrize("word", ["ab" * 30, "ab" * 30 + "a", "abb" * 60, "abbbbab" * 70, "b" * 500])
+def test_expected_counts_of_long_words(word):
+    from collections import Counter
+    total, lattice = Counter(), lattice_lm.Lattice(TINY)
+    lattice.expected(word.encode(), 3, total)
+    _, uses = exact_counts("▁" + word, TINY, 3)
+    assert set(total) == set(uses)
+    for piece, n in uses.items():
+        assert math.isclose(total[piece], n, rel_tol=1e-9, abs_tol=1e-30)
+
+
+def test_expected_counts_do_not_change_with_length():
+    from collections import Counter
+    lattice = lattice_lm.Lattice(lattice_lm.start_weights(lattice_lm.vocabulary(vocabularies.path("piece_bpe_32k.model"))))
+    for size in (61, 5000):  # symbols with the mark
+        word, total = ("information" * 500)[:size - 1], Counter()
+        lattice.expected(word.encode(), 2, total)
+        assert math.isclose(sum(len(p) * n for p, n in total.items()), 2 * size, rel_tol=1e-9)
+        assert total["inform"] + total["information"] + total["ation"] > total["m"]
+
+
 def test_scores_equal_brute_force(spark):
     rows = [(i, f"The word{i % 7} and THE other {i} word{i % 3} a b", None) for i in range(60)] + [
         (60, None, None), (61, "", None), (62, " \n", None), (None, "the", None), (None, "the", None), (7, "new and rare", None)]
