@@ -72,23 +72,22 @@ class Lattice:
         """log10 of the sum over all segmentations of a word.
 
         Sums over long words would underflow, so they are rescaled on the way."""
-        text, get, longest = self.spell(word), self.begins.get, self.longest
+        text, get = self.spell(word), self.begins.get
         n = len(text)
         sums, logs = [1.0] + [0.0] * n, 0.0
         for i in range(n):
-            if i % 32 == 31:
-                top = max(sums[i:i + longest + 1])
-                if top < 1e-100:
-                    logs += math.log(top)
-                    sums[i:i + longest + 1] = [x / top for x in sums[i:i + longest + 1]]
             here = sums[i]
-            if here:
-                for k in range(i + 1, n + 1):
-                    w = get(text[i:k])
-                    if w is None:
-                        break
-                    if w:
-                        sums[k] += here * w
+            if here < 1e-100:
+                if not here:
+                    continue
+                logs -= math.log(self._lift(sums, i))
+                here = sums[i]
+            for k in range(i + 1, n + 1):
+                w = get(text[i:k])
+                if w is None:
+                    break
+                if w:
+                    sums[k] += here * w
         return (math.log(sums[n]) + logs) / math.log(10)
 
     def _lift(self, sums: list[float], i: int) -> float:

@@ -167,6 +167,25 @@ def test_expected_counts_of_long_words(word):
         assert math.isclose(total[piece], n, rel_tol=1e-9, abs_tol=1e-30)
 
 
+@pytest.mark.parametrize("word", ["ab" * 30, "abb" * 60, "b" * 60, "b" * 501, "ab" * 250])
+def test_sums_of_rare_symbols(word):
+    sums, _ = exact_counts("▁" + word, TINY, 1)
+    log = math.log10(sums.numerator) - math.log10(sums.denominator)
+    assert math.isclose(lattice_lm.Lattice(TINY).log10(word.encode()), log, rel_tol=1e-9)
+
+
+@pytest.mark.parametrize("size", [60, 500, 5000])
+def test_sums_of_pieces_of_the_least_weight(size):
+    from collections import Counter
+    scores = lattice_lm.vocabulary(vocabularies.path("piece_bpe_32k.model"))
+    weights = dict.fromkeys(scores, 1e-12)
+    lattice, total = lattice_lm.Lattice(weights), Counter()
+    word = "\U00010380" * (size // 4)  # no piece: four bytes each
+    assert math.isclose(lattice.log10(word.encode()), -12.0 * (size + 1), rel_tol=1e-9)
+    lattice.expected(word.encode(), 1, total)
+    assert math.isclose(sum(total.values()), size + 1, rel_tol=1e-9)
+
+
 def test_expected_counts_do_not_change_with_length():
     from collections import Counter
     lattice = lattice_lm.Lattice(lattice_lm.start_weights(lattice_lm.vocabulary(vocabularies.path("piece_bpe_32k.model"))))
