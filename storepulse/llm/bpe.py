@@ -1,9 +1,10 @@
-"""Byte-level BPE by recursive DuckDB queries: encoding and decoding from a rank file.
+"""Byte-level BPE by DuckDB queries: encoding and decoding from a rank file.
 
-In every partition the distinct new words go to DuckDB as rows (word, position, token). A
-recursive query joins neighbours with the merge table and contracts, in each word, the
-leftmost pair of minimum rank, until no pair is left. Decoding joins ids with the
-vocabulary and puts their bytes together in order.
+In every partition the distinct new words go to DuckDB as rows (word, position, token). In
+rounds, until no pair is left, queries join neighbours with the merge table and contract the
+pairs of minimum rank; a long word has several places where a pair is next. Only the newest
+state of a word is kept, so a match of any length takes memory in proportion to its bytes.
+Decoding joins ids with the vocabulary and puts their bytes together in order.
 """
 
 from __future__ import annotations
@@ -18,26 +19,76 @@ from pyspark.sql import functions as F
 
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 
-ENCODE = """
-WITH RECURSIVE
-whole AS (SELECT w.word, v.id FROM words w JOIN vocabulary v ON v.bytes = w.bytes),
-state AS (
-    SELECT word, pos, id, 0 AS step FROM letters WHERE word NOT IN (SELECT word FROM whole)
+WHOLE = """
+INSERT INTO encoded SELECT w.word, 0 AS pos, v.id FROM words w JOIN vocabulary v ON v.bytes = w.bytes
+"""
+
+START = """
+CREATE OR REPLACE TABLE state AS
+SELECT word, pos, id FROM letters ANTI JOIN encoded USING (word) ORDER BY word, pos
+"""
+
+# `state` is stored in order and read by one thread, so neighbours are told by place.
+PAIRS = """
+CREATE OR REPLACE TABLE pairs AS
+WITH near AS (
+    SELECT word, pos, id, row_number() OVER () AS place, lag(word) OVER () AS word_before, lag(id) OVER () AS id_before,
+           lead(word) OVER () AS next_word, lead(id) OVER () AS next_id,
+           lead(word, 2) OVER () AS word_after, lead(id, 2) OVER () AS id_after
+    FROM state)
+SELECT n.word, n.pos, n.id, n.place, m.merged, m.doubles, n.pos // $reach AS block,
+       CASE WHEN word_before = word THEN id_before END AS id_before, CASE WHEN word_after = word THEN id_after END AS id_after
+FROM near n LEFT JOIN merges m ON m.a = n.id AND m.b = n.next_id AND n.word = n.next_word
+"""
+
+BLOCKS = """
+CREATE OR REPLACE TABLE blocks AS
+SELECT word, block, min(merged) AS least FROM pairs WHERE merged IS NOT NULL GROUP BY word, block
+"""
+
+DONE = "INSERT INTO encoded SELECT word, pos, id FROM pairs ANTI JOIN blocks USING (word)"
+
+# A pair of least rank in its block of `reach` bytes and the blocks beside it is next whatever
+# happens beyond: what could take one of its tokens is a token of at most half a block.
+LEAST = """
+CREATE OR REPLACE TABLE least AS
+WITH more AS (SELECT * FROM blocks SEMI JOIN (SELECT word FROM blocks WHERE block > 0) USING (word)),
+around AS (
+    SELECT word, block, least FROM blocks
+    UNION ALL SELECT word, block - 1, least FROM more UNION ALL SELECT word, block + 1, least FROM more),
+lowest AS (SELECT word, block, min(least) AS merged FROM around GROUP BY word, block),
+next AS (SELECT p.* FROM pairs p JOIN lowest USING (word, block, merged))
+SELECT n.*, coalesce(b.merged = n.merged, false) AS follows,
+       coalesce(n.doubles OR l.merged < n.merged OR r.merged < n.merged, false) AS goes_on
+FROM next n LEFT JOIN merges b ON b.a = n.id_before AND b.b = n.id
+LEFT JOIN lower l ON l.a = n.id_before AND l.b = n.merged LEFT JOIN lower r ON r.a = n.merged AND r.b = n.id_after
+"""
+
+# All such pairs are contracted in one round, every other one where they overlap, provided that the
+# start of their row is among them. Only where a result would go on at once (it has a lower rank
+# with a neighbour), the leftmost goes alone.
+CHOOSE = """
+CREATE OR REPLACE TABLE chosen AS
+WITH rows AS (SELECT *, place - row_number() OVER (ORDER BY place) AS row FROM least WHERE follows),
+heads AS (SELECT row, min(place) - 1 AS head FROM rows GROUP BY row),
+free AS (
+    SELECT word, block, pos, place, merged FROM least WHERE NOT follows
     UNION ALL
-    (WITH pairs AS (
-        SELECT word, pos, id, step, lead(id) OVER right_of AS next_id, lead(pos) OVER right_of AS next_pos
-        FROM state WINDOW right_of AS (PARTITION BY word ORDER BY pos)),
-    ranked AS (
-        SELECT p.*, m.merged FROM pairs p LEFT JOIN merges m ON m.a = p.id AND m.b = p.next_id),
-    best AS (
-        SELECT word, arg_min(pos, merged * 1000000 + pos) AS at, arg_min(next_pos, merged * 1000000 + pos) AS gone,
-               min(merged) AS merged
-        FROM ranked WHERE merged IS NOT NULL GROUP BY word)
-    SELECT r.word, r.pos, CASE WHEN r.pos = b.at THEN b.merged ELSE r.id END AS id, r.step + 1 AS step
-    FROM ranked r JOIN best b ON b.word = r.word WHERE r.pos <> b.gone)),
-last AS (SELECT word, max(step) AS step FROM state GROUP BY word)
-SELECT s.word, s.pos, s.id FROM state s JOIN last l ON l.word = s.word AND l.step = s.step
-UNION ALL SELECT word, 0 AS pos, id FROM whole
+    SELECT r.word, r.block, r.pos, r.place, r.merged FROM rows r JOIN heads h ON h.row = r.row AND (r.place - h.head) % 2 = 0
+    SEMI JOIN least l ON l.place = h.head),
+wild AS (SELECT DISTINCT word, block + d AS block FROM least, (VALUES (-1), (0), (1)) AS v(d) WHERE goes_on),
+first AS (
+    SELECT w.word, w.block, min(l.pos) AS pos FROM wild w
+    JOIN least l ON l.word = w.word AND l.block BETWEEN w.block - 1 AND w.block + 1 GROUP BY w.word, w.block)
+SELECT f.place, f.merged FROM free f LEFT JOIN first w ON w.word = f.word AND w.block = f.block
+WHERE w.pos IS NULL OR w.pos = f.pos
+"""
+
+CONTRACT = """
+CREATE OR REPLACE TABLE state AS
+SELECT p.word, p.pos, coalesce(c.merged, p.id) AS id
+FROM pairs p SEMI JOIN blocks USING (word) LEFT JOIN chosen c ON c.place = p.place
+ANTI JOIN chosen g ON g.place + 1 = p.place ORDER BY p.word, p.pos
 """
 
 GATHER = "SELECT word, list(id ORDER BY pos) AS ids FROM encoded GROUP BY word"
@@ -67,7 +118,12 @@ class WordCodec:
         self._db.execute("ALTER TABLE vocabulary ADD COLUMN hex VARCHAR")
         self._db.execute("UPDATE vocabulary SET hex = bytes")
         a, b, merged = zip(*pairs) if pairs else ((), (), ())
-        self._fill("merges", a=pa.array(a, pa.int32()), b=pa.array(b, pa.int32()), merged=pa.array(merged, pa.int64()))
+        doubles = {x for x, y, r in pairs if x == y and r < x}
+        self._fill("merges", a=pa.array(a, pa.int32()), b=pa.array(b, pa.int32()), merged=pa.array(merged, pa.int64()),
+                   doubles=pa.array([r in doubles for r in merged], pa.bool_()))
+        low = [p for p in pairs if p[2] < max(p[:2])]
+        self._fill("lower", **{k: pa.array([p[i] for p in low], pa.int64()) for i, k in enumerate(("a", "b", "merged"))})
+        self._reach = 2 * max(map(len, ranks), default=1)
         self._split, self._chunk, self._remembered = regex.compile(pattern).findall, chunk, remembered
         self._words: dict[str, tuple[bytes, bytes]] = {}
         self._several: dict[str, tuple[bytes, bytes]] = {}  # stretches of several words
@@ -78,6 +134,16 @@ class WordCodec:
         self._db.execute(f"CREATE OR REPLACE TABLE {table} AS SELECT * FROM _rows")
         self._db.unregister("_rows")
 
+    def _contract(self) -> None:
+        """From `words` and `letters` to `encoded`. Only the newest state of a word is kept."""
+        self._db.execute("CREATE OR REPLACE TABLE encoded (word INTEGER, pos INTEGER, id BIGINT)")
+        self._db.execute(WHOLE)
+        self._db.execute(START)
+        while self._db.execute("SELECT count(*) FROM state").fetchone()[0]:
+            self._db.execute(PAIRS, {"reach": self._reach})
+            for step in (BLOCKS, DONE, LEAST, CHOOSE, CONTRACT):
+                self._db.execute(step)
+
     def _learn(self, words: list[str]) -> None:
         for at in range(0, len(words), self._chunk):
             part = [w.encode("utf-8", "surrogatepass") for w in words[at:at + self._chunk]]
@@ -87,7 +153,7 @@ class WordCodec:
                        word=pa.array([i for i, n in enumerate(sizes) for _ in range(n)], pa.int32()),
                        pos=pa.array([j for n in sizes for j in range(n)], pa.int32()),
                        id=pa.array([self._letters[c] for p in part for c in p], pa.int64()))
-            self._db.execute(f"CREATE OR REPLACE TABLE encoded AS {ENCODE}")
+            self._contract()
             ids = dict(self._db.execute(GATHER).fetchall())
             texts = dict(self._db.execute(DECODE).fetchall())
             for i, word in enumerate(words[at:at + self._chunk]):

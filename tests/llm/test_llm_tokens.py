@@ -1,5 +1,6 @@
 import base64
 import random
+import tempfile
 import zlib
 from collections import defaultdict
 
@@ -106,6 +107,37 @@ def test_bpe_equals_the_library(spark):
     assert sorted((str(r.doc_id), bytes(r.ids), bytes(r.decoded)) for r in found) == sorted(expected)
 
 
+def library():
+    import tiktoken
+    with open(vocabularies.path("byte_bpe_50k.tiktoken"), "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    return tiktoken.Encoding("own", pat_str=vocabularies.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@pytest.mark.parametrize("alphabet, size", [("acgt", 20_000), ("ab", 20_000), ("-=_*#", 20_000), ("-", 1_000_003)])
+def test_bpe_of_one_long_match(alphabet, size):
+    text = "".join(random.Random(1).choices(alphabet, k=size))
+    ids, decoded = bpe.WordCodec(vocabularies.path("byte_bpe_50k.tiktoken"), vocabularies.PATTERN).encode([text])[0]
+    assert np.frombuffer(ids, "<u4").tolist() == library().encode_ordinary(text) and decoded == text.encode()
+
+
+def test_bpe_of_a_vocabulary_whose_ranks_fall():
+    """Tokens whose rank is below that of a part, so that a contraction may go on at once."""
+    import tiktoken
+    draw = random.Random(7)
+    for _ in range(20):
+        parts = {bytes(draw.choices(b"abc", k=draw.randint(2, 5))) for _ in range(25)}
+        tokens = [bytes([i]) for i in range(256)] + draw.sample(sorted(parts), len(parts))
+        ranks = {t: i for i, t in enumerate(tokens)}
+        own = tiktoken.Encoding("own", pat_str=vocabularies.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        with tempfile.NamedTemporaryFile("wb", suffix=".tiktoken") as file:
+            file.write(b"".join(base64.b64encode(t) + b" %d\n" % i for t, i in ranks.items()))
+            file.flush()
+            words = bpe.WordCodec(file.name, vocabularies.PATTERN)
+        texts = ["".join(draw.choices("abc", k=k)) for k in (3, 9, 30, 99)]
+        assert [np.frombuffer(f[0], "<u4").tolist() for f in words.encode(texts)] == [own.encode_ordinary(t) for t in texts]
+
+
 def test_bpe_forgets_without_harm():
     words = bpe.WordCodec(vocabularies.path("byte_bpe_50k.tiktoken"), vocabularies.PATTERN, chunk=3, remembered=2)
     first = words.encode([t for _, t in TEXTS])
