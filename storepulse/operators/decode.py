@@ -97,6 +97,7 @@ def decode_order(rows: DataFrame, value: str = "value", keep: Sequence[str] = ()
         (F.isnan(amount) | (F.abs(amount) >= MOST_AMOUNT), "bad_total_amount"),
         (F.col("consignee_tel").isNull(), "missing_consignee_tel"),
         (_is_blank(F.col("create_date")) | F.col("create_hour").isNull(), "bad_create_time"),
+        (_is_blank(F.col("id")), "missing_id"),
     ])
 
 

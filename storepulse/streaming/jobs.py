@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -70,13 +71,22 @@ def forward_changes(entries: DataFrame, topics: BatchSink, checkpoint: str,
     return sinks.start(_counted(entries, "changes"), handle, checkpoint, **run)
 
 
+def _with_file(messages: DataFrame) -> DataFrame:
+    """`_file`: age and path of the file that a message comes from, null if from none."""
+    try:
+        return messages.withColumn("_file", F.struct("_metadata.file_modification_time", "_metadata.file_path"))
+    except AnalysisException:
+        return messages.withColumn("_file", F.lit(None).cast("string"))
+
+
 def ingest_orders(messages: DataFrame, path: str, checkpoint: str | None = None,
                   partition: str = "create_date", **run) -> StreamingQuery:
     """Masked orders by creation date; unreadable messages go to `_quarantine`.
 
     Of several messages on one order in a batch the newest is written: that with the
     highest offset if the messages carry one (all messages of a key share a partition),
-    else with the latest `operate_time`. `tables.read_orders` then takes the newest of all
+    else with the latest `operate_time`, and of equal ones that in the
+    newest file (by age, then path) and latest in it. `tables.read_orders` then takes the newest of all
     batches, so the table reads as a keyed store would.
 
     For a backfill of years, `partition="create_month"` makes fewer folders;
@@ -84,14 +94,14 @@ def ingest_orders(messages: DataFrame, path: str, checkpoint: str | None = None,
     """
     place = ["offset"] if "offset" in messages.columns else []
     version = F.lpad(F.col("offset").cast("string"), 20, "0") if place else F.coalesce("operate_time", F.lit(""))
-    decoded = _counted(decode.decode_order(messages, keep=place), "orders")
+    decoded = _counted(decode.decode_order(_with_file(messages), keep=[*place, "_file"]), "orders")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        batch = batch.withColumn("_place", F.monotonically_increasing_id()).persist()
         try:
             orders = decode.accepted(batch).withColumn("version", version)
-            newest = tables.latest_per_key(orders.select(*schemas.ORDER_COLUMNS, "version"), "id",
-                                           ("version", "total_amount"))
+            newest = tables.latest_per_key(orders.select(*schemas.ORDER_COLUMNS, "version", "_file", "_place"), "id",
+                                           ("version", "_file", "_place")).drop("_file", "_place")
             if partition == "create_month":
                 newest = newest.withColumn(partition, F.substring("create_date", 1, 7))
             sinks.write_batch(newest, batch_id, path, partition)

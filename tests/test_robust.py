@@ -65,6 +65,26 @@ def test_alert_job_survives_a_far_future_event(spark, tmp_path, put):
     assert _reasons(spark, str(tmp_path / "job" / "_quarantine")) == ["bad_ts"]
 
 
+def _order(number, **more):
+    return {"id": number, "consignee_tel": "138", "create_time": "2024-01-15 10:00:00", "operate_time": "2024-01-15 11:00:00", **more}
+
+
+def test_orders_without_id_are_kept_apart(spark, tmp_path, put):
+    put(tmp_path / "topics", "order", _order(None, total_amount="1"), _order("", total_amount="2"), _order("7", total_amount="3"))
+    jobs.ingest_orders(topics.read_folder(spark, str(tmp_path / "topics"), "order"), str(tmp_path / "t"), once=True).awaitTermination()
+    assert [(r.id, r.total_amount) for r in tables.read_orders(spark, str(tmp_path / "t")).collect()] == [("7", 3.0)]
+    assert _reasons(spark, str(tmp_path / "t" / "_quarantine")) == ["missing_id", "missing_id"]
+
+
+def test_of_equal_versions_the_last_to_arrive_holds(spark, tmp_path, put):
+    put(tmp_path / "topics", "order", _order("1", total_amount="9"), _order("2", total_amount="1", operate_time=None),
+        _order("1", total_amount="5", consignee="first"), _order("2", total_amount="0.5", operate_time=None),
+        _order("1", total_amount="5", consignee="a last"))
+    jobs.ingest_orders(topics.read_folder(spark, str(tmp_path / "topics"), "order"), str(tmp_path / "t"), once=True).awaitTermination()
+    rows = tables.read_orders(spark, str(tmp_path / "t")).collect()
+    assert sorted((r.id, r.total_amount, r.consignee) for r in rows) == [("1", 5.0, "a last"), ("2", 0.5, None)]
+
+
 def test_change_feed_keeps_unreadable_entries(spark, tmp_path):
     (tmp_path / "in").mkdir()
     good = '{"entry_type":"ROWDATA","table":"order_info","type":"INSERT","rows":[{"after":[{"name":"id","value":"1"}]}]}'
