@@ -65,6 +65,16 @@ def test_alert_job_survives_a_far_future_event(spark, tmp_path, put):
     assert _reasons(spark, str(tmp_path / "job" / "_quarantine")) == ["bad_ts"]
 
 
+def test_alert_job_reads_existing_folders_only(spark, tmp_path, put):
+    """An accepted time far ahead: the folders up to it are not named one by one."""
+    job, path = CouponAlertJob(str(tmp_path / "job")), str(tmp_path / "topics")
+    for ts in (T0, 253_402_200_000_000, T0 + 5_000):
+        put(tmp_path / "topics", "event", _log("a", ts))
+        job.start(topics.read_folder(spark, path, "event"), once=True).awaitTermination()
+    assert job._clock(spark, 2)[1] == 253_402_200_000 // 5
+    assert job._panes(spark, T0 // 5000, 253_402_200_000 // 5, []).count() == 3
+
+
 def _order(number, **more):
     return {"id": number, "consignee_tel": "138", "create_time": "2024-01-15 10:00:00", "operate_time": "2024-01-15 11:00:00", **more}
 
