@@ -1,4 +1,4 @@
-"""The ten operators over the test tables, with the settings they are meant to run with."""
+"""The thirteen operators over the test tables, with the settings they are meant to run with."""
 
 from __future__ import annotations
 
@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storepulse.llm import (
-    bpe, chat, exact_dedup, jaccard_join, language_id, lattice_lm, packing, pii, simple8b, topk)
+    bpe, chat, exact_dedup, jaccard_join, language_id, lattice_lm, license_scan, orchard, packing, pii, simple8b,
+    topk, whitening)
 from storepulse.llm.tables import fold, read
 
 
@@ -80,6 +81,20 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(read(spark, sf_dir, "embeddings"), components=8, scale=1024.0, shift=100_000)
+    return found.select("vec_id", "component", "n", F.expr("try_cast(deviation AS long)").alias("deviation"),
+                        "whitened", "explained", "identity_error")
+
+
+def op12_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(read(spark, sf_dir, "documents")).drop("spans")
+
+
+def op13_orchard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orchard.cluster(read(spark, sf_dir, "embeddings"), k=16, rounds=3, size=64, scale=64.0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -87,7 +102,72 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {q.__name__: q for q in (
     op1_topk, op2_chat, op3_language, op4_exact_dedup, op5_jaccard, op6_token_ids, op7_lm_score, op8_pii,
-    op9_packing, op10_bpe, pipeline)}
+    op9_packing, op10_bpe, op11_whitening, op12_license, op13_orchard, pipeline)}
+
+def _clusters_sql(k: int, rounds: int, size: int, scale: int) -> str:
+    """k-means by comparing every vector with every centroid."""
+    far = "CAST(list_sum([(p[1] - p[2]) * (p[1] - p[2]) FOR p IN list_zip(v.x, c.x)]) AS BIGINT)"
+    near = lambda c: f"""SELECT v.r, v.vec_id, v.x, min(struct_pack(d := {far}, c := c.c)) AS best
+          FROM v CROSS JOIN {c} c GROUP BY v.r, v.vec_id, v.x"""
+    moves = ", ".join(f"""
+        a{i} AS MATERIALIZED ({near(f'c{i}')}),
+        m{i} AS (SELECT c, list(m ORDER BY d) AS x FROM (
+                   SELECT best.c AS c, d, CAST(floor(sum(x[d]) / count(*)) AS BIGINT) AS m
+                   FROM a{i}, range(1, {size + 1}) t(d) GROUP BY best.c, d) GROUP BY c),
+        c{i + 1} AS MATERIALIZED (SELECT c.c, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN m{i} m ON m.c = c.c)"""
+                      for i in range(rounds))
+    return f"""WITH v AS MATERIALIZED (
+          SELECT row_number() OVER () AS r, vec_id, [CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS x
+          FROM embeddings WHERE len(embedding) = {size} AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        c0 AS MATERIALIZED (
+          SELECT row_number() OVER (ORDER BY h, x) - 1 AS c, x
+          FROM (SELECT sha256('1:' || coalesce(vec_id::VARCHAR, '')) AS h, x FROM v) ORDER BY h, x LIMIT {k}), {moves},
+        f AS MATERIALIZED ({near(f'c{rounds}')}),
+        s AS (SELECT best.c AS c, sum(best.d) AS s FROM f GROUP BY best.c)
+        SELECT f.vec_id, CAST(f.best.c AS INT) AS cluster, f.best.d AS distance, CAST(s.s AS BIGINT) AS cluster_inertia,
+               CAST((SELECT sum(best.d) FROM f) AS BIGINT) AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+        FROM f JOIN s ON s.c = f.best.c JOIN c{rounds} c ON c.c = f.best.c"""
+
+
+def _licenses_sql() -> str:
+    """The same votes by joining words with words; spans as the operator defines them."""
+    templates = ", ".join(
+        f"({i}, {t.words.split(' ')}, '{t.label}', {t.base}, {t.least}, {t.drift}, {t.k})"
+        for i, t in enumerate(license_scan.default_templates()))
+    places = lambda rows, last: f"unnest(range(0, greatest(len({rows}) - {last} + 1, 0)))"
+    covered = lambda mask: f"""bit_count({mask} | ({mask} << 1) | CASE WHEN k = 4 THEN ({mask} << 2) | ({mask} << 3) ELSE 0 END)
+                               / len(t.words)"""
+    return f"""WITH t(template, words, label, base, least, drift, k) AS (VALUES {templates}),
+        w AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(
+              translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '{license_scan.BETWEEN}'), lambda x: x <> '') AS words FROM documents),
+        dg AS (SELECT r, i, words[i + 1] AS w0, words[i + 2] AS w1, words[i + 3] AS w2, words[i + 4] AS w3
+               FROM (SELECT r, words, {places('words', 2)} AS i FROM w)),
+        tg AS (SELECT template, k, o, words[o + 1] AS w0, words[o + 2] AS w1, words[o + 3] AS w2, words[o + 4] AS w3
+               FROM (SELECT template, k, words, {places('words', 'k')} AS o FROM t)),
+        vote AS (SELECT r, template, i - o AS diagonal, bit_or(1::BIGINT << o) AS mask, min(i) AS a, max(i + k - 1) AS b
+                 FROM dg JOIN tg ON dg.w0 = tg.w0 AND dg.w1 = tg.w1 AND (k = 2 OR (dg.w2 = tg.w2 AND dg.w3 = tg.w3))
+                 GROUP BY ALL),
+        step AS (SELECT vote.*, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal) <= drift
+                                     THEN 0 ELSE 1 END AS fresh FROM vote JOIN t USING (template)),
+        run AS (SELECT *, sum(fresh) OVER (PARTITION BY r, template ORDER BY diagonal) AS run FROM step),
+        span AS (SELECT r, template, label, base, least, max(b) - min(a) + 1 AS wide,
+                        {covered('bit_or(mask)')} AS together,
+                        max(struct_pack(cover := {covered('mask')}, back := -a)) AS alone, min(a) AS a, t.words AS tw
+                 FROM run JOIN t USING (template) GROUP BY r, template, run, label, base, least, k, t.words),
+        hit AS (SELECT r, label, base, CASE WHEN whole THEN a ELSE -alone.back END AS a,
+                       CASE WHEN whole THEN together ELSE alone.cover END AS cover
+                FROM (SELECT *, wide <= 1.5 * len(tw) AND together >= alone.cover AS whole FROM span)
+                WHERE CASE WHEN whole THEN together ELSE alone.cover END >= least),
+        told AS (SELECT r, count(*) FILTER (base) AS n_base, min(a) FILTER (base) AS first_word,
+                        max(a) FILTER (base) AS last_word,
+                        string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+                        string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(cover) AS score FROM hit GROUP BY r)
+        SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+               coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+               CAST(coalesce(score, 0) AS DOUBLE) AS score
+        FROM w LEFT JOIN told USING (r)"""
+
 
 _SQUEEZED = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
 _ESCAPE = r"replace(replace(replace({0}, '\', '\b'), '<', '\l'), '>', '\g')"
@@ -140,4 +220,6 @@ ORACLE_SQL = {
         SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, r.component_id FROM documents d
         LEFT JOIN n ON n.doc_id = d.doc_id
         JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON r.a = d.doc_id""",
+    "op12_license": _licenses_sql(),
+    "op13_orchard": _clusters_sql(k=16, rounds=3, size=64, scale=64),
 }

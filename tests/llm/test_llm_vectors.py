@@ -1,0 +1,132 @@
+import hashlib
+import math
+
+import numpy as np
+import pytest
+
+from storepulse.llm import orchard, whitening
+
+SCHEMA = "vec_id long, embedding array<float>, cluster int, n string"
+BAD = [(900, None), (901, []), (902, [float("nan")] * 4), (903, [0.1, None, 0.2, 0.3]), (904, [float("inf"), 0.0, 0.0, 0.0])]
+
+
+def frame(spark, rows, parts=3):
+    return spark.createDataFrame([(i, v, 1, "x") for i, v in rows], SCHEMA).repartition(parts)
+
+
+def some(n, size, seed=1, levels=None):
+    rng = np.random.default_rng(seed)
+    v = rng.integers(-levels, levels + 1, (n, size)) / 64 if levels else rng.normal(0, 0.3, (n, size)) * np.arange(1, size + 1)
+    return [(i, [float(np.float32(x)) for x in row]) for i, row in enumerate(v)]
+
+
+# -- clusters ---------------------------------------------------------------------------
+
+def brute_clusters(rows, k, rounds, size, scale=64):
+    kept = [(i, [math.floor(scale * x) for x in v]) for i, v in rows
+            if v is not None and len(v) == size and all(x is not None and math.isfinite(x) for x in v)]
+    kept.sort(key=lambda r: (hashlib.sha256(f"1:{'' if r[0] is None else r[0]}".encode()).hexdigest(), r[1]))
+    centroids = [v for _, v in kept[:k]]
+    far = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b))
+    near = lambda: [min((far(v, c), j) for j, c in enumerate(centroids)) for _, v in kept]
+    for _ in range(rounds):
+        at = near()
+        for j in range(len(centroids)):
+            members = [v for (_, v), (_, c) in zip(kept, at) if c == j]
+            if members:
+                centroids[j] = [sum(x) // len(members) for x in zip(*members)]
+    at = near()
+    inertia = {j: sum(d for d, c in at if c == j) for _, j in at}
+    names = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
+    return sorted(((i if i is not None else -1), c, d, inertia[c], sum(inertia.values()), names[c])
+                  for (i, _), (d, c) in zip(kept, at))
+
+
+@pytest.mark.parametrize("rows,k", [
+    (some(300, 4), 16), (some(300, 4, levels=1), 16), (some(9, 4), 16), (some(40, 4) * 3 + [(None, [1.0, 2.0, 3.0, 4.0])] + BAD, 7),
+    ([(i, [0.5, 0.5, 0.5, 0.5]) for i in range(30)], 5), ([(1, [1.0, 1.0, 1.0, 1.0]), (2, [9.0, 0.0, 0.0, 0.0])], 1)])
+def test_clusters_equal_brute_force(spark, rows, k):
+    found = orchard.cluster(frame(spark, rows), k=k, size=4)
+    assert sorted((-1 if r[0] is None else r[0], *r[1:]) for r in map(tuple, found.collect())) == brute_clusters(rows, k, 3, 4)
+
+
+def test_search_equals_comparing_all_and_compares_less():
+    rng = np.random.default_rng(3)
+    centroids = rng.integers(-5, 6, (40, 2))  # many equal distances, some equal centroids
+    points = rng.integers(-9, 10, (4000, 2))
+    found, far, computed = orchard.nearest(points, centroids, *orchard.neighbour_lists(centroids))
+    every = ((points[:, None, :] - centroids[None]) ** 2).sum(axis=2)
+    assert (found == every.argmin(axis=1)).all() and (far == every.min(axis=1)).all()
+    assert computed < every.size  # the points lie far apart
+    close = centroids[rng.integers(0, 40, 4000)]
+    assert orchard.nearest(close, centroids, *orchard.neighbour_lists(centroids))[2] < every.size / 2
+
+
+def test_clusters_of_nothing_and_of_large_numbers(spark):
+    assert orchard.cluster(frame(spark, BAD), size=4).count() == 0
+    huge = [(1, [3e38, -3e38, 0.0, 0.0]), (2, [-3e38, 3e38, 0.0, 0.0]), (3, [0.0, 0.0, 0.0, 0.0])]
+    rows = orchard.cluster(frame(spark, huge), k=1, size=4).collect()
+    assert sorted(r.distance for r in rows) == [0, 2 * 2**54, 2 * 2**54]
+
+
+# -- whitening --------------------------------------------------------------------------
+
+def test_cross_products_are_exact():
+    rng = np.random.default_rng(5)
+    for high, n in ((1, 70), (1200, 1000), (2**33, 200)):
+        v = rng.integers(0, high, (n, 6))
+        assert (whitening.cross_products(v) == v.astype(object).T @ v.astype(object)).all()
+
+
+def test_scatter_does_not_depend_on_blocks():
+    v = np.random.default_rng(6).integers(-10**6, 10**6, (1000, 3))
+    for block in (7, 64, 5000):
+        scatter = whitening.Scatter(3, block)
+        for part in np.array_split(v, 13):
+            scatter.add(part)
+        scatter.flush()
+        assert scatter.n == 1000 and scatter.sums.tolist() == v.sum(axis=0).tolist()
+        assert (scatter.products == v.astype(object).T @ v.astype(object)).all()
+
+
+def test_whitening_equals_numpy(spark):
+    rows = some(500, 12) + some(20, 12) + [(None, [0.25] * 12)] + BAD
+    kept = [(i, v) for i, v in rows if v is not None and len(v) == 12]
+    x = np.array([[math.floor(1024 * c) + 100_000 for c in v] for _, v in kept])
+    n, total = len(x), x.sum(axis=0)
+    v, u = np.linalg.eigh(np.cov(x.T.astype(float), bias=True))
+    v, u = v[::-1], u[:, ::-1]
+    white = (x - total / n) @ u / np.sqrt(v)
+    got = {}
+    for r in whitening.whiten(frame(spark, rows)).collect():
+        if len(kept[0][1]) and r.n == n:
+            got.setdefault((r.vec_id, int(r.deviation)), {})[r.component] = r
+    assert len(got) == len({(i, tuple(w)) for i, w in kept})
+    signs = None
+    for (i, _), xs, ws in zip(kept, x, white):
+        mine = got[i, sum((n * int(a) - int(s)) ** 2 for a, s in zip(xs, total))]
+        assert sorted(mine) == list(range(1, 9))
+        values = np.array([mine[c].whitened for c in range(1, 9)])
+        signs = np.sign(values * ws[:8]) if signs is None else signs
+        assert np.allclose(values * signs, ws[:8], atol=1e-8)
+        assert np.allclose([mine[c].explained for c in range(1, 9)], v[:8] / v.sum(), rtol=1e-9)
+        assert all(r.identity_error < 1e-9 for r in mine.values())
+
+
+def test_no_variance_other_lengths_and_nothing(spark):
+    rows = [(i, [0.5, 0.5, 0.5]) for i in range(5)] + [(9, [1.0, 2.0]), (10, [3.0, 2.0])]
+    found = whitening.whiten(frame(spark, rows)).collect()
+    flat = [r for r in found if r.n == 5]
+    assert len(flat) == 15 and all(r.whitened is None and r.deviation == 0 and r.explained is None for r in flat)
+    pair = {(r.vec_id, r.component): r for r in found if r.n == 2}
+    assert sorted(pair) == [(9, 1), (9, 2), (10, 1), (10, 2)]
+    assert abs(pair[9, 1].whitened) == pytest.approx(1) and pair[9, 2].whitened is None
+    assert pair[9, 1].deviation == (2 * 1024) ** 2
+    assert whitening.whiten(frame(spark, BAD)).count() == 0
+
+
+def test_sums_beyond_64_bits(spark):
+    rows = [(i, [float(3e38 if i % 2 else -3e38), float(i)]) for i in range(8)]
+    found = whitening.whiten(frame(spark, rows)).collect()
+    assert len(found) == 16 and all(r.identity_error < 1e-4 for r in found)
+    assert max(r.deviation for r in found) > 2**63
