@@ -15,7 +15,7 @@ from storepulse.operators.sliding import AlertRule
 from storepulse.plans import metrics, regions, sale_detail
 from storepulse.session import default_work_root, work_folder
 from storepulse.sources import bindings, changes, replay, tables, topics
-from storepulse.streaming import jobs, sinks
+from storepulse.streaming import jobs, sinks, upkeep
 from storepulse.streaming.alert_job import CouponAlertJob
 
 # The operators for training data are an addition: without their folder the rest works.
@@ -226,10 +226,9 @@ def _stored_orders(spark, sf):
 
 
 def _stored_first_days(spark, launches):
-    path = work_folder(spark, "stored-first-days")
-    days = metrics.first_days(launches)
-    tables.write_daily(days, path, "first_day")
-    return tables.read_daily(spark, path, days.schema)
+    days = upkeep.FirstDays(work_folder(spark, "stored-first-days"))
+    days.apply(launches, 0)
+    return days
 
 
 def stored_dau_hour(spark, sf):
@@ -247,7 +246,7 @@ def stored_realtime_total(spark, sf):
     days = _stored_first_days(spark, launches)
     # Orders lie in other years than logs: their day is read by its own date, then renamed.
     moved = orders.filter((F.col("create_month") == ORDER_DAY[:7]) & (F.col("create_date") == ORDER_DAY)).withColumn("create_date", F.lit(LOG_DAY))
-    return metrics.realtime_total(launches, moved, LOG_DAY, days=days)
+    return metrics.realtime_total(launches, moved, LOG_DAY, days=days.of_day(spark, LOG_DAY))
 
 
 # -- alerts -----------------------------------------------------------------------
@@ -319,6 +318,42 @@ def stream_orders_upsert(spark, sf):
         "id", "order_status", "total_amount", "create_time", "operate_time", "consignee", "create_date")
 
 
+def stream_first_days(spark, sf):
+    """Every device's first day, kept by the launch job; the days arrive last first."""
+    root = work_folder(spark, "first-days")
+    lines = bindings.startup_logs(_table(spark, sf, "events")).withColumn("back", -F.col("ts"))
+    replay.feed_in_time_order(
+        lines, "back", SLICES,
+        lambda part: replay.write_topic(bindings.as_json(part.drop("back")), f"{root}/topics", "startup"),
+        lambda: jobs.first_launches_exact(topics.read_folder(spark, f"{root}/topics", "startup"), f"{root}/table",
+                                          first_days=True, once=True).awaitTermination())
+    return upkeep.FirstDays(f"{root}/table/_first_days").table.read(spark)
+
+
+def _upserted_orders(spark, sf):
+    """Orders as placed, then as changed, then some changed ones again: three batches."""
+    root = work_folder(spark, "orders-keyed")
+    lines = bindings.repeated_orders(_table(spark, sf, "orders"), _table(spark, sf, "customer"))
+    changed = F.col("order_status") == "X"
+    for part in (lines.filter(~changed), lines.filter(changed), lines.filter(changed & (F.length("id") % 2 == 0))):
+        replay.write_topic(bindings.as_json(part), f"{root}/topics", "order")
+        jobs.upsert_orders(topics.read_folder(spark, f"{root}/topics", "order"), f"{root}/table",
+                           once=True).awaitTermination()
+    return upkeep.Orders(f"{root}/table")
+
+
+def keyed_orders(spark, sf):
+    """One row per order from the keyed table."""
+    return _upserted_orders(spark, sf).read(spark).select(
+        "id", "order_status", "total_amount", "create_time", "operate_time", "consignee", "create_date")
+
+
+def rollup_order_hour(spark, sf):
+    """Orders and amount per hour as the job keeps them, of all days."""
+    return _upserted_orders(spark, sf).per_hour(spark).select(
+        "create_date", "create_hour", F.col("amount").cast("double").alias("amount"), "orders")
+
+
 def stream_change_feed(spark, sf):
     """Change entries to order messages to the order table, read as a keyed store would."""
     root = work_folder(spark, "changes")
@@ -433,7 +468,7 @@ QUERIES = [
     stored_dau_hour, stored_order_amount_hour, stored_realtime_total,
     coupon_alert_windows, coupon_alert_windows_live, coupon_alert_minute,
     stream_first_launch, stream_first_launch_exact, stream_orders,
-    stream_orders_upsert, stream_change_feed,
+    stream_orders_upsert, stream_first_days, keyed_orders, rollup_order_hour, stream_change_feed,
     stream_route_logs, stream_alerts,
     sale_detail_page, sale_detail_next_page, sale_detail_keyword, sale_detail_total, sale_detail_facets,
     sale_detail_json, region_sales, startup_quarantine, change_quarantine,
@@ -489,6 +524,11 @@ _ORDER_FIELDS = """SELECT o_orderkey::VARCHAR AS id, c_nationkey::VARCHAR AS pro
   lpad((o_orderkey % 24)::VARCHAR, 2, '0') AS create_hour
   FROM orders LEFT JOIN customer ON o_custkey = c_custkey"""
 
+_UPSERTED = f"""SELECT id, CASE WHEN id::BIGINT % 3 = 0 THEN 'X' ELSE order_status END AS order_status,
+              CASE WHEN id::BIGINT % 3 = 0 THEN 1.0::DOUBLE ELSE total_amount END AS total_amount, create_time,
+              CASE WHEN id::BIGINT % 3 = 0 THEN strftime(create_time::TIMESTAMP + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S')
+                   ELSE create_time END AS operate_time, consignee, create_date FROM ({_ORDER_FIELDS})"""
+
 _ORDER = """order_row AS (
   SELECT o_orderkey::VARCHAR AS id, o_custkey::VARCHAR AS user_id, o_orderstatus,
          '138********' AS consignee_tel,
@@ -659,10 +699,12 @@ def _sql() -> dict[str, str]:
         "stream_first_launch": f"WITH {_START} SELECT DISTINCT mid, log_date FROM start_log",
         "stream_first_launch_exact": f"WITH {_FIRST} SELECT mid, log_date, event_id FROM launch",
         "stream_orders": _ORDER_FIELDS,
-        "stream_orders_upsert": f"""SELECT id, CASE WHEN id::BIGINT % 3 = 0 THEN 'X' ELSE order_status END AS order_status,
-              CASE WHEN id::BIGINT % 3 = 0 THEN 1.0::DOUBLE ELSE total_amount END AS total_amount, create_time,
-              CASE WHEN id::BIGINT % 3 = 0 THEN strftime(create_time::TIMESTAMP + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S')
-                   ELSE create_time END AS operate_time, consignee, create_date FROM ({_ORDER_FIELDS})""",
+        "stream_orders_upsert": _UPSERTED,
+        "keyed_orders": _UPSERTED,
+        "rollup_order_hour": f"""SELECT create_date, create_hour, sum(total_amount::DECIMAL(18,2))::DOUBLE AS amount,
+              count(*) AS orders FROM (SELECT u.*, lpad((id::BIGINT % 24)::VARCHAR, 2, '0') AS create_hour FROM ({_UPSERTED}) u)
+            GROUP BY create_date, create_hour""",
+        "stream_first_days": f"WITH {_START} SELECT mid, min(log_date) AS first_day FROM start_log GROUP BY mid",
         "stream_change_feed": f"""WITH {_ORDER}
             SELECT id, user_id, total_amount, create_date FROM order_row WHERE {inserted}""",
         "stream_route_logs": f"""WITH routed AS (SELECT *, 'mid_' || user_id AS mid, epoch_us(ts) // 1000 AS ms FROM ({routed}))

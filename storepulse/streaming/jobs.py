@@ -15,8 +15,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from storepulse import schemas
 from storepulse.operators import changefeed, decode, first_launch, routing
-from storepulse.sources import tables
-from storepulse.streaming import sinks
+from storepulse.sources import files, tables
+from storepulse.sources.keyed import KeyedTable
+from storepulse.streaming import sinks, upkeep
 from storepulse.streaming.sinks import BatchSink
 
 
@@ -92,6 +93,26 @@ def ingest_orders(messages: DataFrame, path: str, checkpoint: str | None = None,
     For a backfill of years, `partition="create_month"` makes fewer folders;
     filters on the date then skip by the statistics inside the files.
     """
+    def write(newest: DataFrame, batch_id: int) -> None:
+        if partition == "create_month":
+            newest = newest.withColumn(partition, F.substring("create_date", 1, 7))
+        sinks.write_batch(newest, batch_id, path, partition)
+
+    return _take_orders(messages, write, path, checkpoint, **run)
+
+
+def upsert_orders(messages: DataFrame, path: str, checkpoint: str | None = None, **run) -> StreamingQuery:
+    """Masked orders in a keyed table, with their number and amount per hour (`upkeep.Orders`).
+
+    Within a batch the newest message on an order is taken as in `ingest_orders`; across
+    batches the last to arrive replaces the one before, as in a keyed store. The table is
+    kept small by merges, and nothing needs to be combined when it is read.
+    """
+    return _take_orders(messages, upkeep.Orders(path).apply, path, checkpoint, **run)
+
+
+def _take_orders(messages: DataFrame, write: BatchSink, path: str, checkpoint: str | None, **run) -> StreamingQuery:
+    """Decode orders, set aside unreadable ones, and hand the newest of each id to `write`."""
     place = ["offset"] if "offset" in messages.columns else []
     version = F.lpad(F.col("offset").cast("string"), 20, "0") if place else F.coalesce("operate_time", F.lit(""))
     decoded = _counted(decode.decode_order(_with_file(messages), keep=[*place, "_file"]), "orders")
@@ -102,9 +123,7 @@ def ingest_orders(messages: DataFrame, path: str, checkpoint: str | None = None,
             orders = decode.accepted(batch).withColumn("version", version)
             newest = tables.latest_per_key(orders.select(*schemas.ORDER_COLUMNS, "version", "_file", "_place"), "id",
                                            ("version", "_file", "_place")).drop("_file", "_place")
-            if partition == "create_month":
-                newest = newest.withColumn(partition, F.substring("create_date", 1, 7))
-            sinks.write_batch(newest, batch_id, path, partition)
+            write(newest, batch_id)
             sinks.write_quarantine(batch, batch_id, f"{path}/_quarantine")
         finally:
             batch.unpersist()
@@ -152,15 +171,19 @@ def _shuffle_partitions(spark: SparkSession, number: int | None):
 
 def first_launches_exact(messages: DataFrame, path: str, checkpoint: str | None = None,
                          order: tuple[str, ...] = ("ts",), extra: tuple[str, ...] = (),
-                         **run) -> StreamingQuery:
+                         first_days: bool = False, **run) -> StreamingQuery:
     """The earliest launch of the first batch that holds a device on a day.
 
-    The table itself is the list of seen devices: a batch is first reduced to
-    one row per device and day and then compared with what earlier batches wrote
-    for the same days. `extra` names payload fields to keep as text, for `order`.
+    A batch is first reduced to one row per device and day and then compared with the devices
+    seen before, a keyed table in `_seen`: Bloom filters tell which of its rows may be
+    there, and only their buckets are opened. What a batch reads does not grow with the
+    number of batches before it. With `first_days` the job also keeps every device's first
+    day, in `_first_days` (`upkeep.FirstDays`). `extra` names payload fields to keep as
+    text, for `order`.
     """
     decoded = _counted(decode.decode_startup(messages, extra=extra), "startups")
     columns = [*schemas.FIRST_LAUNCH_COLUMNS, *extra]
+    seen = upkeep.seen_launches(f"{path}/_seen")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -168,16 +191,24 @@ def first_launches_exact(messages: DataFrame, path: str, checkpoint: str | None
         first = first.persist()
         try:
             sinks.write_quarantine(batch, batch_id, f"{path}/_quarantine")
-            # One short string per calendar day in the batch.
-            days = [r.log_date for r in first.select("log_date").distinct().collect()]
-            if not days:
-                return
-            before = tables.read_partitions(
-                batch.sparkSession, path, schemas.FIRST_LAUNCH_TABLE, "log_date", days)
-            new = first_launch.unseen(first, before.filter(F.col("batch_id") != batch_id))
+            _seed(batch.sparkSession, seen, path, batch_id)
+            known = seen.lookup(first.select(*seen.key), batch_id)
+            new = first_launch.unseen(first, known).persist()
             sinks.write_batch(new, batch_id, path, "log_date")
+            if first_days:
+                upkeep.FirstDays(f"{path}/_first_days").apply(new, batch_id)
+            seen.apply(new, batch_id)
+            new.unpersist()
         finally:
             first.unpersist()
             batch.unpersist()
 
     return sinks.start(decoded, handle, _checkpoint(path, checkpoint), **run)
+
+
+def _seed(spark: SparkSession, seen: KeyedTable, path: str, batch_id: int) -> None:
+    """Fill the table of seen devices, once, from launches written before the job kept one."""
+    if batch_id and seen.live_runs(spark, before=batch_id) is None and any(
+            name.startswith("log_date=") for name in files.names(spark, path)):
+        before = tables.read_table(spark, path, schemas.FIRST_LAUNCH_TABLE)
+        seen.apply(before.filter(F.col("batch_id") < batch_id).select(*seen.key).distinct(), batch_id - 1)
