@@ -391,7 +391,7 @@ def stream_route_logs(spark, sf):
 
 def stream_alerts(spark, sf):
     root = work_folder(spark, "alerts")
-    job = CouponAlertJob(f"{root}/job", LIVE, folder_s=86_400)
+    job = CouponAlertJob(f"{root}/job", LIVE, keep_s=3600)
     lines = _behaviour(spark, sf)
     batches = []
 

@@ -12,9 +12,10 @@ reads them. As all are bucketed alike, runs are read together without a shuffle.
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -23,7 +24,6 @@ from pyspark.sql import types as T
 
 from storepulse.sources import files
 
-_MANIFEST = "run string, rows long, low string, high string"
 #: Bits of one page of a run's key filter, and places that a key has in it.
 _PAGE_BITS, _PLACES, _BITS_PER_KEY = 32_768, 2, 16
 
@@ -34,15 +34,15 @@ class Run:
 
     run: str
     rows: int
-    low: str | None
-    high: str | None
+    low: str | int | None
+    high: str | int | None
 
 
 @dataclass(frozen=True)
 class KeyedTable:
     """`schema`: the columns stored. `key`: what identifies a row, never null; its first
-    column chooses the bucket. `ranged`: a text column by which buckets are sorted first and
-    runs are skipped, such as a day.
+    column chooses the bucket. `ranged`: a column of texts or whole numbers by which
+    buckets are sorted first and runs are skipped, such as a day.
 
     `apply` writes one row per key and batch; a later batch replaces it. With `disjoint`,
     batches never repeat a key, so nothing is replaced and reading compares nothing.
@@ -65,38 +65,29 @@ class KeyedTable:
 
     # -- manifests ---------------------------------------------------------
 
+    def _manifest(self, batch: int) -> str:
+        return f"{self.path}/manifest/{batch:012d}.json"
+
     def _manifests(self, spark: SparkSession) -> list[int]:
-        folders = files.names(spark, f"{self.path}/manifest")
-        return [int(n.split("=")[1]) for n in folders if n.startswith("batch=")]
+        found = [n.removesuffix(".json") for n in files.names(spark, f"{self.path}/manifest") if n.endswith(".json")]
+        return [int(n) for n in found]
+
+    def _runs_of(self, spark: SparkSession, batch: int) -> list[Run]:
+        return [Run(**r) for r in json.loads(files.read_text(spark, self._manifest(batch)))]
 
     def live_runs(self, spark: SparkSession, before: int | None = None) -> list[Run] | None:
         """Live runs, oldest first, as of the last batch (smaller than `before`); None if
         there is no such batch."""
-        for batch in sorted(self._manifests(spark), reverse=True):
-            folder = f"{self.path}/manifest/batch={batch:012d}"
-            if (before is None or batch < before) and files.exists(spark, f"{folder}/_SUCCESS"):
-                rows = spark.read.schema(_MANIFEST).json(folder).orderBy("run").collect()
-                return [Run(*r) for r in rows]
-        return None
-
-    def _set_manifest(self, spark: SparkSession, batch_id: int, runs: list[Run]) -> None:
-        text = lambda v: F.lit(v).cast("string")
-        rows = [F.struct(text(r.run).alias("run"), F.lit(r.rows).cast("long").alias("rows"),
-                         text(r.low).alias("low"), text(r.high).alias("high")) for r in runs]
-        named = spark.range(0, 1 if rows else 0, 1, 1).select(F.explode(F.array(*rows)).alias("r") if rows
-                                                            else F.lit(None).alias("r"))
-        (named.select("r.*" if rows else F.lit("").alias("run"))
-         .write.mode("overwrite").json(f"{self.path}/manifest/batch={batch_id:012d}"))
+        batches = [b for b in self._manifests(spark) if before is None or b < before]
+        return self._runs_of(spark, max(batches)) if batches else None
 
     def _forget(self, spark: SparkSession, batch_id: int) -> None:
         """Delete manifests older than the last `keep`, and runs that none of the others names."""
         manifests = self._manifests(spark)
         old = sorted(b for b in manifests if b <= batch_id)[:-self.keep]
-        folder = lambda batch: f"{self.path}/manifest/batch={batch:012d}"
         for batch in old:
-            files.delete(spark, folder(batch))
-        kept = [folder(b) for b in manifests if b not in old]
-        wanted = {r.run for r in spark.read.schema(_MANIFEST).json(kept).select("run").distinct().collect()}
+            files.delete(spark, self._manifest(batch))
+        wanted = {r.run for b in manifests if b not in old for r in self._runs_of(spark, b)}
         for name in files.names(spark, f"{self.path}/runs"):
             if name not in wanted:
                 spark.sql(f"DROP TABLE IF EXISTS {self._table(name)}")
@@ -123,7 +114,7 @@ class KeyedTable:
     def _write(self, rows: DataFrame, batch_id: int) -> Run:
         spark, name = rows.sparkSession, f"{batch_id:012d}-{uuid.uuid4().hex[:8]}"
         seen = Observation()
-        span = F.col(self.ranged).cast("string") if self.ranged else F.lit(None).cast("string")
+        span = F.col(self.ranged) if self.ranged else F.lit(None).cast("string")
         (rows.select(*self.schema.names).repartition(self.buckets, self.key[0])
          .observe(seen, F.count("*").alias("rows"), F.min(span).alias("low"), F.max(span).alias("high"))
          .write.bucketBy(self.buckets, self.key[0]).sortBy(*self._sorted_by)
@@ -135,30 +126,38 @@ class KeyedTable:
 
     # -- writing -----------------------------------------------------------
 
-    def apply(self, rows: DataFrame, batch_id: int) -> None:
+    def apply(self, rows: DataFrame, batch_id: int, since: str | int | None = None) -> None:
         """Insert `rows`, one per key, and replace rows of the same keys. They are read up to
         three times: persist them if they are dear.
 
-        A batch that is repeated starts from the state before it, so it replaces itself."""
+        Rows whose `ranged` column is below `since` are of no more use: runs of such rows
+        only are let go, and merges leave them out. A batch that is repeated starts from the
+        state before it, so it replaces itself."""
         spark = rows.sparkSession
         runs = self.live_runs(spark, before=batch_id) or []
+        if since is not None:
+            rows = rows.filter(F.col(self.ranged) >= since)
+            runs = [r for r in runs if r.high >= since]
         n = rows.count()
         if n:
-            runs = self._merged(spark, runs, rows, n, batch_id)
-        self._set_manifest(spark, batch_id, runs)
+            runs = self._merged(spark, runs, rows, n, batch_id, since)
+        files.write_text(spark, self._manifest(batch_id), json.dumps([asdict(r) for r in runs]))
         self._forget(spark, batch_id)
 
-    def _merged(self, spark: SparkSession, runs: list[Run], rows: DataFrame, n: int, batch_id: int) -> list[Run]:
+    def _merged(self, spark: SparkSession, runs: list[Run], rows: DataFrame, n: int, batch_id: int,
+                since: str | int | None = None) -> list[Run]:
         stay = len(runs)
         while stay and (runs[stay - 1].rows + n <= self.small_rows or runs[stay - 1].rows < self.ratio * n):
             stay -= 1
             n += runs[stay].rows
         merged = self._newest([*(self._open(spark, r) for r in runs[stay:]), rows])
+        if since is not None:
+            merged = merged.filter(F.col(self.ranged) >= since)
         return [*runs[:stay], self._write(merged, batch_id)]
 
     # -- reading -----------------------------------------------------------
 
-    def _within(self, runs: list[Run], low: str | None, high: str | None) -> list[Run]:
+    def _within(self, runs: list[Run], low: str | int | None, high: str | int | None) -> list[Run]:
         """Runs that may hold rows between `low` and `high`. Only where the ranged column is
         part of the key: else a run outside may hold the row that replaces one inside."""
         if low is None or self.ranged not in self.key:
@@ -178,8 +177,8 @@ class KeyedTable:
             later = later.unionByName(frame.select(*self.key))
         return found
 
-    def read(self, spark: SparkSession, before: int | None = None, low: str | None = None,
-             high: str | None = None, keys: Sequence[str] | None = None) -> DataFrame:
+    def read(self, spark: SparkSession, before: int | None = None, low: str | int | None = None,
+             high: str | int | None = None, keys: Sequence[str] | None = None) -> DataFrame:
         """The table, as of the last batch smaller than `before`.
 
         `low` and `high` bound the `ranged` column: row groups that lie outside are skipped, and

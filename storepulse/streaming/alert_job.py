@@ -1,16 +1,18 @@
 """Coupon alerts on a stream of events.
 
-A window is judged once the stream's own clock, the newest event seen, has
-passed its end, as a windowed job judges it at the tick. Each batch
+A window is judged once the stream's clock has passed its end, as a windowed job judges it
+at the tick. The clock is the newest event seen, or, with `clock`, real time as well: ticks of
+a rate source come with the events, so that windows end although no event follows. Each batch
 
-1. adds its events, counted per pane, to the pane table,
+1. counts its events per pane,
 2. judges, for all devices, the windows that have ended since the last batch,
    reading only the stretch of time those windows cover,
 3. judges again the minutes that late events of this batch fall into, and
-   withdraws alerts that no longer hold.
+   withdraws alerts that no longer hold,
+4. adds its panes to the ring of stored panes, which lets those go that are too old to matter.
 
-Nothing but the position of the clock is carried from batch to batch, and all
-writes are keyed by the batch, so a crash repeats at most one batch.
+The position of the clock and the ring are carried from batch to batch. Both are read as of
+the batch before, and all writes are keyed by the batch, so a crash repeats at most one batch.
 """
 
 from __future__ import annotations
@@ -26,8 +28,9 @@ from storepulse import schemas
 from storepulse.functions import times
 from storepulse.operators import alerts, decode
 from storepulse.operators.sliding import (
-    AlertRule, alert_spans, last_window_per_minute, window_end_s, with_pane)
+    AlertRule, alert_spans, last_window_per_minute, window_end_s)
 from storepulse.sources import tables
+from storepulse.sources.keyed import KeyedTable
 from storepulse.streaming import sinks
 
 _CLOCK = T.StructType([T.StructField(c, T.LongType()) for c in ("batch_id", "closed", "newest")])
@@ -35,26 +38,38 @@ _CLOCK = T.StructType([T.StructField(c, T.LongType()) for c in ("batch_id", "clo
 
 @dataclass(frozen=True)
 class CouponAlertJob:
-    """`path` holds the alerts, the pane table, the clock and the checkpoint.
+    """`path` holds the alerts, the ring of panes, the clock and the checkpoint.
 
     `wait_s` keeps windows open for that long after their end, for events out of order.
-    `folder_s` is the time one folder of the pane table covers: short for live
-    streams, which read back one window, long for replays of months.
+    `keep_s` is how far behind the clock an event may come and still count: older ones go to
+    `_quarantine` as too late, and panes that no such event can concern are let go. Without
+    it every pane is kept and events count however late.
     """
 
     path: str
     rule: AlertRule = field(default_factory=AlertRule)
     wait_s: int = 0
-    folder_s: int = 900
+    keep_s: int | None = None
 
     @property
-    def _folder_panes(self) -> int:
-        return max(1, self.folder_s // self.rule.slide_s)
+    def ring(self) -> KeyedTable:
+        return KeyedTable(f"{self.path}/ring", schemas.PANE_FACTS, ("mid", "pane"), ranged="pane",
+                          disjoint=True, buckets=8)
 
-    def start(self, messages: DataFrame, checkpoint: str | None = None, **run) -> StreamingQuery:
+    @property
+    def _margin(self) -> int:
+        """Panes around an event whose windows share a minute with a window of the event."""
+        return self.rule.panes + -(-60 // self.rule.slide_s)
+
+    def start(self, messages: DataFrame, checkpoint: str | None = None, clock: bool = False, **run) -> StreamingQuery:
+        """`clock` adds a rate source: time then passes without events. Decide on it at the
+        first start, as the checkpoint counts the sources."""
         decoded = decode.decode_event(messages).observe(
             "events", F.count("*").alias("rows"),
             F.count_if(F.col("_error").isNotNull()).alias("rejected"))
+        if clock:
+            ticks = messages.sparkSession.readStream.format("rate").option("rowsPerSecond", 1).load()
+            decoded = decoded.unionByName(ticks.select(F.unix_millis("timestamp").alias("_tick")), allowMissingColumns=True)
         return sinks.start(decoded, self.on_batch, checkpoint or f"{self.path}/_checkpoint", **run)
 
     def alerts(self, spark: SparkSession) -> DataFrame:
@@ -65,26 +80,30 @@ class CouponAlertJob:
     # -- one batch ---------------------------------------------------------
 
     def on_batch(self, batch: DataFrame, batch_id: int) -> None:
+        """`batch`: decoded events, and ticks (`_tick`, time in milliseconds) if there is a clock."""
         spark, rule = batch.sparkSession, self.rule
-        batch.persist()
+        closed, newest = self._clock(spark, batch_id - 1)
+        batch = self._too_late(batch, newest).persist()
         try:
             sinks.write_quarantine(batch, batch_id, f"{self.path}/_quarantine")
             events = decode.accepted(batch)
-            oldest, newest = with_pane(events, rule).agg(F.min("pane"), F.max("pane")).first()
-            closed, newest_before = self._clock(spark, batch_id - 1)
-            if newest is not None:
-                facts = alerts.pane_facts(events, rule).withColumn(
-                    "folder", times.div(F.col("pane"), self._folder_panes))
-                sinks.write_batch(facts, batch_id, f"{self.path}/panes", "folder")
-                newest = newest if newest_before is None else max(newest, newest_before)
-                closed = oldest - 1 if closed is None else closed
+            tick = None
+            if "_tick" in batch.columns:
+                tick = events.agg(F.max(times.div(F.col("_tick"), rule.slide_s * 1000))).first()[0]
+                events = events.filter("_tick IS NULL").drop("_tick")
+            facts = alerts.pane_facts(events, rule).persist()
+            oldest, last = facts.agg(F.min("pane"), F.max("pane")).first()
+            if closed is None and oldest is not None:
+                closed = oldest - 1
+            if closed is not None:
+                newest = max(p for p in (newest, last, tick) if p is not None)
                 until = max(closed, newest - 1 - self.wait_s // rule.slide_s)
-                late = self._late_minutes(facts, closed) if oldest <= closed else None
-                self._judge(spark, batch_id, closed, until, late)
+                late = self._late_minutes(facts, closed) if oldest is not None and oldest <= closed else None
+                self._judge(spark, batch_id, facts, closed, until, late)
                 closed = until
-            else:
-                newest = newest_before
+            self.ring.apply(facts, batch_id, self._oldest_of_use(closed, newest))
             self._set_clock(spark, batch_id, closed, newest)
+            facts.unpersist()
         finally:
             batch.unpersist()
 
@@ -92,10 +111,24 @@ class CouponAlertJob:
         """Judge the windows still open, after the stream has ended for good."""
         closed, newest = self._clock(spark, last_batch)
         if newest is not None:
-            self._judge(spark, last_batch + 1, closed, newest + self.rule.panes - 1, None)
+            none = spark.createDataFrame([], schemas.PANE_FACTS)
+            self._judge(spark, last_batch + 1, none, closed, newest + self.rule.panes - 1, None)
 
     # -- steps -------------------------------------------------------------
 
+    def _too_late(self, batch: DataFrame, newest: int | None) -> DataFrame:
+        if self.keep_s is None or newest is None:
+            return batch
+        limit = newest * self.rule.slide_s - self.keep_s
+        return batch.withColumn("_error", F.coalesce(
+            "_error", F.when(F.col("ts") < limit * 1000, F.lit("too_late"))))
+
+    def _oldest_of_use(self, closed: int | None, newest: int | None) -> int | None:
+        """The first pane that a window still open, or an event not yet too late, can concern."""
+        if self.keep_s is None or closed is None:
+            return None
+        return min(closed, newest - -(-self.keep_s // self.rule.slide_s)) - self._margin
+
     def _late_minutes(self, facts: DataFrame, closed: int) -> DataFrame:
         """`mid`, `minute`: where judged windows gain events."""
         first = times.minute_of(window_end_s(F.col("pane"), self.rule))
@@ -105,33 +138,26 @@ class CouponAlertJob:
                 .select("mid", F.explode(F.sequence(first, last)).alias("minute"))
                 .distinct().persist())
 
-    def _folders_of_minutes(self, minutes: DataFrame) -> list[int]:
-        """Folders under the windows of the given minutes; a few numbers per hour."""
-        rule = self.rule
-        first_w = times.div(F.col("minute") * 60 + rule.slide_s - 1, rule.slide_s) - 1
-        last_w = times.div(F.col("minute") * 60 + 59, rule.slide_s) - 1
-        folders = minutes.select("minute").distinct().select(F.explode(F.sequence(
-            times.div(first_w - (rule.panes - 1), self._folder_panes),
-            times.div(last_w, self._folder_panes))).alias("folder")).distinct()
-        return [r.folder for r in folders.collect()]
-
-    def _panes(self, spark: SparkSession, first: int, last: int, more: list[int]) -> DataFrame:
-        """Facts of panes first .. last, and of the folders `more`."""
-        low, high = first // self._folder_panes, last // self._folder_panes
-        schema = T.StructType([*schemas.PANE_FACTS.fields, T.StructField("folder", T.LongType())])
-        stored = tables.read_table(spark, f"{self.path}/panes", schema)
-        # A filter on the partition column, whatever the time between: only existing folders are listed.
-        wanted = F.col("folder").between(low, high)
-        return stored.filter(wanted | F.col("folder").isin(more) if more else wanted)
-
-    def _judge(self, spark: SparkSession, batch_id: int, closed: int, until: int,
+    def _panes(self, spark: SparkSession, first: int, last: int, more: list[int],
+               before: int | None = None) -> DataFrame:
+        """Stored facts of panes first .. last, and from more[0] to more[1], as of a batch."""
+        wanted = F.col("pane").between(first, last)
+        if more:
+            wanted = wanted | F.col("pane").between(*more)
+        low, high = min(first, *more[:1], first), max(last, *more[1:], last)
+        return self.ring.read(spark, before, low=low, high=high).filter(wanted)
+
+    def _judge(self, spark: SparkSession, batch_id: int, facts: DataFrame, closed: int, until: int,
                late: DataFrame | None) -> None:
         """Write the alerts of windows closed + 1 .. until, and of the late minutes."""
         rule = self.rule
-        first = closed + 1 - (rule.panes - 1)
-        late_folders = self._folders_of_minutes(late) if late is not None else []
-        # A repeated batch must not see what later batches may have added.
-        known = self._panes(spark, first, until, late_folders).filter(F.col("batch_id") <= batch_id).persist()
+        first, more = closed + 1 - (rule.panes - 1), []
+        if late is not None:
+            minutes = late.agg(F.min("minute"), F.max("minute")).first()
+            more = [m * 60 // rule.slide_s + side for m, side in zip(minutes, (-self._margin, self._margin))]
+        # What later batches added, should this one be repeated, is not seen.
+        known = self._panes(spark, first, until, more, before=batch_id).unionByName(
+            facts.select(*schemas.PANE_FACTS.names)).persist()
 
         def minutes(facts: DataFrame, low: int | None, high: int) -> DataFrame:
             spans = alert_spans(facts, rule).withColumn("last", F.least("last", F.lit(high)))

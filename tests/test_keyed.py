@@ -83,7 +83,7 @@ def test_a_crash_before_the_manifest_loses_nothing(spark, tmp_path):
     frame = spark.createDataFrame(batches[3], ROW)
     table._merged(spark, table.live_runs(spark), frame, len(batches[3]), 3)  # merged, then the driver is lost
     assert _held(table, spark) == _newest(batches[:3])
-    (tmp_path / "manifest" / "batch=000000000003").mkdir()  # a manifest without its end
+    (tmp_path / "manifest" / "000000000003.json.part").write_text('[{"run"')  # a manifest without its end
     assert _held(table, spark) == _newest(batches[:3])
     for _ in range(2):  # the batch comes again, and once more after its manifest was written
         table.apply(frame, 3)
