@@ -17,6 +17,7 @@ from storepulse.session import default_work_root, work_folder
 from storepulse.sources import bindings, changes, replay, tables, topics
 from storepulse.streaming import jobs, sinks, upkeep
 from storepulse.streaming.alert_job import CouponAlertJob
+from storepulse.streaming.counters import Counters
 
 # The operators for training data are an addition: without their folder the rest works.
 _LLM = find_spec("storepulse.llm")
@@ -318,6 +319,36 @@ def stream_orders_upsert(spark, sf):
         "id", "order_status", "total_amount", "create_time", "operate_time", "consignee", "create_date")
 
 
+def stream_first_launch_late(spark, sf):
+    """The stream of `stream_first_launch` with the last days first: most launches are late."""
+    root = work_folder(spark, "late-launch")
+    lines = bindings.startup_logs(_table(spark, sf, "events")).withColumn("back", -F.col("ts"))
+    replay.feed_in_time_order(
+        lines, "back", SLICES,
+        lambda part: replay.write_topic(bindings.as_json(part.drop("back")), f"{root}/topics", "startup"),
+        lambda: jobs.first_launches(topics.read_folder(spark, f"{root}/topics", "startup"), f"{root}/table",
+                                    state_partitions=STATE_PARTITIONS, once=True).awaitTermination())
+    return upkeep.launches(spark, f"{root}/table").select("mid", "log_date")
+
+
+def stream_counters(spark, sf):
+    """Rows read, rejected and kept of every batch of the exact launch job."""
+    root = work_folder(spark, "counters")
+    lines = bindings.startup_logs(_table(spark, sf, "events"))
+    counters = Counters(f"{root}/counters")
+
+    def run():
+        query = jobs.first_launches_exact(topics.read_folder(spark, f"{root}/topics", "startup"), f"{root}/table",
+                                          counters=counters, once=True)
+        query.awaitTermination()
+        counters.wait(query)
+
+    replay.feed_in_time_order(
+        lines, "ts", SLICES,
+        lambda part: replay.write_topic(bindings.as_json(part), f"{root}/topics", "startup"), run)
+    return counters.read(spark)
+
+
 def stream_first_days(spark, sf):
     """Every device's first day, kept by the launch job; the days arrive last first."""
     root = work_folder(spark, "first-days")
@@ -468,7 +499,7 @@ QUERIES = [
     stored_dau_hour, stored_order_amount_hour, stored_realtime_total,
     coupon_alert_windows, coupon_alert_windows_live, coupon_alert_minute,
     stream_first_launch, stream_first_launch_exact, stream_orders,
-    stream_orders_upsert, stream_first_days, keyed_orders, rollup_order_hour, stream_change_feed,
+    stream_orders_upsert, stream_first_launch_late, stream_counters, stream_first_days, keyed_orders, rollup_order_hour, stream_change_feed,
     stream_route_logs, stream_alerts,
     sale_detail_page, sale_detail_next_page, sale_detail_keyword, sale_detail_total, sale_detail_facets,
     sale_detail_json, region_sales, startup_quarantine, change_quarantine,
@@ -704,6 +735,13 @@ def _sql() -> dict[str, str]:
         "rollup_order_hour": f"""SELECT create_date, create_hour, sum(total_amount::DECIMAL(18,2))::DOUBLE AS amount,
               count(*) AS orders FROM (SELECT u.*, lpad((id::BIGINT % 24)::VARCHAR, 2, '0') AS create_hour FROM ({_UPSERTED}) u)
             GROUP BY create_date, create_hour""",
+        "stream_first_launch_late": f"WITH {_START} SELECT DISTINCT mid, log_date FROM start_log",
+        "stream_counters": f"""WITH {_START}, cut AS (
+              SELECT *, (ts - min(ts) OVER ()) // ((max(ts) OVER () - min(ts) OVER ()) // {SLICES} + 1) AS batch FROM start_log)
+            SELECT 'rows' AS counter, batch::BIGINT AS batch, count(*) AS n FROM cut GROUP BY batch
+            UNION ALL SELECT 'rejected', batch::BIGINT, 0 FROM cut GROUP BY batch
+            UNION ALL SELECT 'kept', batch::BIGINT, count(*) FROM (
+              SELECT mid, log_date, min(batch) AS batch FROM cut GROUP BY mid, log_date) GROUP BY batch""",
         "stream_first_days": f"WITH {_START} SELECT mid, min(log_date) AS first_day FROM start_log GROUP BY mid",
         "stream_change_feed": f"""WITH {_ORDER}
             SELECT id, user_id, total_amount, create_date FROM order_row WHERE {inserted}""",

@@ -126,9 +126,9 @@ class KeyedTable:
 
     # -- writing -----------------------------------------------------------
 
-    def apply(self, rows: DataFrame, batch_id: int, since: str | int | None = None) -> None:
-        """Insert `rows`, one per key, and replace rows of the same keys. They are read up to
-        three times: persist them if they are dear.
+    def apply(self, rows: DataFrame, batch_id: int, since: str | int | None = None) -> int:
+        """Insert `rows`, one per key, and replace rows of the same keys; returns their number.
+        They are read up to three times: persist them if they are dear.
 
         Rows whose `ranged` column is below `since` are of no more use: runs of such rows
         only are let go, and merges leave them out. A batch that is repeated starts from the
@@ -138,11 +138,12 @@ class KeyedTable:
         if since is not None:
             rows = rows.filter(F.col(self.ranged) >= since)
             runs = [r for r in runs if r.high >= since]
-        n = rows.count()
-        if n:
-            runs = self._merged(spark, runs, rows, n, batch_id, since)
+        inserted = rows.count()
+        if inserted:
+            runs = self._merged(spark, runs, rows, inserted, batch_id, since)
         files.write_text(spark, self._manifest(batch_id), json.dumps([asdict(r) for r in runs]))
         self._forget(spark, batch_id)
+        return inserted
 
     def _merged(self, spark: SparkSession, runs: list[Run], rows: DataFrame, n: int, batch_id: int,
                 since: str | int | None = None) -> list[Run]:

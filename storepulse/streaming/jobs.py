@@ -18,6 +18,7 @@ from storepulse.operators import changefeed, decode, first_launch, routing
 from storepulse.sources import files, tables
 from storepulse.sources.keyed import KeyedTable
 from storepulse.streaming import sinks, upkeep
+from storepulse.streaming.counters import Counters
 from storepulse.streaming.sinks import BatchSink
 
 
@@ -136,19 +137,28 @@ def first_launches(messages: DataFrame, path: str, checkpoint: str | None = None
                    **run) -> StreamingQuery:
     """One launch per device and day, whichever arrives first, by streaming state.
 
-    Launches later than `delay` behind the newest day are dropped by the watermark and
-    counted in the progress report; `first_launches_exact` drops none and is the job to
-    take where that matters. Unreadable lines go to `_quarantine` by a query of their own.
+    Launches later than `delay` behind the newest are dropped by the watermark and counted in
+    the progress report. A query of its own, which also sets unreadable lines aside, keeps
+    all launches that the watermark may drop in `_late` (`upkeep.LateLaunches`);
+    `upkeep.launches` reads the table with them.
     `state_partitions` fixes the number of state stores at the first start of the stream.
     """
     spark = messages.sparkSession
     where = _checkpoint(path, checkpoint)
     decoded = decode.decode_startup(messages)
-    rejects = sinks.start(decoded.filter(F.col("_error").isNotNull()),
-                          lambda rows, batch_id: sinks.write_quarantine(rows, batch_id, f"{path}/_quarantine"),
-                          f"{where}_quarantine", once=run.get("once", False))
+    late = upkeep.LateLaunches(f"{path}/_late", delay)
+
+    def set_aside(rows: DataFrame, batch_id: int) -> None:
+        rows.persist()
+        try:
+            sinks.write_quarantine(rows, batch_id, f"{path}/_quarantine")
+            late.apply(decode.accepted(rows), batch_id)
+        finally:
+            rows.unpersist()
+
+    aside = sinks.start(decoded, set_aside, f"{where}_quarantine", once=run.get("once", False))
     if run.get("once"):
-        rejects.awaitTermination()
+        aside.awaitTermination()
     first = first_launch.dedup_stream(decode.accepted(_counted(decoded, "startups")), delay, salts)
     kept = first.observe("first_launches", F.count("*").alias("rows"))
     with _shuffle_partitions(spark, state_partitions):
@@ -171,15 +181,16 @@ def _shuffle_partitions(spark: SparkSession, number: int | None):
 
 def first_launches_exact(messages: DataFrame, path: str, checkpoint: str | None = None,
                          order: tuple[str, ...] = ("ts",), extra: tuple[str, ...] = (),
-                         first_days: bool = False, **run) -> StreamingQuery:
+                         first_days: bool = False, counters: Counters | None = None,
+                         **run) -> StreamingQuery:
     """The earliest launch of the first batch that holds a device on a day.
 
     A batch is first reduced to one row per device and day and then compared with the devices
     seen before, a keyed table in `_seen`: Bloom filters tell which of its rows may be
     there, and only their buckets are opened. What a batch reads does not grow with the
     number of batches before it. With `first_days` the job also keeps every device's first
-    day, in `_first_days` (`upkeep.FirstDays`). `extra` names payload fields to keep as
-    text, for `order`.
+    day, in `_first_days` (`upkeep.FirstDays`), and `counters` are told the rows kept of each
+    batch. `extra` names payload fields to keep as text, for `order`.
     """
     decoded = _counted(decode.decode_startup(messages, extra=extra), "startups")
     columns = [*schemas.FIRST_LAUNCH_COLUMNS, *extra]
@@ -197,13 +208,19 @@ def first_launches_exact(messages: DataFrame, path: str, checkpoint: str | None
             sinks.write_batch(new, batch_id, path, "log_date")
             if first_days:
                 upkeep.FirstDays(f"{path}/_first_days").apply(new, batch_id)
-            seen.apply(new, batch_id)
+            kept = seen.apply(new, batch_id)
             new.unpersist()
+            if counters:
+                counters.note(batch_id, kept=kept)
         finally:
             first.unpersist()
             batch.unpersist()
 
-    return sinks.start(decoded, handle, _checkpoint(path, checkpoint), **run)
+    listener = counters.listen(messages.sparkSession) if counters else None
+    query = sinks.start(decoded, handle, _checkpoint(path, checkpoint), **run)
+    if listener:
+        listener.bind(query)
+    return query
 
 
 def _seed(spark: SparkSession, seen: KeyedTable, path: str, batch_id: int) -> None:

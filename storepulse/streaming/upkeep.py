@@ -7,6 +7,7 @@ repeated batch gives the same state.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storepulse import schemas
+from storepulse.operators import first_launch
+from storepulse.sources import files, tables
 from storepulse.sources.keyed import KeyedTable
 
 _CENTS = T.DecimalType(38, 2)
@@ -57,6 +60,56 @@ class FirstDays:
         return self.table.read(spark, low=day, high=day)
 
 
+@dataclass(frozen=True)
+class LateLaunches:
+    """The first launch of every device and day among those that come late.
+
+    A launch is late if it lies more than `delay` behind the newest of its own or an earlier
+    batch. A watermark of that delay over the same source drops none but these, wherever its
+    batches are cut: what it has seen before a row comes before the row here too."""
+
+    path: str
+    delay: str
+
+    @property
+    def table(self) -> KeyedTable:
+        return KeyedTable(f"{self.path}/launches", schemas.FIRST_LAUNCH_TABLE, ("mid", "log_date"),
+                          ranged="log_date", disjoint=True, filtered=True)
+
+    def apply(self, launches: DataFrame, batch_id: int) -> None:
+        spark = launches.sparkSession
+        newest = launches.agg(F.max("ts")).first()[0]
+        before = self._newest(spark, batch_id)
+        newest = before if newest is None else newest if before is None else max(newest, before)
+        if newest is not None:
+            limit = spark.sql(f"SELECT unix_millis(timestamp_millis({newest}) - INTERVAL '{self.delay}')").first()[0]
+            late = first_launch.first_per_key(
+                launches.filter(F.col("ts") <= limit).select(*schemas.FIRST_LAUNCH_COLUMNS)).persist()
+            known = self.table.lookup(late.select(*self.table.key), batch_id)
+            new = first_launch.unseen(late, known).persist()
+            self.table.apply(new, batch_id)
+            new.unpersist()
+            late.unpersist()
+        files.write_text(spark, f"{self.path}/newest/{batch_id:012d}", json.dumps(newest))
+        for name in files.names(spark, f"{self.path}/newest")[:-self.table.keep]:
+            files.delete(spark, f"{self.path}/newest/{name}")
+
+    def _newest(self, spark: SparkSession, batch_id: int) -> int | None:
+        """The newest time as of the batch before, None before the first."""
+        names = [n for n in files.names(spark, f"{self.path}/newest") if n.isdigit() and int(n) < batch_id]
+        return json.loads(files.read_text(spark, f"{self.path}/newest/{names[-1]}")) if names else None
+
+
+def launches(spark: SparkSession, path: str, low: str | None = None, high: str | None = None) -> DataFrame:
+    """What `jobs.first_launches` wrote, with the late launches whose device and day the
+    watermark let through no other; of the days `low` to `high` if given."""
+    kept = tables.read_table(spark, path, schemas.FIRST_LAUNCH_TABLE).drop("batch_id")
+    if low is not None:
+        kept = kept.filter(F.col("log_date").between(low, high))
+    late = LateLaunches(f"{path}/_late", "").table.read(spark, low=low, high=high)
+    return kept.unionByName(first_launch.unseen(late, kept))
+
+
 @dataclass(frozen=True)
 class Orders:
     """The newest row of every order, and the number and amount of orders per hour.

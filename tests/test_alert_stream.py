@@ -88,10 +88,10 @@ def test_waiting_keeps_windows_open_for_stragglers(spark, tmp_path, put):
 
 
 def test_old_panes_go_and_what_is_listed_stays_the_same(spark, tmp_path):
-    """Fifty batches as the job hands them to its ring, each with an event of its own pane."""
+    """Batches as the job hands them to its ring, each with an event of its own pane."""
     job = CouponAlertJob(str(tmp_path / "job"), keep_s=120)
     opened, runs, panes = [], [], []
-    for n in range(50):
+    for n in range(24):
         pane = T0 // 5000 + 6 * n
         facts = spark.range(1).select(F.lit("b").alias("mid"), F.lit(pane).cast("long").alias("pane"),
                                       *[F.lit("x").alias(c) for c in ("evid", "uid", "itemid")], F.lit(1).cast("long").alias("n"))

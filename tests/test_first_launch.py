@@ -3,7 +3,8 @@ import pytest
 from storepulse import schemas
 from storepulse.operators import first_launch
 from storepulse.sources import tables, topics
-from storepulse.streaming import jobs
+from storepulse.streaming import jobs, upkeep
+from storepulse.streaming.counters import Counters
 
 DAY = 86_400_000
 NOON = 1705320000000  # 2024-01-15 12:00
@@ -89,3 +90,31 @@ def test_exact_stream_repeats_a_batch_after_a_crash(spark, tmp_path, put, monkey
         lost.unlink()
     _run(spark, tmp_path, jobs.first_launches_exact)
     assert _stored(spark, tmp_path) == before == [("a", "2024-01-15", NOON), ("b", "2024-01-15", NOON + 2)]
+
+
+def test_no_late_launch_is_lost(spark, tmp_path, put):
+    """Launches two days late, before and after a restart, and once more after a lost commit."""
+    held = lambda: sorted((r.mid, r.log_date) for r in upkeep.launches(spark, str(tmp_path / "table")).collect())
+    put(tmp_path / "topics", "startup", _start("a", NOON + 2 * DAY), _start("early", NOON))
+    _run(spark, tmp_path, jobs.first_launches)
+    put(tmp_path / "topics", "startup", _start("b", NOON), _start("b", NOON + 9), _start("a", NOON), _start("a", NOON + 2 * DAY))
+    query = _run(spark, tmp_path, jobs.first_launches)
+    assert sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"]) >= 2
+    put(tmp_path / "topics", "startup", _start("b", NOON + 5), _start("c", NOON), "{broken")
+    _run(spark, tmp_path, jobs.first_launches)
+    want = [("a", "2024-01-15"), ("a", "2024-01-17"), ("b", "2024-01-15"), ("c", "2024-01-15"), ("early", "2024-01-15")]
+    assert held() == want
+    for lost in (tmp_path / "table" / "_checkpoint_quarantine" / "commits").glob("*[12]*"):
+        lost.unlink()
+    _run(spark, tmp_path, jobs.first_launches)
+    assert held() == want
+    assert [r.mid for r in upkeep.launches(spark, str(tmp_path / "table"), "2024-01-17", "2024-01-17").collect()] == ["a"]
+
+
+def test_counts_of_every_batch_are_stored(spark, tmp_path, put):
+    counters = Counters(str(tmp_path / "counters"))
+    for lines in ((_start("a", NOON), _start("a", NOON + 1), "{broken"), (_start("a", NOON + 2), _start("b", NOON))):
+        put(tmp_path / "topics", "startup", *lines)
+        counters.wait(_run(spark, tmp_path, jobs.first_launches_exact, counters=counters))
+    found = sorted((r.batch, r.counter, r.n) for r in counters.read(spark).collect())
+    assert found == [(0, "kept", 1), (0, "rejected", 1), (0, "rows", 3), (1, "kept", 1), (1, "rejected", 0), (1, "rows", 2)]
