@@ -48,27 +48,32 @@ def _tile(queries: pa.Table, shard: pa.Table, k: int, scale: float) -> pd.DataFr
     have = _quantised(shard["embedding"].combine_chunks(), scale)
     ids = np.asarray(shard["vec_id"])
     q_ids = np.asarray(queries["vec_id"])
+    s_times, q_times = (np.minimum(np.asarray(t["times"]), k) for t in (shard, queries))
     for dim, (at, wanted) in _quantised(queries["embedding"].combine_chunks(), scale).items():
         if dim not in have:
             continue
         rows, matrix = have[dim]
         names = ids[rows]
         order = np.argsort(names, kind="stable")  # equal scores: smaller id first
-        names, matrix = names[order], matrix[order]
+        names, matrix, times = names[order], matrix[order], s_times[rows][order]
         scores = products(wanted, matrix)
         own = q_ids[at]
+        own_from, own_to = np.searchsorted(names, own, "left"), np.searchsorted(names, own, "right")
         for i in range(len(at)):
             line = scores[i]
-            if len(line) > k + 1:  # one more than k, for the query's own row
-                least = np.partition(line, len(line) - k - 1)[len(line) - k - 1]
+            others = np.delete(np.arange(len(line)), np.s_[own_from[i]:own_to[i]]) if own_to[i] > own_from[i] else None
+            line = line if others is None else line[others]
+            if len(line) > k:
+                least = np.partition(line, len(line) - k)[len(line) - k]
                 picked = np.flatnonzero(line > least)
-                ties = np.flatnonzero(line == least)[: k + 1]
+                ties = np.flatnonzero(line == least)[:k]
                 picked = np.sort(np.concatenate([picked, ties]))
             else:
                 picked = np.arange(len(line))
-            picked = picked[names[picked] != own[i]]
             picked = picked[np.argsort(-line[picked], kind="stable")][:k]
-            found.append(pd.DataFrame({"query_id": own[i], "vec_id": names[picked], "score": line[picked]}))
+            rows = picked if others is None else others[picked]
+            found.append(pd.DataFrame({"query_id": own[i], "vec_id": names[rows], "score": scores[i][rows],
+                                       "times": np.minimum(q_times[at[i]] * times[rows], k)}))
     return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
 
 
@@ -80,37 +85,42 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: float = 256
     Both frames have vec_id and embedding; other columns are ignored. Components become
     floor(scale * x). Vectors that are null or hold a null or non-finite component, and
     rows without an id, take no part; vectors of different length are never compared.
-    A query's own id is no candidate. Rows that repeat an id count once, with the
-    smallest vector. Fewer than k candidates give fewer rows, none gives none.
+    A query's own id is no candidate. Rows that repeat an id are candidates of their own, so
+    an id may appear several times; queries that repeat an id share one list, in which
+    each of them meets every candidate. Fewer than k candidates give fewer rows, none gives none.
 
     Vectors are dealt by id over shards of about `shard_rows`, queries over blocks of
     about `block_rows`. Each block meets each shard once, in a tile of bounded size that
     keeps k rows per query; the lists are merged within `fan` shards, then across.
     """
-    def unique(frame):
-        whole = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-        return (frame.filter("vec_id IS NOT NULL").filter(whole)
-                .groupBy(F.col("vec_id").cast("long").alias("vec_id"))
-                .agg(F.min(F.transform("embedding", lambda x: x.cast("double"))).alias("embedding")))
+    def whole(frame):
+        """Usable rows; equal rows are one row with their number, so none fills a shard."""
+        usable = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+        return (frame.filter("vec_id IS NOT NULL").filter(usable)
+                .groupBy(F.col("vec_id").cast("long").alias("vec_id"),
+                         F.transform("embedding", lambda x: x.cast("double")).alias("embedding"))
+                .agg(F.count("*").alias("times")))
 
     n_shards = max(1, -(-vectors.count() // shard_rows))
     n_blocks = max(1, -(-queries.count() // block_rows))
-    shards = unique(vectors).withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(n_shards)).cast("int"))
+    shards = whole(vectors).withColumn("shard", F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(n_shards)).cast("int"))
     shards = shards.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    blocks = unique(queries).withColumn(
-        "block", F.pmod(F.xxhash64(F.col("vec_id"), F.lit(7)), F.lit(n_blocks)).cast("int"))
+    blocks = whole(queries).withColumn(
+        "block", F.pmod(F.xxhash64("vec_id", "embedding", F.lit(7)), F.lit(n_blocks)).cast("int"))
     blocks = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))))
 
     def tile(key, left: pa.Table, right: pa.Table) -> pa.Table:
         found = _tile(left, right, k, scale) if left.num_rows and right.num_rows else None
         if found is None or found.empty:
             return pa.table({n: pa.array([], t) for n, t in
-                             (("shard", pa.int32()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64()))})
+                             (("shard", pa.int32()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64()),
+                              ("times", pa.int64()))})
         return pa.table({"shard": pa.array(np.full(len(found), key[1].as_py()), pa.int32()),
-                         **{c: pa.array(found[c].to_numpy(), pa.int64()) for c in ("query_id", "vec_id", "score")}})
+                         **{c: pa.array(found[c].to_numpy(), pa.int64()) for c in ("query_id", "vec_id", "score", "times")}})
 
     lists = blocks.groupBy("block", "shard").cogroup(shards.groupBy("block", "shard")).applyInArrow(
-        tile, "shard int, query_id long, vec_id long, score long")
+        tile, "shard int, query_id long, vec_id long, score long, times long")
+    lists = lists.withColumn("times", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).drop("times")
 
     def best(frame, *keys):
         place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("score"), "vec_id"))

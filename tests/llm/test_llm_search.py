@@ -12,16 +12,11 @@ def brute(rows, queries, k):
     def usable(v):
         return v is not None and all(x is not None and math.isfinite(x) for x in v)
 
-    whole = {}
-    for i, v in rows:
-        if i is not None and usable(v):
-            q = [math.floor(256 * x) for x in v]
-            whole[i] = min(whole.get(i, q), q)
+    whole = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and usable(v)]
     found = []
-    for i, v in sorted(whole.items()):
-        if i not in queries:
-            continue
-        scored = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in whole.items() if j != i and len(w) == len(v))
+    for i in sorted({i for i, _ in whole if i in queries}):
+        scored = sorted((-sum(a * b for a, b in zip(v, w)), j) for q, v in whole if q == i
+                        for j, w in whole if j != i and len(w) == len(v))
         found += [(i, r, j, -s) for r, (s, j) in enumerate(scored[:k], 1)]
     return found
 
@@ -41,6 +36,14 @@ def test_equals_brute_force(spark, k, shard, block):
     assert sorted(map(tuple, found.collect())) == brute(ROWS, {i for i, _ in ROWS if i is not None and i % 50 == 0}, k)
 
 
+def test_every_row_but_the_querys_own_is_a_candidate(spark):
+    rows = spark.createDataFrame([(0, [1.0]), (1, [1.0]), (1, [5.0]), (2, [2.0]), (0, [9.0])] + [(3, [4.0])] * 9,
+                                 "vec_id long, embedding array<float>").repartition(3)
+    found = topk.top_k(rows, rows.filter("vec_id = 0").filter("embedding[0] = 1"), k=4)
+    assert [tuple(r) for r in found.orderBy("rank").collect()] == [
+        (0, 1, 1, 327680), (0, 2, 3, 262144), (0, 3, 3, 262144), (0, 4, 3, 262144)]
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert topk.top_k(none, none).count() == 0
