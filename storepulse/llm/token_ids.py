@@ -10,9 +10,14 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from collections.abc import Iterable
+from itertools import compress
+from operator import not_
 
 _CUT = re.compile(r"(?<=\S)(?= \S)")
+#: White space other than single spaces and line breaks between words.
+_UNEVEN = re.compile(r"\A[ \n]|[ \n](?:[ \n]|\Z)|[^\S \n]")
 #: Marks that after a letter start a piece of their own; an apostrophe may belong to the word.
 _CLOSING = ".,!?;:\"#$%&()*+-/<=>@[\\]^_`{|}~"
 
@@ -20,20 +25,21 @@ _CLOSING = ".,!?;:\"#$%&()*+-/<=>@[\\]^_`{|}~"
 class WordEncoder:
     """Ids of texts as little-endian unsigned 32-bit bytes.
 
-    `words` bounds the words that are remembered; beyond it the memory starts afresh,
-    which costs time and changes no result.
+    `memory` bounds the bytes that remembered words take, however long they are; beyond it
+    the half that was learned first is forgotten, which costs time and changes no result.
     """
 
-    def __init__(self, path: str, words: int = 1_600_000):
+    def __init__(self, path: str, memory: int = 400_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self._words, self._known, self._tails = words, {}, {}
+        self._memory, self._held, self._known, self._tails = memory, 0, {}, {}
 
     def _plain(self, pieces: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch(pieces, add_special_tokens=False)
-        return [b"".join(i.to_bytes(4, "little") for i in e.ids) for e in found]
+        ids = [e.ids for e in found]
+        return [struct.pack(f"<{len(i)}I", *i) for i in ids]
 
     def _learn(self, chunks: Iterable[str]) -> None:
         """A chunk follows a space that is not written in it, or begins with the line break
@@ -54,33 +60,49 @@ class WordEncoder:
         for chunk, base, tail in split:
             if tail:
                 known[chunk] = known[base] + self._tails[tail]
+        self._held += sum(map(self._size, names, map(known.__getitem__, names)))
+        self._held += sum(self._size(c, known[c]) for c, _, tail in split if tail)
+
+    @staticmethod
+    def _size(word: str, ids: bytes) -> int:
+        """About what a word and its ids take: two objects, their place in the table, their content."""
+        return 190 + 2 * len(word) + len(ids)
+
+    def _forget(self) -> None:
+        known = self._known
+        oldest = iter(list(known))
+        while self._held > self._memory // 2:
+            word = next(oldest, None)
+            if word is None:
+                break
+            self._held -= self._size(word, known.pop(word)) if word else 0
+        self._tails = {}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Null counts as empty."""
-        if len(self._known) > self._words:
-            self._known, self._tails = {}, {}
-        split, new = [], set()
+        if self._held > self._memory:
+            self._forget()
+        known, found, new = self._known, [], set()
+        known[""] = b""
         for text in texts:
-            text = text or ""
-            if text and text.replace("\n", " ").split(" ") == text.split():
+            if text and not _UNEVEN.search(text):
                 # As if a line break came before the text: its one id is taken off again.
                 chunks = ("\n" + text).replace("\n", " \n").split(" ")
-                new.update(chunks)
-                split.append(chunks)
+                ids = list(map(known.get, chunks))
+                if None in ids:
+                    new.update(compress(chunks, map(not_, ids)))
+                found.append((chunks, ids))
             else:
-                split.append(None)
-        new.difference_update(self._known, [""])
+                found.append((None, [] if not text else self._plain(_CUT.split(text))))
+        new.discard("")
         if new:
             self._learn(new)
-        known, out = self._known, []
-        known[""] = b""
-        for text, chunks in zip(texts, split):
-            if chunks:
-                out.append(b"".join(map(known.__getitem__, chunks))[4:])
-            elif not text:
-                out.append(b"")
-            else:
-                out.append(b"".join(self._plain(_CUT.split(text))))
+        out = []
+        for chunks, ids in found:
+            if chunks and None in ids:
+                for place in compress(range(len(ids)), map(not_, ids)):
+                    ids[place] = known[chunks[place]]
+            out.append(b"".join(ids)[4:] if chunks else b"".join(ids))
         return out
 
 

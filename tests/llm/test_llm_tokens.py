@@ -150,3 +150,21 @@ def test_empty_tables(spark):
     assert simple8b.read_token_files(spark, simple8b.write_token_files(none, path)).count() == 0
     assert packing.pack_documents(none, path).count() == 0
     assert bpe.encode_documents(none, vocabularies.path("byte_bpe_50k.tiktoken"), vocabularies.PATTERN).count() == 0
+
+
+def test_word_memory_is_bounded_in_bytes():
+    import random
+
+    from tokenizers import Tokenizer
+
+    from storepulse.llm.token_ids import WordEncoder
+    path = vocabularies.path("byte_bpe_50k.json")
+    plain, small = Tokenizer.from_file(path), WordEncoder(path, memory=40_000)
+    rng = random.Random(2)
+    for _ in range(30):
+        texts = [" ".join("".join(rng.choices("abcdé.,'\n", k=rng.randrange(1, 200))) for _ in range(9)) for _ in range(12)]
+        texts += ["a  b", " a", "a ", "a\n\nb", "a\tb", None, "", "\n", "x" * 5000]
+        want = [b"".join(i.to_bytes(4, "little") for i in plain.encode(t or "", add_special_tokens=False).ids) for t in texts]
+        assert small.encode(texts) == want
+    small.encode(["end"])
+    assert small._held <= 40_000 + 500 and small._held == sum(small._size(w, i) for w, i in small._known.items() if w)
