@@ -106,12 +106,14 @@ def pack_pieces(docs: list[tuple], capacity: int) -> Iterator[tuple]:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = 2048,
-                   id_col: str = "doc_id", text_col: str = "text", group_docs: int = 8192) -> DataFrame:
+                   id_col: str = "doc_id", text_col: str = "text", group_docs: int = 8192,
+                   group_bytes: int = 64 << 20) -> DataFrame:
     """One row per piece: `doc_id`, `start`, `length`, `ids` (little-endian unsigned 32 bits),
     `doc_tokens`, `sequence_id`, `offset`.
 
     Every document is encoded and ended with `end_id`. Each partition is packed by itself,
-    `group_docs` documents at a time, so nothing is shuffled and memory stays bounded; an
+    `group_docs` documents at a time, or fewer once their ids take `group_bytes`, so nothing
+    is shuffled and memory is bounded by that and one batch of texts; an
     id lies in exactly one piece, a sequence holds at most `capacity` ids and has no gaps.
     Null and empty texts give one piece, the end id. Rows that repeat an id are packed
     each; null ids stay null; other columns are not read; no documents, no pieces.
@@ -122,6 +124,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: i
         from pyspark import TaskContext
         base, tokens, end = TaskContext.get().partitionId() << 40, encoder(tokenizer), end_id.to_bytes(4, "little")
         held: list[tuple] = []
+        weight = 0
 
         def flush():
             nonlocal base
@@ -142,9 +145,12 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: i
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                held += zip(part.column(0).to_pylist(), (b + end for b in tokens.encode(part.column(1).to_pylist())))
-                if len(held) >= group_docs:
-                    yield from flush()
+                for name, ids in zip(part.column(0).to_pylist(), tokens.encode(part.column(1).to_pylist())):
+                    held.append((name, ids + end))
+                    weight += len(ids)
+                    if len(held) >= group_docs or weight >= group_bytes:
+                        yield from flush()
+                        weight = 0
         if held:
             yield from flush()
 

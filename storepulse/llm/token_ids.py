@@ -37,7 +37,7 @@ class WordEncoder:
         self._memory, self._held, self._known, self._tails = memory, 0, {}, {}
 
     def _plain(self, pieces: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch(pieces, add_special_tokens=False)
+        found = self._tokenizer.encode_batch_fast(pieces, add_special_tokens=False)  # ids only, no offsets
         ids = [e.ids for e in found]
         return [struct.pack(f"<{len(i)}I", *i) for i in ids]
 

@@ -168,3 +168,22 @@ def test_word_memory_is_bounded_in_bytes():
         assert small.encode(texts) == want
     small.encode(["end"])
     assert small._held <= 40_000 + 500 and small._held == sum(small._size(w, i) for w, i in small._known.items() if w)
+
+
+def test_packing_is_bounded_in_bytes_too(spark):
+    rows = [(i, "word " * (300 * (i % 7)) + "end") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    path = vocabularies.path("byte_bpe_50k.json")
+    sizes = []
+    for bound in (1 << 20, 5_000):
+        found = packing.pack_documents(docs, path, capacity=256, group_bytes=bound).collect()
+        ids = defaultdict(bytes)
+        for r in sorted(found, key=lambda r: (r.doc_id, r.start)):
+            assert r.start * 4 == len(ids[r.doc_id])
+            ids[r.doc_id] += bytes(r.ids)
+        total = defaultdict(int)
+        for r in found:
+            total[r.sequence_id] += r.length
+        assert all(n <= 256 for n in total.values()) and all(len(ids[r.doc_id]) == 4 * r.doc_tokens for r in found)
+        sizes.append(dict(ids))
+    assert sizes[0] == sizes[1] and len(sizes[0]) == 40
