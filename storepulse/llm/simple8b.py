@@ -125,7 +125,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col:
                 "words": encode_words(ids).astype("<u8").tobytes()}], schema=BLOCK)
 
         end, held = end_id.to_bytes(4, "little"), 0
-        tokens = encoder(tokenizer)
+        tokens = encoder(tokenizer, memory=240_000_000)  # beside the sorted texts, so less than by default
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)

@@ -106,11 +106,12 @@ class WordEncoder:
         return out
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[tuple, WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
-    """One encoder per Python worker, kept for its later tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, **bounds: int) -> WordEncoder:
+    """One encoder per Python worker, file and bound, kept for its later tasks."""
+    key = (path, *sorted(bounds.items()))
+    if key not in _ENCODERS:
+        _ENCODERS[key] = WordEncoder(path, **bounds)
+    return _ENCODERS[key]
