@@ -13,6 +13,7 @@ from storepulse.functions import times
 from storepulse.operators import alerts, changefeed, decode, first_launch, routing
 from storepulse.operators.sliding import AlertRule
 from storepulse.plans import metrics, regions, sale_detail
+from storepulse.plans.detail_store import DetailStore
 from storepulse.session import default_work_root, work_folder
 from storepulse.sources import bindings, changes, replay, tables, topics
 from storepulse.streaming import jobs, sinks, upkeep
@@ -31,6 +32,7 @@ ORDER_DAY, ORDER_DAY_BEFORE = "1997-01-15", "1997-01-14"
 EMPTY_DAY = "2035-06-01"
 FIRST_DAY = "1970-01-01"
 KEYWORD = "bo"
+ITEM = "bolt"
 SLICES = 3
 STATE_PARTITIONS = 16
 BROAD, LIVE = AlertRule(window_s=3600, slide_s=300), AlertRule()
@@ -484,6 +486,29 @@ def sale_detail_facets(spark, sf):
     return sale_detail.facets(_found(spark, sf, None))
 
 
+def _detail_store(spark, sf):
+    """All details of the tables, in a store of their own."""
+    details = bindings.sale_details(*(_table(spark, sf, t) for t in ("lineitem", "orders", "customer", "part")))
+    store = DetailStore(work_folder(spark, "details"), details.schema)
+    store.load(details)
+    return store
+
+
+def stored_detail_keyword(spark, sf):
+    return _detail_store(spark, sf).search(spark, ORDER_DAY, ITEM.upper())
+
+
+def stored_detail_total(spark, sf):
+    """Hits of a long keyword, of one letter, and of none, from counts alone."""
+    store = _detail_store(spark, sf)
+    return store.total(spark, ORDER_DAY, ITEM).union(store.total(spark, ORDER_DAY, ITEM[:1])).union(
+        store.total(spark, ORDER_DAY))
+
+
+def stored_detail_page(spark, sf):
+    return _detail_store(spark, sf).page(spark, ORDER_DAY, offset=5, size=10)
+
+
 def region_sales(spark, sf):
     return regions.region_sales(_table(spark, sf, "orders"), _table(spark, sf, "customer"),
                                 _table(spark, sf, "nation"), unit=1e6)
@@ -502,7 +527,7 @@ QUERIES = [
     stream_orders_upsert, stream_first_launch_late, stream_counters, stream_first_days, keyed_orders, rollup_order_hour, stream_change_feed,
     stream_route_logs, stream_alerts,
     sale_detail_page, sale_detail_next_page, sale_detail_keyword, sale_detail_total, sale_detail_facets,
-    sale_detail_json, region_sales, startup_quarantine, change_quarantine,
+    sale_detail_json, stored_detail_keyword, stored_detail_total, stored_detail_page, region_sales, startup_quarantine, change_quarantine,
 ]
 
 
@@ -776,6 +801,14 @@ def _sql() -> dict[str, str]:
               UNION ALL SELECT 'gender', user_gender FROM detail)
             SELECT facet, value, n, n::DOUBLE / sum(n) OVER (PARTITION BY facet) AS share FROM (
               SELECT facet, value, count(*) AS n FROM member GROUP BY facet, value)""",
+        "stored_detail_keyword":
+            f"WITH {_DETAIL} SELECT * FROM detail WHERE contains(lower(sku_name), '{ITEM}')",
+        "stored_detail_total": f"""WITH {_DETAIL}
+            SELECT count(*) AS total FROM detail WHERE contains(lower(sku_name), '{ITEM}')
+            UNION ALL SELECT count(*) FROM detail WHERE contains(lower(sku_name), '{ITEM[:1]}')
+            UNION ALL SELECT count(*) FROM detail""",
+        "stored_detail_page":
+            f"WITH {_DETAIL} SELECT * FROM detail ORDER BY order_detail_id LIMIT 10 OFFSET 5",
         "region_sales": """SELECT region, amount,
               CASE WHEN amount < 0 THEN 0 WHEN amount / 1e6 >= 600 THEN 7
                    ELSE floor(amount / 1e6 / 100) + 1 END::BIGINT AS band

@@ -51,8 +51,9 @@ def facets(found: DataFrame) -> DataFrame:
     return counts.withColumn("share", share)
 
 
-def result_json(found: DataFrame, offset: int, size: int) -> DataFrame:
+def result_json(found: DataFrame, offset: int, size: int, rows: DataFrame | None = None) -> DataFrame:
     """The page with its total and both facets as one JSON object; the page bounds its length.
+    `rows`: the page, if a store has found it already.
 
     One pass over the rows counts every (age group, gender); total and facets are added up
     from those few counts. A second pass takes the page. A facet without rows has no options.
@@ -72,7 +73,7 @@ def result_json(found: DataFrame, offset: int, size: int) -> DataFrame:
     stat = F.array(*[F.struct(F.lit(by).alias("facet"), options(by).alias("options")) for by in ("age", "gender")])
     head = listed.select("total", stat.alias("stat"), F.lit(None).cast("string").alias("_row"))
     row = F.struct("order_detail_id", *[c for c in found.columns if c != "order_detail_id"])
-    rows = page(found, offset, size).select(row.alias("_row"))
+    rows = (page(found, offset, size) if rows is None else rows).select(row.alias("_row"))
     detail = rows.agg(F.sort_array(F.collect_list("_row")).alias("detail"))
     one = head.drop("_row").unionByName(detail, allowMissingColumns=True)
     merged = one.agg(F.first("total", True).alias("total"), F.first("stat", True).alias("stat"),
