@@ -142,6 +142,16 @@ def test_bpe_forgets_without_harm():
     words = bpe.WordCodec(vocabularies.path("byte_bpe_50k.tiktoken"), vocabularies.PATTERN, chunk=3, remembered=2)
     first = words.encode([t for _, t in TEXTS])
     assert words.encode([t for _, t in TEXTS]) == first
+    assert [words.encode([t])[0] for _, t in TEXTS] == first
+
+
+def test_bpe_parts_are_bounded_in_rows_and_bytes():
+    import pyarrow as pa
+    texts = ["a" * n if n else None for n in (0, 5, 9, 30, 1, 1, 1, 1, 0)]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(len(texts))), "text": pa.array(texts, pa.string())})
+    parts = [p.column(1).to_pylist() for p in bpe._parts(batch, rows=3, size=10)]
+    assert [t for p in parts for t in p] == texts and list(map(len, parts)) == [2, 1, 1, 3, 2]
+    assert list(bpe._parts(batch.slice(0, 0))) == []
 
 
 def test_empty_tables(spark):
