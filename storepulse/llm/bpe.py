@@ -39,11 +39,11 @@ WITH RECURSIVE state(word, pos, id) USING KEY (word, pos) AS (
     SELECT word, pos, id FROM letters ANTI JOIN encoded USING (word) WHERE NOT long
     UNION ALL
     (WITH near AS (
-        SELECT word, pos, id, lead(id) OVER o AS next_id, lead(pos) OVER o AS next_pos
-        FROM state WHERE id >= 0 WINDOW o AS (PARTITION BY word ORDER BY pos)),
+        SELECT word, pos, id, lead(id) OVER o AS next_id, lead(pos) OVER o AS next_pos, lead(word) OVER o AS next_word
+        FROM state WHERE id >= 0 WINDOW o AS (ORDER BY word, pos)),
     best AS (
         SELECT n.word, min((m.merged::BIGINT * {reach} + n.pos) * {reach} + n.next_pos) AS best
-        FROM near n JOIN merges m ON m.a = n.id AND m.b = n.next_id GROUP BY n.word)
+        FROM near n JOIN merges m ON m.a = n.id AND m.b = n.next_id WHERE n.word = n.next_word GROUP BY n.word)
     SELECT s.word, s.pos, CASE s.pos WHEN best // {reach} % {reach} THEN (best // ({reach} * {reach}))::INTEGER
                                      WHEN best % {reach} THEN -1 ELSE s.id END
     FROM state s JOIN best USING (word) WHERE s.id >= 0))
