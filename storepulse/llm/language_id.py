@@ -59,14 +59,16 @@ class ByteConvNet:
         e = np.exp(scores - scores.max(axis=1, keepdims=True))
         return e / e.sum(axis=1, keepdims=True)
 
-    def fit(self, rows: np.ndarray, labels: np.ndarray, steps: int = 520, batch: int = 128, rate: float = 0.004,
+    def fit(self, rows: np.ndarray, labels: np.ndarray, epochs: int = 6, least_steps: int = 520, batch: int = 128, rate: float = 0.004,
             seed: int = 0) -> "ByteConvNet":
-        """Adam on the cross-entropy, over the rows again and again until `steps` batches are
-        done; `labels` are indexes into `self.labels`."""
+        """Adam on the cross-entropy, `epochs` times over all rows; few rows are gone over again
+        until `least_steps` batches are done. `labels` are indexes into `self.labels`."""
         rng = np.random.default_rng(seed)
         parameters = self._parameters()
         first, second, step = [np.zeros_like(p) for p in parameters], [np.zeros_like(p) for p in parameters], 0
-        while len(rows) and step < steps:
+        epoch = 0
+        while len(rows) and (epoch < epochs or step < least_steps):
+            epoch += 1
             order = rng.permutation(len(rows))
             for at in range(0, len(order), batch):
                 own = order[at:at + batch]

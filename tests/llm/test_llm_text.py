@@ -4,6 +4,7 @@ import re
 import zlib
 
 import public_tokenizers as vocabularies
+import numpy as np
 import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
@@ -49,10 +50,38 @@ def test_trained_gradient_lowers_the_loss():
     texts = [bytes(rng.choice(b"abcd" if i % 2 else b"cdef") for _ in range(60)) for i in range(200)]
     windows, owner = language_id.cut_windows(texts)
     labels = (owner % 2).astype(int)
-    model = language_id.ByteConvNet(["x", "y"]).fit(windows, labels, steps=200, batch=20, rate=0.01)
+    model = language_id.ByteConvNet(["x", "y"]).fit(windows, labels, least_steps=200, batch=20, rate=0.01)
     assert (model.predict(windows, model.tables()).argmax(axis=1) == labels).mean() > 0.95
 
 
+def test_predictions_equal_a_plain_convolution():
+    """Filters laid over every place of a window one by one, without tables of byte pairs."""
+    rng = np.random.default_rng(3)
+    windows = rng.integers(0, 256, (40, language_id.WINDOW)).astype(np.uint8)
+    model = language_id.ByteConvNet(["x", "y", "z"], seed=5).fit(windows, np.arange(40) % 3, epochs=3, least_steps=0, batch=8)
+    expected = []
+    for window in windows:
+        seen = model.embed[window].astype(float)
+        hidden = []
+        for w, kernel, bias in zip(language_id.WIDTHS, model.filters, model.bias):
+            for f in range(language_id.FILTERS):
+                replies = [(seen[i:i + w] * kernel[:, :, f]).sum() for i in range(len(window) - w + 1)]
+                hidden.append(max(0.0, max(replies) + bias[f]))
+        scores = np.exp(np.array(hidden) @ model.out + model.out_bias)
+        expected.append(scores / scores.sum())
+    assert np.allclose(model.predict(windows, model.tables()), expected, atol=1e-4)
+
+
+def test_every_row_is_used_in_every_epoch(monkeypatch):
+    used = []
+    gradient = language_id.ByteConvNet._gradient
+    monkeypatch.setattr(language_id.ByteConvNet, "_gradient",
+                        lambda self, rows, labels: used.extend(labels.tolist()) or gradient(self, rows, labels))
+    windows = np.random.default_rng(0).integers(0, 256, (70, language_id.WINDOW)).astype(np.uint8)
+    language_id.ByteConvNet([str(i) for i in range(70)]).fit(windows, np.arange(70), epochs=2, least_steps=0, batch=32)
+    assert sorted(used) == sorted([*range(70)] * 2)
+
+
 def base_spans(text):
     """The patterns of the base as they are written, one after the other."""
     found = []
