@@ -16,17 +16,32 @@ from itertools import compress
 from operator import not_
 
 _CUT = re.compile(r"(?<=\S)(?= \S)")
-#: White space other than single spaces and line breaks between words.
-_UNEVEN = re.compile(r"\A[ \n]|[ \n](?:[ \n]|\Z)|[^\S \n]")
+#: White space other than spaces and line breaks, of which each may stand between two words.
+_ODD = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+_TWO = ("  ", " \n", "\n ", "\n\n")
 #: Marks that after a letter start a piece of their own; an apostrophe may belong to the word.
 _CLOSING = ".,!?;:\"#$%&()*+-/<=>@[\\]^_`{|}~"
 
 
+def _even(text: str) -> bool:
+    """Whether all white space is single spaces and line breaks between words."""
+    if text[0] in " \n" or text[-1] in " \n":
+        return False
+    for found in _TWO:
+        if found in text:
+            return False
+    for found in _ODD:
+        if found in text:
+            return False
+    return True
+
+
 class WordEncoder:
     """Ids of texts as little-endian unsigned 32-bit bytes.
 
-    `memory` bounds the bytes that remembered words take, however long they are; beyond it
-    the half that was learned first is forgotten, which costs time and changes no result.
+    `memory` bounds the bytes that remembered words take, however long they are. Half of it
+    holds the words used of late; when that is full they become the older ones, and the older
+    ones that were not used meanwhile are forgotten, which costs time and changes no result.
     """
 
     def __init__(self, path: str, memory: int = 400_000_000):
@@ -34,7 +49,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self._memory, self._held, self._known, self._tails = memory, 0, {}, {}
+        self._memory, self._held, self._known, self._older, self._tails = memory, 0, {}, {}, {}
 
     def _plain(self, pieces: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(pieces, add_special_tokens=False)  # ids only, no offsets
@@ -53,7 +68,7 @@ class WordEncoder:
                 base = chunk
             if base not in known:
                 bases[base] = None
-        names = list(bases)
+        names = list(self._recall(bases))
         known.update(zip(names, self._plain([b if b[0] == "\n" else " " + b for b in names])))
         tails = list({t for _, _, t in split if t} - self._tails.keys())
         self._tails.update(zip(tails, self._plain(tails)))
@@ -68,38 +83,39 @@ class WordEncoder:
         """About what a word and its ids take: two objects, their place in the table, their content."""
         return 190 + 2 * len(word) + len(ids)
 
-    def _forget(self) -> None:
-        known = self._known
-        oldest = iter(list(known))
-        while self._held > self._memory // 2:
-            word = next(oldest, None)
-            if word is None:
-                break
-            self._held -= self._size(word, known.pop(word)) if word else 0
-        self._tails = {}
+    def _recall(self, words: Iterable[str]) -> set[str]:
+        """Take words over from the older ones; those that are not among them."""
+        older, known, new = self._older, self._known, set()
+        for word in words:
+            ids = older.get(word)
+            if ids is None:
+                new.add(word)
+            else:
+                known[word] = ids
+                self._held += self._size(word, ids)
+        return new
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Null counts as empty."""
-        if self._held > self._memory:
-            self._forget()
+        if self._held > self._memory // 2:
+            self._older, self._known, self._tails, self._held = self._known, {}, {}, 0
         known, found, new = self._known, [], set()
-        known[""] = b""
         for text in texts:
-            if text and not _UNEVEN.search(text):
+            if text and _even(text):
                 # As if a line break came before the text: its one id is taken off again.
-                chunks = ("\n" + text).replace("\n", " \n").split(" ")
+                chunks = ("\n" + text.replace("\n", " \n")).split(" ")
                 ids = list(map(known.get, chunks))
-                if None in ids:
+                whole = all(ids)
+                if not whole:
                     new.update(compress(chunks, map(not_, ids)))
-                found.append((chunks, ids))
+                found.append((chunks, ids, whole))
             else:
-                found.append((None, [] if not text else self._plain(_CUT.split(text))))
-        new.discard("")
+                found.append((None, [] if not text else self._plain(_CUT.split(text)), True))
         if new:
-            self._learn(new)
+            self._learn(self._recall(new))
         out = []
-        for chunks, ids in found:
-            if chunks and None in ids:
+        for chunks, ids, whole in found:
+            if not whole:
                 for place in compress(range(len(ids)), map(not_, ids)):
                     ids[place] = known[chunks[place]]
             out.append(b"".join(ids)[4:] if chunks else b"".join(ids))

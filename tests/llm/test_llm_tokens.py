@@ -197,3 +197,14 @@ def test_packing_is_bounded_in_bytes_too(spark):
         assert all(n <= 256 for n in total.values()) and all(len(ids[r.doc_id]) == 4 * r.doc_tokens for r in found)
         sizes.append(dict(ids))
     assert sizes[0] == sizes[1] and len(sizes[0]) == 40
+
+
+def test_words_in_use_are_encoded_once():
+    from storepulse.llm.token_ids import WordEncoder
+    tokens, learned = WordEncoder(vocabularies.path("byte_bpe_50k.json"), memory=60_000), []
+    plain = tokens._plain
+    tokens._plain = lambda pieces: learned.extend(pieces) or plain(pieces)
+    for i in range(60):
+        tokens.encode([f"the common words and seven{i} rare{i} new{i} ones{i} odd{i} of{i} them{i}"])
+        assert sum(tokens._size(w, b) for w, b in tokens._older.items()) <= 30_000 + 3_000
+    assert tokens._older and learned.count(" common") == learned.count(" words") == 1
