@@ -22,6 +22,10 @@ from storepulse.streaming.counters import Counters
 from storepulse.streaming.sinks import BatchSink
 
 
+#: Packing the columns of a batch takes longer than decoding it.
+_COMPRESSED = "spark.sql.inMemoryColumnarStorage.compressed"
+
+
 def _counted(decoded: DataFrame, name: str) -> DataFrame:
     """Row counts for the query's progress reports."""
     return decoded.observe(name, F.count("*").alias("rows"),
@@ -119,7 +123,13 @@ def _take_orders(messages: DataFrame, write: BatchSink, path: str, checkpoint: s
     decoded = _counted(decode.decode_order(_with_file(messages), keep=[*place, "_file"]), "orders")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.withColumn("_place", F.monotonically_increasing_id()).persist()
+        # The payload of an order that is accepted is of no more use, and most of a row.
+        batch = batch.withColumns({"_place": F.monotonically_increasing_id(),
+                                   "_raw": F.when(F.col("_error").isNotNull(), F.col("_raw"))})
+        with _setting(batch.sparkSession, _COMPRESSED, "false"):
+            take(batch.persist(), batch_id)
+
+    def take(batch: DataFrame, batch_id: int) -> None:
         try:
             orders = decode.accepted(batch).withColumn("version", version)
             newest = tables.latest_per_key(orders.select(*schemas.ORDER_COLUMNS, "version", "_file", "_place"), "id",
@@ -166,13 +176,16 @@ def first_launches(messages: DataFrame, path: str, checkpoint: str | None = None
                            where, **run)
 
 
-@contextmanager
 def _shuffle_partitions(spark: SparkSession, number: int | None):
     """A query takes its settings when it starts; the session's stay as they were."""
-    key = "spark.sql.shuffle.partitions"
+    return _setting(spark, "spark.sql.shuffle.partitions", str(number) if number else None)
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str | None):
     before = spark.conf.get(key)
-    if number:
-        spark.conf.set(key, str(number))
+    if value:
+        spark.conf.set(key, value)
     try:
         yield
     finally:

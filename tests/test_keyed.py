@@ -178,6 +178,19 @@ def _order(i, amount, hour="03", day="2024-01-02"):
     return {"id": str(i), "total_amount": str(amount), "consignee_tel": "138", "create_time": f"{day} {hour}:00:00"}
 
 
+def test_a_batch_keeps_payloads_of_rejected_orders_only(spark, tmp_path, put, monkeypatch):
+    held, write = [], jobs.sinks.write_quarantine
+    monkeypatch.setattr(jobs.sinks, "write_quarantine", lambda rows, *to: (
+        held.extend(tuple(r) for r in rows.select("id", "_raw", "_error").collect()), write(rows, *to)))
+    put(tmp_path / "topics", "order", _order(1, 1), "{broken", _order(2, "n/a"))
+    jobs.ingest_orders(topics.read_folder(spark, str(tmp_path / "topics"), "order"), str(tmp_path / "table"),
+                       once=True).awaitTermination()
+    assert sorted((i, raw is None, e) for i, raw, e in held if i) == [("1", True, None), ("2", False, "bad_total_amount")]
+    kept = tables.read_table(spark, str(tmp_path / "table" / "_quarantine"), schemas.QUARANTINE_TABLE).collect()
+    assert sorted(r._error for r in kept) == ["bad_json", "bad_total_amount"] and "{broken" in [r._raw for r in kept]
+    assert [r.id for r in tables.read_orders(spark, str(tmp_path / "table")).collect()] == ["1"]
+
+
 def test_hours_equal_a_recount_after_updates_and_repeats(spark, tmp_path, put):
     orders = upkeep.Orders(str(tmp_path / "table"))
 
