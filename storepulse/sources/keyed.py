@@ -26,6 +26,8 @@ from storepulse.sources import files
 
 #: Bits of one page of a run's key filter, and places that a key has in it.
 _PAGE_BITS, _PLACES, _BITS_PER_KEY = 32_768, 2, 16
+#: Filters are asked only for keys that are fewer than the rows stored by this factor.
+_FEW = 32
 
 
 @dataclass(frozen=True)
@@ -111,7 +113,7 @@ class KeyedTable:
                       LOCATION '{self.path}/runs/{run.run}'""")
         return spark.table(self._table(run.run))
 
-    def _write(self, rows: DataFrame, batch_id: int) -> Run:
+    def _write(self, rows: DataFrame, batch_id: int, live: bool = True) -> Run:
         spark, name = rows.sparkSession, f"{batch_id:012d}-{uuid.uuid4().hex[:8]}"
         seen = Observation()
         span = F.col(self.ranged) if self.ranged else F.lit(None).cast("string")
@@ -120,7 +122,7 @@ class KeyedTable:
          .write.bucketBy(self.buckets, self.key[0]).sortBy(*self._sorted_by)
          .option("path", f"{self.path}/runs/{name}").format("parquet").saveAsTable(self._table(name)))
         run = Run(name, seen.get["rows"], seen.get["low"], seen.get["high"])
-        if self.filtered:
+        if live and self.filtered:
             self._write_filter(spark, run)
         return run
 
@@ -145,12 +147,40 @@ class KeyedTable:
         self._forget(spark, batch_id)
         return inserted
 
-    def _merged(self, spark: SparkSession, runs: list[Run], rows: DataFrame, n: int, batch_id: int,
-                since: str | int | None = None) -> list[Run]:
+    def stage(self, rows: DataFrame, batch_id: int) -> Run:
+        """Write `rows`, one per key, as a run that is no part of the table until `settle`.
+
+        They are evaluated once. Read back with `staged` they lie in the table's buckets, so
+        joining them with its rows shuffles nothing."""
+        return self._write(rows, batch_id, live=False)
+
+    def staged(self, spark: SparkSession, run: Run) -> DataFrame:
+        return self._open(spark, run)
+
+    def settle(self, spark: SparkSession, run: Run, batch_id: int) -> None:
+        """Insert a staged run and replace rows of the same keys, as `apply` does with rows."""
+        runs = self.live_runs(spark, before=batch_id) or []
+        if run.rows:
+            if self._stay(runs, run.rows) < len(runs):
+                runs = self._merged(spark, runs, self._open(spark, run), run.rows, batch_id)
+            else:
+                if self.filtered:
+                    self._write_filter(spark, run)
+                runs = [*runs, run]
+        files.write_text(spark, self._manifest(batch_id), json.dumps([asdict(r) for r in runs]))
+        self._forget(spark, batch_id)
+
+    def _stay(self, runs: list[Run], n: int) -> int:
+        """How many of the runs stay as they are when `n` rows come after them."""
         stay = len(runs)
         while stay and (runs[stay - 1].rows + n <= self.small_rows or runs[stay - 1].rows < self.ratio * n):
             stay -= 1
             n += runs[stay].rows
+        return stay
+
+    def _merged(self, spark: SparkSession, runs: list[Run], rows: DataFrame, n: int, batch_id: int,
+                since: str | int | None = None) -> list[Run]:
+        stay = self._stay(runs, n)
         merged = self._newest([*(self._open(spark, r) for r in runs[stay:]), rows])
         if since is not None:
             merged = merged.filter(F.col(self.ranged) >= since)
@@ -223,18 +253,25 @@ class KeyedTable:
                     .join(bits, "page").filter(held).select(*self.key))
         return keys
 
-    def lookup(self, keys: DataFrame, before: int | None = None, literals: int = 1000) -> DataFrame:
+    def lookup(self, keys: DataFrame, before: int | None = None, literals: int = 1000,
+               n: int | None = None) -> DataFrame:
         """The stored rows of `keys` (a row per key), as of the last batch smaller than `before`.
 
         With `filtered`, each run's Bloom filter is asked first: if none may hold a key, nothing
         is opened. If `literals` keys or fewer may be there, they are
-        given to the scan, which opens their buckets only; more are joined."""
+        given to the scan, which opens their buckets only; more are joined.
+
+        `n`: number of keys, if known. Keys that are not few beside the rows stored are joined
+        at once, as asking the filters would shuffle them more often than the join does."""
         spark, key = keys.sparkSession, list(self.key)
         low = high = None
         if self.ranged in self.key:
             low, high = keys.agg(F.min(self.ranged), F.max(self.ranged)).first()
         runs = self._within(self.live_runs(spark, before) or [], low, high)
         wanted = keys.select(*key)
+        if n is not None and n > literals and n * _FEW >= sum(r.rows for r in runs) > 0:
+            return self.read(spark, before, low, high).join(wanted.hint("shuffle_hash"), key, "left_semi").select(
+                *self.schema.names)
         if self.filtered and runs:
             wanted = reduce(DataFrame.unionByName, [self._may_hold(spark, r, wanted) for r in runs])
         first = wanted.select(key[0]).distinct().limit(literals + 1).collect() if runs else []

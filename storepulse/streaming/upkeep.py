@@ -131,27 +131,28 @@ class Orders:
             ("create_date", "create_hour"), ranged="create_date", buckets=4)
 
     def apply(self, orders: DataFrame, batch_id: int) -> None:
-        """Take in the orders of one batch, one row per id."""
-        rows = orders.select(*schemas.ORDER_COLUMNS).persist()
+        """Take in the orders of one batch, one row per id.
+
+        They are written as a run first, so what follows reads of them the columns it needs."""
+        spark = orders.sparkSession
+        run = self.table.stage(orders.select(*schemas.ORDER_COLUMNS), batch_id)
+        rows = self.table.staged(spark, run)
+        before = self.table.lookup(rows.select("id"), batch_id, n=run.rows)
+        change = (_counted(rows, 1).unionByName(_counted(before, -1)).groupBy("create_date", "create_hour")
+                  .agg(F.sum("amount").cast(_CENTS).alias("d_amount"), F.sum("n").alias("d_orders"))
+                  .filter("d_amount <> 0 OR d_orders <> 0").persist())
         try:
-            before = self.table.lookup(rows.select("id"), batch_id)
-            change = (_counted(rows, 1).unionByName(_counted(before, -1)).groupBy("create_date", "create_hour")
-                      .agg(F.sum("amount").cast(_CENTS).alias("d_amount"), F.sum("n").alias("d_orders"))
-                      .filter("d_amount <> 0 OR d_orders <> 0").persist())
-            try:
-                known = self.hours.lookup(change.select("create_date", "create_hour"), batch_id)
-                total = lambda c: F.coalesce(F.col(c), F.lit(0)) + F.col(f"d_{c}")
-                moved = change.join(known, ["create_date", "create_hour"], "left").select(
-                    "create_date", "create_hour", total("amount").cast(_CENTS).alias("amount"),
-                    total("orders").alias("orders"))
-                moved = moved.persist()
-                self.hours.apply(moved, batch_id)
-                moved.unpersist()
-            finally:
-                change.unpersist()
-            self.table.apply(rows, batch_id)
+            known = self.hours.lookup(change.select("create_date", "create_hour"), batch_id)
+            total = lambda c: F.coalesce(F.col(c), F.lit(0)) + F.col(f"d_{c}")
+            moved = change.join(known, ["create_date", "create_hour"], "left").select(
+                "create_date", "create_hour", total("amount").cast(_CENTS).alias("amount"),
+                total("orders").alias("orders"))
+            moved = moved.persist()
+            self.hours.apply(moved, batch_id)
+            moved.unpersist()
         finally:
-            rows.unpersist()
+            change.unpersist()
+        self.table.settle(spark, run, batch_id)
 
     def read(self, spark: SparkSession) -> DataFrame:
         return self.table.read(spark)

@@ -123,6 +123,36 @@ def test_runs_of_other_days_are_not_opened(spark, tmp_path):
     assert day.count() == 10 and len(day.inputFiles()) == 2 and len(seen.read(spark).inputFiles()) == 4
 
 
+@pytest.mark.parametrize("small_rows", [0, 1000])
+def test_a_staged_batch_reads_as_one_that_is_applied(spark, tmp_path, small_rows):
+    table = KeyedTable(str(tmp_path), ROW, ("id",), filtered=True, buckets=3, small_rows=small_rows)
+    batches = [*_batches(5), []]
+    for b, rows in enumerate(batches):
+        run = table.stage(spark.createDataFrame(rows, ROW), b)
+        assert _held(table, spark) == _newest(batches[:b])  # nothing is replaced yet
+        assert sorted(map(tuple, table.staged(spark, run).collect())) == sorted(rows)
+        for again in range(2):  # also when the batch is repeated
+            table.settle(spark, table.stage(spark.createDataFrame(rows, ROW), b) if again else run, b)
+            assert _held(table, spark) == _newest(batches[:b + 1])
+        live = {r.run for r in table.live_runs(spark)}
+        assert live <= set(files.names(spark, f"{tmp_path}/runs")) and live <= set(files.names(spark, f"{tmp_path}/filters"))
+    asked = spark.createDataFrame([(str(k),) for k in range(50, 70)], "id string")
+    found = [r for r in _newest(batches) if int(r[0]) >= 50]
+    assert sorted(map(tuple, table.lookup(asked, literals=3, n=20).collect())) == found
+    assert sorted(map(tuple, table.lookup(asked, n=20).collect())) == found
+
+
+def test_many_keys_are_joined_without_asking_filters(spark, tmp_path):
+    table = KeyedTable(str(tmp_path), ROW, ("id",), filtered=True, buckets=4, small_rows=0)
+    for b, n in enumerate((400, 100)):
+        table.apply(spark.createDataFrame([(str(i), "d", b) for i in range(n)], ROW), b)
+    run = table.stage(spark.createDataFrame([(str(i), "d", 2) for i in range(50, 450)], ROW), 2)
+    found = table.lookup(table.staged(spark, run).select("id"), 2, literals=10, n=run.rows)
+    plan = _plan(found)
+    assert "Exchange" not in plan and "Sort" not in plan and "bits" not in plan
+    assert sorted(map(tuple, found.collect())) == sorted((str(i), "d", int(i < 100)) for i in range(50, 400))
+
+
 # -- what jobs keep ---------------------------------------------------------------------
 
 def _start(mid, ts):
@@ -178,6 +208,26 @@ def _order(i, amount, hour="03", day="2024-01-02"):
     return {"id": str(i), "total_amount": str(amount), "consignee_tel": "138", "create_time": f"{day} {hour}:00:00"}
 
 
+def test_orders_of_a_batch_are_read_once(spark, tmp_path):
+    """Their rows come from a dear plan: it runs for the write of the batch and never again."""
+    path, seen = str(tmp_path / "table"), spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    for b in range(2):
+        rows = spark.createDataFrame([tuple([str(i)] + [None] * (len(schemas.ORDER_TABLE) - 1)) for i in range(30)],
+                                     schemas.ORDER_TABLE).withColumns({
+            "total_amount": F.lit(float(b + 1)), "create_date": F.lit("2024-01-02"), "create_hour": F.lit("03")})
+        upkeep.Orders(path).apply(rows.mapInArrow(count, rows.schema), b)
+        assert seen.value == 30 * (b + 1)
+        assert not spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    assert [(float(r.amount), r.orders) for r in upkeep.Orders(path).per_hour(spark).collect()] == [(60.0, 30)]
+    assert upkeep.Orders(path).read(spark).count() == 30
+
+
 def test_a_batch_keeps_payloads_of_rejected_orders_only(spark, tmp_path, put, monkeypatch):
     held, write = [], jobs.sinks.write_quarantine
     monkeypatch.setattr(jobs.sinks, "write_quarantine", lambda rows, *to: (
