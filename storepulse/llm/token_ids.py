@@ -10,15 +10,19 @@ from __future__ import annotations
 
 import os
 import re
-import struct
+from array import array
 from collections.abc import Iterable
-from itertools import compress
+from itertools import accumulate, chain, compress
 from operator import not_
 
+import numpy as np
+
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 #: White space other than spaces and line breaks, of which each may stand between two words.
 _ODD = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 _TWO = ("  ", " \n", "\n ", "\n\n")
+#: How byte-level tokens write the byte of a space, and the number of words encoded as one line.
+_SPACE, _LINE = "\u0120", 64
 #: Marks that after a letter start a piece of their own; an apostrophe may belong to the word.
 _CLOSING = ".,!?;:\"#$%&()*+-/<=>@[\\]^_`{|}~"
 
@@ -36,6 +40,15 @@ def _even(text: str) -> bool:
     return True
 
 
+def _cut(data: bytes, ends: Iterable[int]) -> list[bytes]:
+    """Parts of a row of 32-bit ids, each up to one of `ends`."""
+    out, begin = [], 0
+    for end in ends:
+        out.append(data[begin:4 * end])
+        begin = 4 * end
+    return out
+
+
 class WordEncoder:
     """Ids of texts as little-endian unsigned 32-bit bytes.
 
@@ -49,51 +62,78 @@ class WordEncoder:
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
+        self._begins = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._begins[[i for token, i in vocabulary.items() if token.startswith(_SPACE)]] = True
         self._memory, self._held, self._known, self._older, self._tails = memory, 0, {}, {}, {}
 
-    def _plain(self, pieces: list[str]) -> list[bytes]:
+    def _each(self, pieces: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(pieces, add_special_tokens=False)  # ids only, no offsets
         ids = [e.ids for e in found]
-        return [struct.pack(f"<{len(i)}I", *i) for i in ids]
+        return _cut(array("I", chain.from_iterable(ids)).tobytes(), accumulate(map(len, ids)))
+
+    def _plain(self, pieces: list[str]) -> list[bytes]:
+        """Ids of words, each with the space before it, encoded as lines of many.
+
+        A space starts a piece, and no piece holds another one, so a word's ids begin where a
+        token begins with a space. Lines that do not show as many beginnings are not trusted."""
+        lines = [pieces[at:at + _LINE] for at in range(0, len(pieces), _LINE)]
+        found = self._tokenizer.encode_batch_fast(list(map("".join, lines)), add_special_tokens=False)
+        out = []
+        for line, e in zip(lines, found):
+            ids = np.array(e.ids, dtype="<u4")
+            begins = np.flatnonzero(self._begins[ids])
+            if len(begins) == len(line) and begins[0] == 0:
+                out += _cut(ids.tobytes(), [*begins[1:].tolist(), len(ids)])
+            else:
+                out += self._each(line)
+        return out
 
     def _learn(self, chunks: Iterable[str]) -> None:
         """A chunk follows a space that is not written in it, or begins with the line break
         it follows. Closing punctuation after a letter is a piece of its own."""
-        known, split, bases = self._known, [], {}
+        known, split, bases, broken = self._known, [], {}, {}
         for chunk in chunks:
-            base = chunk.rstrip(_CLOSING)
-            if base and base[-1].isalpha():
-                split.append((chunk, base, chunk[len(base):]))
-            else:
-                base = chunk
+            base = chunk
+            if chunk[-1] in _CLOSING:
+                base = chunk.rstrip(_CLOSING)
+                if base and base[-1].isalpha():
+                    split.append((chunk, base, chunk[len(base):]))
+                else:
+                    base = chunk
             if base not in known:
-                bases[base] = None
-        names = list(self._recall(bases))
-        known.update(zip(names, self._plain([b if b[0] == "\n" else " " + b for b in names])))
-        tails = list({t for _, _, t in split if t} - self._tails.keys())
-        self._tails.update(zip(tails, self._plain(tails)))
+                (broken if base[0] == "\n" else bases)[base] = None
+        for words, space in ((bases, " "), (broken, "")):
+            names = list(self._recall(words))
+            ids = self._plain([space + w for w in names]) if space else self._each(names)
+            known.update(zip(names, ids))
+            self._hold(names, ids)
+        tails = list({t for _, _, t in split} - self._tails.keys())
+        self._tails.update(zip(tails, self._each(tails)))
         for chunk, base, tail in split:
-            if tail:
-                known[chunk] = known[base] + self._tails[tail]
-        self._held += sum(map(self._size, names, map(known.__getitem__, names)))
-        self._held += sum(self._size(c, known[c]) for c, _, tail in split if tail)
+            known[chunk] = known[base] + self._tails[tail]
+        names = [chunk for chunk, _, _ in split]
+        self._hold(names, list(map(known.__getitem__, names)))
 
     @staticmethod
     def _size(word: str, ids: bytes) -> int:
         """About what a word and its ids take: two objects, their place in the table, their content."""
         return 190 + 2 * len(word) + len(ids)
 
+    def _hold(self, words: list[str], ids: list[bytes]) -> None:
+        """Count the sizes of words that are remembered from now on."""
+        self._held += 190 * len(words) + 2 * sum(map(len, words)) + sum(map(len, ids))
+
     def _recall(self, words: Iterable[str]) -> set[str]:
         """Take words over from the older ones; those that are not among them."""
-        older, known, new = self._older, self._known, set()
-        for word in words:
-            ids = older.get(word)
-            if ids is None:
-                new.add(word)
-            else:
-                known[word] = ids
-                self._held += self._size(word, ids)
-        return new
+        words = set(words)
+        both = list(words & self._older.keys()) if self._older else []
+        if both:
+            ids = list(map(self._older.__getitem__, both))
+            self._known.update(zip(both, ids))
+            self._hold(both, ids)
+            words.difference_update(both)
+        return words
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Null counts as empty."""
@@ -110,7 +150,7 @@ class WordEncoder:
                     new.update(compress(chunks, map(not_, ids)))
                 found.append((chunks, ids, whole))
             else:
-                found.append((None, [] if not text else self._plain(_CUT.split(text)), True))
+                found.append((None, [] if not text else self._each(_CUT.split(text)), True))
         if new:
             self._learn(self._recall(new))
         out = []

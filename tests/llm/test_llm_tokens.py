@@ -208,3 +208,32 @@ def test_words_in_use_are_encoded_once():
         tokens.encode([f"the common words and seven{i} rare{i} new{i} ones{i} odd{i} of{i} them{i}"])
         assert sum(tokens._size(w, b) for w, b in tokens._older.items()) <= 30_000 + 3_000
     assert tokens._older and learned.count(" common") == learned.count(" words") == 1
+
+
+def test_new_words_are_encoded_as_lines():
+    """Far fewer inputs than words reach the tokenizer, and the ids stay those of whole texts."""
+    import random
+
+    from tokenizers import Tokenizer
+
+    from storepulse.llm.token_ids import WordEncoder
+
+    class Watched:
+        def __init__(self, inner):
+            self.inner, self.inputs = inner, 0
+
+        def encode_batch_fast(self, pieces, **kw):
+            self.inputs += len(pieces)
+            return self.inner.encode_batch_fast(pieces, **kw)
+
+    path = vocabularies.path("byte_bpe_50k.json")
+    plain, rng = Tokenizer.from_file(path), random.Random(5)
+    texts = [" ".join("".join(rng.choices("abcdeéĠ¡​'’1٣漢.,(", k=rng.randrange(1, 12))) for _ in range(700)) for _ in range(4)]
+    want = [b"".join(i.to_bytes(4, "little") for i in plain.encode(t, add_special_tokens=False).ids) for t in texts]
+    tokens = WordEncoder(path)
+    tokens._tokenizer = Watched(tokens._tokenizer)
+    assert tokens.encode(texts) == want
+    assert tokens._tokenizer.inputs < 700
+    doubtful = WordEncoder(path)
+    doubtful._begins[:] = True  # as if the beginnings of words could not be told
+    assert doubtful.encode(texts) == want
