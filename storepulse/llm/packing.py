@@ -143,14 +143,12 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: i
             held.clear()
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                for name, ids in zip(part.column(0).to_pylist(), tokens.encode(part.column(1).to_pylist())):
-                    held.append((name, ids + end))
-                    weight += len(ids)
-                    if len(held) >= group_docs or weight >= group_bytes:
-                        yield from flush()
-                        weight = 0
+            for name, ids in zip(batch.column(0).to_pylist(), tokens.stream(batch.column(1))):
+                held.append((name, ids + end))
+                weight += len(ids)
+                if len(held) >= group_docs or weight >= group_bytes:
+                    yield from flush()
+                    weight = 0
         if held:
             yield from flush()
 

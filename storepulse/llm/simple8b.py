@@ -127,15 +127,12 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col:
         end, held = end_id.to_bytes(4, "little"), 0
         tokens = encoder(tokenizer, memory=240_000_000)  # beside the sorted texts, so less than by default
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                names = part.column(0).to_pylist()
-                for name, ids in zip(names, tokens.encode(part.column(1).to_pylist())):
-                    if open_docs and held + len(ids) // 4 + 1 > block_ids:
-                        yield flush()
-                        block, before, held, open_docs = block + 1, before + held, 0, []
-                    open_docs.append((name, ids + end))
-                    held += len(ids) // 4 + 1
+            for name, ids in zip(batch.column(0).to_pylist(), tokens.stream(batch.column(1))):
+                if open_docs and held + len(ids) // 4 + 1 > block_ids:
+                    yield flush()
+                    block, before, held, open_docs = block + 1, before + held, 0, []
+                open_docs.append((name, ids + end))
+                held += len(ids) // 4 + 1
         if open_docs:
             yield flush()
 

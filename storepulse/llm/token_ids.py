@@ -1,9 +1,9 @@
 """Byte-level BPE ids by the `tokenizers` library, each distinct word encoded once per worker.
 
 The tokenizer splits a text before its merges. A single space or line break between two
-characters that are no white space always starts a new piece, and a letter before
-closing punctuation ends one, so a text can be cut there and the ids of its words be
-joined. Texts with any other white space are cut only where that is sure to hold.
+characters that are no white space always starts a new piece, so a text can be cut there
+and the ids of its words be joined. Texts with any other white space are cut only where
+that is sure to hold. Words are split off and told apart in Arrow, many texts at once.
 """
 
 from __future__ import annotations
@@ -11,20 +11,21 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from itertools import accumulate, chain, compress
-from operator import not_
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 #: White space other than spaces and line breaks, of which each may stand between two words.
 _ODD = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 _TWO = ("  ", " \n", "\n ", "\n\n")
-#: How byte-level tokens write the byte of a space, and the number of words encoded as one line.
-_SPACE, _LINE = "\u0120", 64
-#: Marks that after a letter start a piece of their own; an apostrophe may belong to the word.
-_CLOSING = ".,!?;:\"#$%&()*+-/<=>@[\\]^_`{|}~"
+#: How byte-level tokens write the bytes of a space and a line break, and the number of words encoded as one line.
+_BETWEEN, _LINE = ("\u0120", "\u010a"), 64
+#: Bytes of texts whose words are looked up together, and words whose ids are gathered at a time.
+_GROUP, _GATHER = 4 << 20, 1 << 16
 
 
 def _even(text: str) -> bool:
@@ -64,8 +65,8 @@ class WordEncoder:
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
         self._begins = np.zeros(max(vocabulary.values()) + 1, bool)
-        self._begins[[i for token, i in vocabulary.items() if token.startswith(_SPACE)]] = True
-        self._memory, self._held, self._known, self._older, self._tails = memory, 0, {}, {}, {}
+        self._begins[[i for token, i in vocabulary.items() if token.startswith(_BETWEEN)]] = True
+        self._memory, self._held, self._known, self._older = memory, 0, {}, {}
 
     def _each(self, pieces: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(pieces, add_special_tokens=False)  # ids only, no offsets
@@ -73,10 +74,10 @@ class WordEncoder:
         return _cut(array("I", chain.from_iterable(ids)).tobytes(), accumulate(map(len, ids)))
 
     def _plain(self, pieces: list[str]) -> list[bytes]:
-        """Ids of words, each with the space before it, encoded as lines of many.
+        """Ids of words, each with the space or line break before it, encoded as lines of many.
 
-        A space starts a piece, and no piece holds another one, so a word's ids begin where a
-        token begins with a space. Lines that do not show as many beginnings are not trusted."""
+        Both start a piece, and no piece holds another one, so a word's ids begin where a
+        token begins with either. Lines that do not show as many beginnings are not trusted."""
         lines = [pieces[at:at + _LINE] for at in range(0, len(pieces), _LINE)]
         found = self._tokenizer.encode_batch_fast(list(map("".join, lines)), add_special_tokens=False)
         out = []
@@ -89,77 +90,92 @@ class WordEncoder:
                 out += self._each(line)
         return out
 
-    def _learn(self, chunks: Iterable[str]) -> None:
-        """A chunk follows a space that is not written in it, or begins with the line break
-        it follows. Closing punctuation after a letter is a piece of its own."""
-        known, split, bases, broken = self._known, [], {}, {}
-        for chunk in chunks:
-            base = chunk
-            if chunk[-1] in _CLOSING:
-                base = chunk.rstrip(_CLOSING)
-                if base and base[-1].isalpha():
-                    split.append((chunk, base, chunk[len(base):]))
-                else:
-                    base = chunk
-            if base not in known:
-                (broken if base[0] == "\n" else bases)[base] = None
-        for words, space in ((bases, " "), (broken, "")):
-            names = list(self._recall(words))
-            ids = self._plain([space + w for w in names]) if space else self._each(names)
-            known.update(zip(names, ids))
-            self._hold(names, ids)
-        tails = list({t for _, _, t in split} - self._tails.keys())
-        self._tails.update(zip(tails, self._each(tails)))
-        for chunk, base, tail in split:
-            known[chunk] = known[base] + self._tails[tail]
-        names = [chunk for chunk, _, _ in split]
-        self._hold(names, list(map(known.__getitem__, names)))
+    def _learn(self, words: list[str]) -> list[bytes]:
+        """A word follows a space that is not written in it, or begins with the line break it follows."""
+        ids = self._plain([w if w[0] == "\n" else " " + w for w in words])
+        self._keep(words, ids)
+        return ids
 
     @staticmethod
     def _size(word: str, ids: bytes) -> int:
         """About what a word and its ids take: two objects, their place in the table, their content."""
         return 190 + 2 * len(word) + len(ids)
 
-    def _hold(self, words: list[str], ids: list[bytes]) -> None:
-        """Count the sizes of words that are remembered from now on."""
+    def _keep(self, words: list[str], ids: list[bytes]) -> None:
+        """Remember words and count their sizes."""
+        self._known.update(zip(words, ids))
         self._held += 190 * len(words) + 2 * sum(map(len, words)) + sum(map(len, ids))
 
-    def _recall(self, words: Iterable[str]) -> set[str]:
-        """Take words over from the older ones; those that are not among them."""
-        words = set(words)
-        both = list(words & self._older.keys()) if self._older else []
-        if both:
-            ids = list(map(self._older.__getitem__, both))
-            self._known.update(zip(both, ids))
-            self._hold(both, ids)
-            words.difference_update(both)
-        return words
-
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Null counts as empty."""
+        return list(self.stream(pa.array(texts, pa.large_string())))
+
+    def stream(self, texts: pa.Array) -> Iterator[bytes]:
+        """The same for an Arrow column, by groups of about `_GROUP` bytes of texts."""
+        texts, begin = texts.cast(pa.large_string()), 0
+        grown = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy())
+        while begin < len(texts):
+            limit = _GROUP + (grown[begin - 1] if begin else 0)
+            end = max(begin + 1, int(np.searchsorted(grown, limit, "right")))
+            yield from self._group(texts.slice(begin, end - begin))
+            begin = end
+
+    def _group(self, texts: pa.Array) -> list[bytes]:
+        """A word is looked up once however often the texts hold it, and ids are gathered from there."""
         if self._held > self._memory // 2:
-            self._older, self._known, self._tails, self._held = self._known, {}, {}, 0
-        known, found, new = self._known, [], set()
-        for text in texts:
-            if text and _even(text):
-                # As if a line break came before the text: its one id is taken off again.
-                chunks = ("\n" + text.replace("\n", " \n")).split(" ")
-                ids = list(map(known.get, chunks))
-                whole = all(ids)
-                if not whole:
-                    new.update(compress(chunks, map(not_, ids)))
-                found.append((chunks, ids, whole))
-            else:
-                found.append((None, [] if not text else self._each(_CUT.split(text)), True))
-        if new:
-            self._learn(self._recall(new))
-        out = []
-        for chunks, ids, whole in found:
-            if not whole:
-                for place in compress(range(len(ids)), map(not_, ids)):
-                    ids[place] = known[chunks[place]]
-            out.append(b"".join(ids)[4:] if chunks else b"".join(ids))
-        return out
+            self._older, self._known, self._held = self._known, {}, 0
+        rows = texts.to_numpy(zero_copy_only=False).tolist()
+        even = [bool(t) and _even(t) for t in rows]
+        if not any(even):
+            return [self._each_cut(t) for t in rows]
+        if not all(even):
+            texts = texts.filter(pa.array(even))
+        # As if a line break came before the text: its one id is taken off again.
+        first, none = pa.scalar("\n", pa.large_string()), pa.scalar("", pa.large_string())
+        spaced = pc.binary_join_element_wise(first, pc.replace_substring(texts, "\n", " \n"), none)
+        chunks = pc.split_pattern(spaced, " ")
+        begins = chunks.offsets.to_numpy()
+        coded = chunks.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids, ends = self._gathered(self._look_up(words), coded.indices.to_numpy(), begins)
+        parts = iter([ids[a + 1:b].tobytes() for a, b in zip([0, *ends], ends)])
+        return [next(parts) if e else self._each_cut(t) for t, e in zip(rows, even)]
+
+    def _each_cut(self, text: str | None) -> bytes:
+        return b"".join(self._each(_CUT.split(text))) if text else b""
+
+    def _look_up(self, words: list[str]) -> list[bytes]:
+        """Ids of different words; those known from before are taken over, others are learned."""
+        ids = list(map(self._known.get, words))
+        for source in (self._recall, self._learn):
+            places = [p for p, i in enumerate(ids) if i is None]
+            if places:
+                for place, found in zip(places, source([words[p] for p in places])):
+                    ids[place] = found
+        return ids
+
+    def _recall(self, words: list[str]) -> list[bytes | None]:
+        """Take words over from the older ones; None for those that are not among them."""
+        ids = list(map(self._older.get, words))
+        self._keep(*([*compress(part, ids)] for part in (words, ids)))
+        return ids
+
+    @staticmethod
+    def _gathered(found: list[bytes], index: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, list[int]]:
+        """Ids of all words of `index`, numbers in `found`, and where those of every text end;
+        texts lie between `begins`."""
+        flat = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts = np.cumsum(sizes) - sizes
+        upto = np.zeros(len(index) + 1, np.int64)
+        np.cumsum(sizes[index], out=upto[1:])
+        out = np.empty(upto[-1], "<u4")
+        for at in range(0, len(index), _GATHER):
+            some = index[at:at + _GATHER]
+            low, high = upto[at], upto[at + len(some)]
+            shift = starts[some] - upto[at:at + len(some)]
+            out[low:high] = flat[np.repeat(shift, sizes[some]) + np.arange(low, high)]
+        return out, upto[begins[1:]].tolist()
 
 
 _ENCODERS: dict[tuple, WordEncoder] = {}

@@ -237,3 +237,29 @@ def test_new_words_are_encoded_as_lines():
     doubtful = WordEncoder(path)
     doubtful._begins[:] = True  # as if the beginnings of words could not be told
     assert doubtful.encode(texts) == want
+
+
+def test_line_breaks_and_closing_marks_cost_no_inputs(tokenizer, monkeypatch):
+    """Words after line breaks or before marks go into the lines as others do, a word once per group of texts."""
+    import pyarrow as pa
+
+    from storepulse.llm import token_ids
+
+    tokens, inputs = token_ids.WordEncoder(vocabularies.path("byte_bpe_50k.json")), []
+    library = tokens._tokenizer
+
+    class Watched:
+        def encode_batch_fast(self, pieces, **kw):
+            inputs.extend(pieces)
+            return library.encode_batch_fast(pieces, **kw)
+
+    tokens._tokenizer = Watched()
+    texts = ["\n".join(f"word{i}{j}, it's{j}! é{i}." for j in range(64)) for i in range(4)] + [None, "", "a  b"] * 2
+    want = [np.array(tokenizer(t), "<u4").tobytes() for t in texts]
+    assert list(tokens.stream(pa.array(texts))) == want
+    assert len(inputs) <= 3 * 64 * 4 // token_ids._LINE + 3 and "".join(inputs).count(" it's7!") == 1
+    for bound, few in ((1, 5), (3000, 7), (1 << 20, 100)):  # bytes looked up, words gathered at a time
+        monkeypatch.setattr(token_ids, "_GROUP", bound)
+        monkeypatch.setattr(token_ids, "_GATHER", few)
+        again = token_ids.WordEncoder(vocabularies.path("byte_bpe_50k.json"), memory=20_000)
+        assert list(again.stream(pa.array(texts, pa.large_string()).slice(1))) == want[1:] and again.encode(texts) == want
