@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -32,6 +33,18 @@ def build_session(app: str = "storepulse", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str | None):
+    """A setting of the session for a while; none is changed without a value."""
+    before = spark.conf.get(key)
+    if value:
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 #: Where the shared folder is kept if `spark.checkpoint.dir` is not set.
 _ROOT = "storepulse.work.dir"
 

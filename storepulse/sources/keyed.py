@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from storepulse.session import setting
 from storepulse.sources import files
 
 #: Bits of one page of a run's key filter, and places that a key has in it.
@@ -113,12 +114,14 @@ class KeyedTable:
                       LOCATION '{self.path}/runs/{run.run}'""")
         return spark.table(self._table(run.run))
 
-    def _write(self, rows: DataFrame, batch_id: int, live: bool = True) -> Run:
+    def _write(self, rows: DataFrame, batch_id: int, live: bool = True, grouped: bool = False) -> Run:
         spark, name = rows.sparkSession, f"{batch_id:012d}-{uuid.uuid4().hex[:8]}"
+        rows = rows.select(*self.schema.names)
+        if not grouped:
+            rows = rows.repartition(self.buckets, self.key[0])
         seen = Observation()
         span = F.col(self.ranged) if self.ranged else F.lit(None).cast("string")
-        (rows.select(*self.schema.names).repartition(self.buckets, self.key[0])
-         .observe(seen, F.count("*").alias("rows"), F.min(span).alias("low"), F.max(span).alias("high"))
+        (rows.observe(seen, F.count("*").alias("rows"), F.min(span).alias("low"), F.max(span).alias("high"))
          .write.bucketBy(self.buckets, self.key[0]).sortBy(*self._sorted_by)
          .option("path", f"{self.path}/runs/{name}").format("parquet").saveAsTable(self._table(name)))
         run = Run(name, seen.get["rows"], seen.get["low"], seen.get["high"])
@@ -147,12 +150,20 @@ class KeyedTable:
         self._forget(spark, batch_id)
         return inserted
 
-    def stage(self, rows: DataFrame, batch_id: int) -> Run:
+    def stage(self, rows: DataFrame, batch_id: int, grouped: bool = False) -> Run:
         """Write `rows`, one per key, as a run that is no part of the table until `settle`.
 
         They are evaluated once. Read back with `staged` they lie in the table's buckets, so
-        joining them with its rows shuffles nothing."""
-        return self._write(rows, batch_id, live=False)
+        joining them with its rows shuffles nothing.
+
+        `grouped`: the rows come straight from a grouping by the key. Its shuffle deals them to the
+        buckets then, and they are not shuffled a second time."""
+        if not grouped:
+            return self._write(rows, batch_id, live=False)
+        spark = rows.sparkSession
+        with setting(spark, "spark.sql.shuffle.partitions", str(self.buckets)), \
+                setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+            return self._write(rows, batch_id, live=False, grouped=True)
 
     def staged(self, spark: SparkSession, run: Run) -> DataFrame:
         return self._open(spark, run)

@@ -53,10 +53,14 @@ def read_partitions(spark: SparkSession, path: str, schema: T.StructType, column
         return spark.createDataFrame([], full)
 
 
-def latest_per_key(rows: DataFrame, key: str, version: Sequence[str] = ("batch_id",)) -> DataFrame:
-    """The newest row of every key: what a keyed store would hold after all writes."""
-    newest = F.max_by(F.struct(*[c for c in rows.columns if c != key]), F.struct(*version))
-    return rows.groupBy(key).agg(newest.alias("_row")).select(key, "_row.*").select(*rows.columns)
+def latest_per_key(rows: DataFrame, key: str, version: Sequence[str] = ("batch_id",),
+                   columns: Sequence[str] | None = None) -> DataFrame:
+    """The newest row of every key: what a keyed store would hold after all writes.
+
+    `columns`: those to return, all by default; of others only the version is shuffled."""
+    columns = list(columns or rows.columns)
+    newest = F.max_by(F.struct(*[c for c in columns if c != key]), F.struct(*version))
+    return rows.groupBy(key).agg(newest.alias("_row")).select(key, "_row.*").select(*columns)
 
 
 def read_orders(spark: SparkSession, path: str) -> DataFrame:

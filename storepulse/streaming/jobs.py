@@ -6,8 +6,6 @@ otherwise: offsets and results then cannot drift apart.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from storepulse import schemas
 from storepulse.operators import changefeed, decode, first_launch, routing
+from storepulse.session import setting
 from storepulse.sources import files, tables
 from storepulse.sources.keyed import KeyedTable
 from storepulse.streaming import sinks, upkeep
@@ -113,7 +112,10 @@ def upsert_orders(messages: DataFrame, path: str, checkpoint: str | None = None,
     batches the last to arrive replaces the one before, as in a keyed store. The table is
     kept small by merges, and nothing needs to be combined when it is read.
     """
-    return _take_orders(messages, upkeep.Orders(path).apply, path, checkpoint, **run)
+    def write(newest: DataFrame, batch_id: int) -> None:
+        upkeep.Orders(path).apply(newest, batch_id, grouped=True)
+
+    return _take_orders(messages, write, path, checkpoint, **run)
 
 
 def _take_orders(messages: DataFrame, write: BatchSink, path: str, checkpoint: str | None, **run) -> StreamingQuery:
@@ -126,14 +128,14 @@ def _take_orders(messages: DataFrame, write: BatchSink, path: str, checkpoint: s
         # The payload of an order that is accepted is of no more use, and most of a row.
         batch = batch.withColumns({"_place": F.monotonically_increasing_id(),
                                    "_raw": F.when(F.col("_error").isNotNull(), F.col("_raw"))})
-        with _setting(batch.sparkSession, _COMPRESSED, "false"):
+        with setting(batch.sparkSession, _COMPRESSED, "false"):
             take(batch.persist(), batch_id)
 
     def take(batch: DataFrame, batch_id: int) -> None:
         try:
             orders = decode.accepted(batch).withColumn("version", version)
-            newest = tables.latest_per_key(orders.select(*schemas.ORDER_COLUMNS, "version", "_file", "_place"), "id",
-                                           ("version", "_file", "_place")).drop("_file", "_place")
+            newest = tables.latest_per_key(orders, "id", ("version", "_file", "_place"),
+                                           [*schemas.ORDER_COLUMNS, "version"])
             write(newest, batch_id)
             sinks.write_quarantine(batch, batch_id, f"{path}/_quarantine")
         finally:
@@ -178,18 +180,7 @@ def first_launches(messages: DataFrame, path: str, checkpoint: str | None = None
 
 def _shuffle_partitions(spark: SparkSession, number: int | None):
     """A query takes its settings when it starts; the session's stay as they were."""
-    return _setting(spark, "spark.sql.shuffle.partitions", str(number) if number else None)
-
-
-@contextmanager
-def _setting(spark: SparkSession, key: str, value: str | None):
-    before = spark.conf.get(key)
-    if value:
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    return setting(spark, "spark.sql.shuffle.partitions", str(number) if number else None)
 
 
 def first_launches_exact(messages: DataFrame, path: str, checkpoint: str | None = None,

@@ -130,12 +130,13 @@ class Orders:
             *hour.fields, T.StructField("amount", _CENTS), T.StructField("orders", T.LongType())]),
             ("create_date", "create_hour"), ranged="create_date", buckets=4)
 
-    def apply(self, orders: DataFrame, batch_id: int) -> None:
+    def apply(self, orders: DataFrame, batch_id: int, grouped: bool = False) -> None:
         """Take in the orders of one batch, one row per id.
 
-        They are written as a run first, so what follows reads of them the columns it needs."""
+        They are written as a run first, so what follows reads of them the columns it needs.
+        `grouped`: they come straight from a grouping by id (`KeyedTable.stage`)."""
         spark = orders.sparkSession
-        run = self.table.stage(orders.select(*schemas.ORDER_COLUMNS), batch_id)
+        run = self.table.stage(orders.select(*schemas.ORDER_COLUMNS), batch_id, grouped)
         rows = self.table.staged(spark, run)
         before = self.table.lookup(rows.select("id"), batch_id, n=run.rows)
         change = (_counted(rows, 1).unionByName(_counted(before, -1)).groupBy("create_date", "create_hour")

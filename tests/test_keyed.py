@@ -272,3 +272,22 @@ def test_hours_equal_a_recount_after_updates_and_repeats(spark, tmp_path, put):
     run()
     check(want)
     assert [r.orders for r in orders.per_hour(spark, low="2024-01-03", high="2024-01-03").collect()] == [1]
+
+
+def test_a_batch_of_orders_is_shuffled_once(spark, tmp_path, put, monkeypatch):
+    """The shuffle that finds an order's newest message deals the orders to the table's buckets."""
+    kind, dealt = type(spark.range(1)), []
+    deal = kind.repartition
+    monkeypatch.setattr(kind, "repartition", lambda rows, *to: dealt.append(to) or deal(rows, *to))
+    table = upkeep.Orders(str(tmp_path / "table"))
+    for b, amounts in enumerate(([1, 2], [5])):
+        for n in amounts:
+            put(tmp_path / "topics", "order", *[{**_order(i, n), "operate_time": f"2024-01-0{n} 00:00:00"} for i in range(200)])
+        jobs.upsert_orders(topics.read_folder(spark, str(tmp_path / "topics"), "order"), table.path,
+                           once=True).awaitTermination()
+        runs = files.names(spark, f"{table.table.path}/runs")
+        staged = [n for n in runs if n.startswith(f"{b:012d}")]
+        assert [sum(f.endswith(".parquet") for f in files.names(spark, f"{table.table.path}/runs/{n}")) for n in staged] == [16]
+        assert ("id" in [c for to in dealt for c in to]) == bool(b)  # a merge deals rows, a batch by itself does not
+    assert {(r.id, r.total_amount) for r in table.read(spark).collect()} == {(str(i), 5.0) for i in range(200)}
+    assert [(float(r.amount), r.orders) for r in table.per_hour(spark).collect()] == [(1000.0, 200)]
