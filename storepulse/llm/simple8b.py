@@ -45,11 +45,13 @@ def encode_words(ids: np.ndarray) -> np.ndarray:
             widest[count] = np.maximum(part[: max(0, n - count + 1)], part[count - half: count - half + max(0, n - count + 1)])
         return widest[count]
 
-    pick = np.zeros(n, np.uint8)  # 0: escape
-    for s in range(len(COUNTS) - 1, 0, -1):
-        fits = window(COUNTS[s]) <= BITS[s] if n >= COUNTS[s] else np.zeros(0, bool)
-        pick[: len(fits)][fits] = s
-    step = np.asarray(COUNTS, np.int64)[pick].tolist()
+    pick = np.full(n, 255, np.uint8)  # the smallest selector that fits; 255: none
+    for s in range(1, len(COUNTS)):
+        if n >= COUNTS[s]:
+            over = np.negative((window(COUNTS[s]) > BITS[s]).view(np.uint8))  # 255 where it does not fit
+            np.minimum(pick[: len(over)], over | np.uint8(s), out=pick[: len(over)])
+    pick[pick == 255] = 0  # escape
+    step = np.asarray(COUNTS, np.uint8)[pick].tobytes()
     at, starts = 0, []
     while at < n:
         starts.append(at)
