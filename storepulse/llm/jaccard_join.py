@@ -6,14 +6,13 @@ at least s + 1 segments hold the same elements in both. The contents of the segm
 the elements of a first, coarse T-occurrence search, done by shuffles: a set passes only
 with its k - s rarest segments (its longest lists are skipped), and sets that meet in one
 of them form a cluster of candidates. Inside a cluster the second search runs on the
-shingles themselves: short lists are heap-merged, long ones probed by bisection.
+shingles themselves: short lists are merged by counting, long ones probed by bisection for the
+sets that can still be similar, or merged as well while there are many of those.
 """
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +22,12 @@ from pyspark.sql import functions as F
 from storepulse.llm.components import components
 from storepulse.llm.scratch import bit_filter, might_be_in, stage
 from storepulse.llm.shingles import mix, shingle_sets
+from storepulse.llm.worker import release
+
+#: Places of lists that are counted at once.
+_SLAB = 1 << 18
+#: Looking up one set in a list takes as long as counting so many.
+_PROBE = 16
 
 
 def set_key(tokens: np.ndarray) -> int:
@@ -79,6 +84,21 @@ def segment_keys(tokens: np.ndarray, bands: Bands) -> Iterator[tuple[np.ndarray,
         yield mix(keys ^ salt), spare
 
 
+def _merge(docs: np.ndarray, since: np.ndarray, to: np.ndarray, n: int) -> np.ndarray:
+    """How often each of the sets 0..n-1 lies in the lists docs[since:to]; a slab of them at a time."""
+    counts = np.zeros(n, np.int64)
+    held = np.cumsum(to - since)
+    at = 0
+    while at < len(since):
+        before = int(held[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(held, before + _SLAB, side="right")))
+        sizes = to[at:end] - since[at:end]
+        rows = np.arange(int(sizes.sum())) + np.repeat(since[at:end] - (held[at:end] - sizes - before), sizes)
+        counts += np.bincount(docs[rows], minlength=n)
+        at = end
+    return counts
+
+
 def divide_skip(sets: list[np.ndarray], groups: np.ndarray, percent: int, both: bool) -> list[tuple[int, int]]:
     """Links that join the sets of a block as all similar pairs do (a spanning forest).
 
@@ -86,60 +106,56 @@ def divide_skip(sets: list[np.ndarray], groups: np.ndarray, percent: int, both:
     Sets are taken by size; each queries the lists of those before it.
     """
     order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
-    sizes = np.array([len(sets[i]) for i in order])
+    sizes = np.array([len(sets[i]) for i in order], np.int64)
+    groups = np.asarray(groups)[order]
     flat = np.concatenate([sets[i] for i in order]) if order else np.zeros(0, np.uint64)
     tokens, token = np.unique(flat, return_inverse=True)
-    owner = np.repeat(np.arange(len(order)), sizes)
-    by_token = np.lexsort((owner, token))
-    docs = owner[by_token]
-    begin = np.searchsorted(token[by_token], np.arange(len(tokens) + 1))
-    postings = token[by_token].astype(np.int64) * len(order) + docs  # every list as one range, sorted
+    del flat
+    by_token = np.argsort(token, kind="stable")  # the sets of a list ascend
+    docs = np.repeat(np.arange(len(order), dtype=np.int32), sizes)[by_token]
+    postings = token[by_token] * len(order) + docs  # every list as one range, sorted
+    place = np.empty(len(by_token), np.int64)  # of a set in the list of each of its tokens
+    place[by_token] = np.arange(len(by_token))
+    del by_token
+    begin = np.searchsorted(postings, np.arange(len(tokens) + 1) * len(order))
     length = np.diff(begin)
     begins = np.concatenate([[0], np.cumsum(sizes)])
-    root = list(range(len(order)))
-
-    def find(i):
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
+    component = np.arange(len(order))
 
     links = []
     for x in range(len(order)):
         n = int(sizes[x])
         needed = -(-percent * n // 100)  # any partner up to this size shares so many
-        own = token[begins[x]:begins[x + 1]]
-        own = own[np.argsort(length[own], kind="stable")]
-        short, long = own[: n - needed + 1], own[n - needed + 1:]
-        smallest = -(-percent * n // 100)
-        low = int(np.searchsorted(sizes[:x], smallest))
-        lists = []
-        for t in short:
-            held = docs[begin[t]:begin[t + 1]]
-            held = held[np.searchsorted(held, low):np.searchsorted(held, x)]
-            if len(held):
-                lists.append(held.tolist())
-        if not lists:
+        own, mine = token[begins[x]:begins[x + 1]], place[begins[x]:begins[x + 1]]
+        rare = np.argsort(length[own], kind="stable")
+        own, mine = own[rare], mine[rare]
+        low = int(np.searchsorted(sizes[:x], needed))
+        if low == x:
             continue
-        counts = {y: sum(1 for _ in same) for y, same in groupby(heapq.merge(*lists))}
-        for y, count in sorted(counts.items(), key=lambda c: -c[1]):
-            if not both and groups[order[x]] == groups[order[y]]:
-                continue
-            if find(x) == find(y):
-                continue
-            least = -(-percent * (n + int(sizes[y])) // (100 + percent))
-            if count + len(long) < least:
-                continue
-            at = 0
-            while at < len(long) and count < least and count + len(long) - at >= least:
-                probe = long[at:at + 64].astype(np.int64) * len(order) + y
-                place = np.searchsorted(postings, probe)
-                place[place == len(postings)] = 0
-                count += int((postings[place] == probe).sum())
-                at += 64
-            if count >= least:
-                root[find(x)] = find(y)
-                links.append((order[x], order[y]))
+        since = np.searchsorted(postings, own * len(order) + low)  # of each list, what lies in low..x-1
+        n_short = n - needed + 1
+        counts = _merge(docs, since[:n_short], mine[:n_short], x)
+        live = np.flatnonzero(counts if both else np.where(groups[:x] == groups[x], 0, counts))
+        least = -(-percent * (n + sizes[:x]) // (100 + percent))
+        at = n_short
+        while len(live := live[counts[live] + (n - at) >= least[live]]):
+            for y in live[counts[live] >= least[live]]:
+                if component[x] != component[y]:
+                    component[component == component[x]] = component[y]
+                    links.append((order[x], order[y]))
+            live = live[component[live] != component[x]]
+            if at >= n or not len(live):
+                break
+            to = min(n, at + 64)
+            if int((mine[at:to] - since[at:to]).sum()) > _PROBE * len(live) * (to - at):
+                for y in np.array_split(live, len(live) * 64 // _SLAB + 1):
+                    probe = own[at:to, None] * len(order) + y
+                    found = np.searchsorted(postings, probe)
+                    found[found == len(postings)] = 0
+                    counts[y] += (postings[found] == probe).sum(axis=0)
+            else:
+                counts += _merge(docs, since[at:to], mine[at:to], x)
+            at = to
     return links
 
 
@@ -158,6 +174,7 @@ def _texts(batches: Iterator[pa.RecordBatch], step: int = 512) -> Iterator[tuple
 def set_table(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`doc_id`, `n_shingles`, `set_key` of every row."""
     def run(batches):
+        release()
         for ids, texts in _texts(batches):
             sets = list(shingle_sets(texts, width))
             yield pa.RecordBatch.from_pydict({
@@ -170,6 +187,7 @@ def set_table(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str
 def _keys(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """(key, set_key) of every segment, `spare` with it."""
     def run(batches):
+        release()
         bands = Bands(percent)
         for _, texts in _texts(batches):
             keys, names, spares = [], [], []
@@ -190,6 +208,7 @@ def _keys(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str)
 
 def _sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
     def run(batches):
+        release()
         for _, texts in _texts(batches):
             sets = [s for s in shingle_sets(texts, width) if len(s)]
             yield pa.RecordBatch.from_pydict({
@@ -236,6 +255,7 @@ def _blocks(members: DataFrame, block_sets: int) -> DataFrame:
 def _search(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, rows = None, []
+        release()
 
         def links():
             if len(rows) < 2:
@@ -304,6 +324,7 @@ def _tagged(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFram
     packed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), whole)
 
     def run(batches):
+        release()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from storepulse.llm.worker import release
+
 UNKNOWN = "und"
 WINDOW = 192
 WIDTHS, FILTERS, EMBEDDING = (2, 3, 4), 8, 8
@@ -167,6 +169,7 @@ def identify(docs: DataFrame, model: ByteConvNet | None, text_col: str = "text")
                         "lang_pred string", "score double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         tables = model.tables() if model else None
         for batch in batches:
             for at in range(0, batch.num_rows, 512):

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from storepulse.llm.worker import release
+
 #: Kinds in the order of listings. The first four are the base; the method adds the others.
 #: `tel` and `pan` are phones and cards that the base patterns run past or into something else.
 KINDS = ("email", "ip", "card", "phone", "url", "account", "tel", "pan", "secret")
@@ -191,6 +193,7 @@ def find_spans(docs: DataFrame, text_col: str = "text", spans_col: str = "pii_sp
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         anchors = automaton()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):

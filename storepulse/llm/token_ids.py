@@ -18,6 +18,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from storepulse.llm.worker import keep
+
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 #: White space other than spaces and line breaks, of which each may stand between two words.
 _ODD = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
@@ -178,12 +180,6 @@ class WordEncoder:
         return out, upto[begins[1:]].tolist()
 
 
-_ENCODERS: dict[tuple, WordEncoder] = {}
-
-
 def encoder(path: str, **bounds: int) -> WordEncoder:
-    """One encoder per Python worker, file and bound, kept for its later tasks."""
-    key = (path, *sorted(bounds.items()))
-    if key not in _ENCODERS:
-        _ENCODERS[key] = WordEncoder(path, **bounds)
-    return _ENCODERS[key]
+    """One encoder per Python worker, kept for its later tasks with the same file and bounds."""
+    return keep((WordEncoder, path, *sorted(bounds.items())), lambda: WordEncoder(path, **bounds))

@@ -1,6 +1,7 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from storepulse.llm import exact_dedup, jaccard_join, shingles
@@ -135,3 +136,42 @@ def test_components(spark):
     found = components(spark.createDataFrame(edges, "a long, b long"))
     roots = {r.node: r.root for r in found.collect()}
     assert roots == {**{i: 0 for i in range(41)}, 100: 0, 200: 200, 201: 200, 202: 200}
+
+
+@pytest.mark.parametrize("probe, slab", [(0, 8), (10**9, 8), (16, 1 << 18)])
+@pytest.mark.parametrize("both", [True, False])
+def test_block_search_by_lists_and_by_probes(monkeypatch, probe, slab, both):
+    """Sets that are near and partly linked, against all pairs."""
+    monkeypatch.setattr(jaccard_join, "_PROBE", probe)
+    monkeypatch.setattr(jaccard_join, "_SLAB", slab)
+    draw = np.random.default_rng(5)
+    sets = [np.sort(draw.choice(260, int(n), replace=False)).astype(np.uint64) for n in draw.integers(1, 260, 40)]
+    sets += [np.sort(draw.choice(s, max(1, int(len(s) * k)), replace=False)) for s in sets for k in (0.8, 0.9)]
+    groups = draw.integers(0, 2, len(sets))
+
+    def joined(pairs):
+        root = list(range(len(sets)))
+        for i, j in pairs:
+            a, b = root[i], root[j]
+            root = [min(a, b) if r in (a, b) else r for r in root]
+        return root
+
+    def near(i, j):
+        same = len(np.intersect1d(sets[i], sets[j]))
+        return 100 * same >= 80 * (len(sets[i]) + len(sets[j]) - same)
+
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if (both or groups[i] != groups[j]) and near(i, j)]
+    found = jaccard_join.divide_skip(sets, groups, 80, both)
+    assert set(map(tuple, map(sorted, found))) <= set(map(tuple, map(sorted, pairs))) and joined(found) == joined(pairs)
+
+
+def test_a_worker_keeps_the_words_of_one_step():
+    import public_tokenizers as vocabularies
+
+    from storepulse.llm import token_ids, worker
+    path = vocabularies.path("byte_bpe_50k.json")
+    first = token_ids.encoder(path)
+    assert token_ids.encoder(path) is first
+    other = token_ids.encoder(path, memory=1000)
+    assert list(worker._KEPT.values()) == [other]
+    assert not list(jaccard_join._search(80)(iter([]))) and not worker._KEPT
