@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import base64
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -20,9 +21,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from storepulse.llm.token_ids import _ODD, _TWO
+from storepulse.llm.worker import keep
+
 #: Memory that a byte of a long word needs in the recursion: token, neighbours, pairs.
 _LONG_BYTES = 600
+#: Between a character that is no white space and a space before another, a piece ends.
 _CUT = re.compile(r"(?<=\S)(?= \S)")
+#: A space or line break that does not stand between two such characters.
+_UNEVEN = re.compile(r"[ \n](?!\S)|(?<!\S)[ \n]")
+#: The signs of ASCII, and a character of each other kind that patterns tell apart.
+_KINDS = [*punctuation, *"aZ7\u00e9\u0301\u4e2d\u0663\u00b2\u2026\u20ac\U0001f600"]
 
 WHOLE = """
 INSERT INTO encoded SELECT w.word, 0 AS pos, v.id FROM words w JOIN vocabulary v ON v.bytes = w.bytes
@@ -111,6 +120,17 @@ FROM encoded t JOIN vocabulary v ON v.id = t.id GROUP BY t.word
 """
 
 
+def _even(text: str) -> bool:
+    """Whether spaces and line breaks all stand between two characters that are no white space."""
+    for found in _ODD:
+        if found in text:
+            return _UNEVEN.search(text) is None
+    for found in _TWO:
+        if found in text:
+            return False
+    return not text or (text[0] not in " \n" and text[-1] not in " \n")
+
+
 class WordCodec:
     """Words to ids and back. What was found is kept up to about `remembered` bytes: when half of
     them are full, what was not used since the last time is let go. DuckDB takes `memory` MB, and
@@ -141,6 +161,9 @@ class WordCodec:
         self._fill("lower", **{k: pa.array([p[i] for p in low], pa.int32()) for i, k in enumerate(("a", "b", "merged"))})
         self._reach = 2 * max(map(len, ranks), default=1)
         self._split, self._chunk, self._remembered = regex.compile(pattern).findall, chunk, remembered
+        # Whether a line break between two characters is a piece, as in most patterns; if not, texts are cut at spaces only.
+        sides = {c: (self._split("x" + c), self._split(c + "x")) for c in _KINDS}
+        self._breaks = all(self._split(f"x{a}\n{b}x") == [*sides[a][0], "\n", *sides[b][1]] for a in sides for b in sides)
         # Words, and stretches of several words; those met lately, and those met before that.
         self._known: dict[str, tuple[bytes, bytes]] = {}
         self._before: dict[str, tuple[bytes, bytes]] = {}
@@ -194,49 +217,81 @@ class WordCodec:
 
     def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
         """(ids as little-endian unsigned 32 bits, bytes decoded from those ids) of each text."""
+        return list(zip(*(c.to_pylist() for c in self.columns(pa.array(texts, pa.large_string())))))
+
+    def columns(self, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """The same as two columns; null counts as empty."""
         if self._held > self._remembered // 2:
             self._before, self._known, self._held = self._known, {}, 0
-        split = []
-        for text in texts:
-            # Between a character that is no white space and a space before another, a piece ends.
-            text = text or ""
-            plain = text.split(" ")
-            if plain == text.split():
-                split.append([plain[0], *(" " + p for p in plain[1:])] if text else [])
-            else:
-                split.append(_CUT.split(text) if text else [])
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        rows = texts.to_numpy(zero_copy_only=False).tolist()
+        even = [_even(t) for t in rows]
+        if all(even):
+            return self._even(texts)
+        cut = [[] if e else _CUT.split(t) for t, e in zip(rows, even)]
+        known = self._look_up({c for cs in cut for c in cs})
+        out = [[b"".join([known[c][i] for c in cs]) for cs in cut] for i in (0, 1)]
+        for i, column in enumerate(self._even(texts.filter(pa.array(even)))):
+            for at, entry in zip([at for at, e in enumerate(even) if e], column.to_pylist()):
+                out[i][at] = entry
+        return pa.array(out[0], pa.large_binary()), pa.array(out[1], pa.large_binary())
+
+    def _even(self, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Texts whose spaces and line breaks all stand between two characters that are no white
+        space: split and told apart in Arrow, looked up once a word, and put together there."""
+        if self._breaks:
+            texts = pc.replace_substring(texts, "\n", " \n ")
+        chunks = pc.split_pattern(texts, " ")
+        begins = chunks.offsets.to_numpy()
+        coded = chunks.flatten().dictionary_encode()
+        words, index = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy().astype(np.int64)
+        bare = np.zeros(len(index) + 1, bool)  # words without a space before them
+        bare[begins[:-1]] = True
+        if self._breaks and "\n" in words:
+            breaks = np.flatnonzero(index == words.index("\n"))
+            bare[breaks] = bare[breaks + 1] = True
+        index += len(words) * bare[:-1]
+        used = np.flatnonzero(np.bincount(index, minlength=2 * len(words)))
+        met = [words[i - len(words)] if i >= len(words) else " " + words[i] for i in used.tolist()]
+        known = self._look_up(met)
+        place = np.empty(2 * len(words), np.int64)
+        place[used] = np.arange(len(used))
+        order = pa.array(place[index])
+
+        def gathered(entries: list[bytes]) -> pa.Array:
+            all_words = pa.array(entries, pa.large_binary()).take(order)
+            ends = np.frombuffer(all_words.buffers()[1], np.int64)[begins]
+            return pa.Array.from_buffers(pa.large_binary(), len(texts),
+                                         [None, pa.py_buffer(ends), all_words.buffers()[2] or pa.py_buffer(b"")])
+
+        return gathered([known[w][0] for w in met]), gathered([known[w][1] for w in met])
+
+    def _look_up(self, stretches: Iterable[str]) -> dict[str, tuple[bytes, bytes]]:
+        """All that is known, with what each of the different `stretches` became."""
         known, before = self._known, self._before
+        known[""] = (b"", b"")
 
-        def missing(stretches):
-            """Those of the distinct `stretches` that are not known; what was known before is again."""
+        def missing(some):
+            """Those of `some` that are not known; what was known before is again."""
             strange = []
-            for c in stretches:
+            for c in some:
                 if c in before:
                     self._keep(c, before[c])
                 else:
                     strange.append(c)
             return strange
 
-        pieces = {c: self._split(c) for c in missing({c for cs in split for c in cs if c not in known})}
+        pieces = {c: self._split(c) for c in missing([c for c in stretches if c not in known])}
         self._learn(missing({w for ws in pieces.values() for w in ws if w not in known}))
         for c, ws in pieces.items():
-            if len(ws) > 1:
+            if ws != [c]:
                 self._keep(c, (b"".join([known[w][0] for w in ws]), b"".join([known[w][1] for w in ws])))
-        out = []
-        for cs in split:
-            found = [known[c] for c in cs]
-            out.append((b"".join([f[0] for f in found]), b"".join([f[1] for f in found])))
-        return out
-
-
-_CODECS: dict[tuple, WordCodec] = {}
+        return known
 
 
 def codec(path: str, pattern: str) -> WordCodec:
     """One codec per Python worker, kept for its later tasks."""
-    if (path, pattern) not in _CODECS:
-        _CODECS[path, pattern] = WordCodec(path, pattern)
-    return _CODECS[path, pattern]
+    return keep((WordCodec, path, pattern), lambda: WordCodec(path, pattern))
 
 
 def _parts(batch: pa.RecordBatch, rows: int = 2048, size: int = 16_000_000) -> Iterator[pa.RecordBatch]:
@@ -265,11 +320,9 @@ def encode_documents(docs: DataFrame, ranks: str, pattern: str, id_col: str = "d
         words = codec(ranks, pattern)
         for batch in batches:
             for part in _parts(batch):
-                found = words.encode(part.column(1).to_pylist())
-                yield pa.RecordBatch.from_pydict({
-                    "doc_id": pa.array(part.column(0).to_pylist(), pa.int64()),
-                    "ids": pa.array([f[0] for f in found], pa.binary()),
-                    "decoded": pa.array([f[1] for f in found], pa.binary())})
+                ids, decoded = words.columns(part.column(1))
+                yield pa.RecordBatch.from_arrays([part.column(0), ids.cast(pa.binary()), decoded.cast(pa.binary())],
+                                                 names=["doc_id", "ids", "decoded"])
 
     return rows.mapInArrow(run, "doc_id long, ids binary, decoded binary")
 

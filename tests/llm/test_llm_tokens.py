@@ -145,6 +145,34 @@ def test_bpe_forgets_without_harm():
     assert [words.encode([t])[0] for _, t in TEXTS] == first
 
 
+#: Line breaks and spaces in every place, beside other white space and signs of every kind.
+BROKEN = ["", None, "one two\nthree, two\nfour.\n'll five", "one\n\ntwo", "\none", "one\n", " one two", "one two ", "a  b\nc",
+          "a \nb", "a\n b", "a\tb\nc d", "a \tb c", "a\u00a0b c\nd", "don't\n's 12\n34 \u00e9\u0301\n\u4e2d\u6587 \U0001f600\n\u20ac5",
+          "a\r\nb", "x\x1c y", "\n", " ", "one", "two one\none two"]
+
+
+def test_bpe_cuts_at_line_breaks():
+    words = bpe.WordCodec(vocabularies.path("byte_bpe_50k.tiktoken"), vocabularies.PATTERN)
+    for texts in (BROKEN, [t for t in BROKEN if t and "  " not in t], BROKEN[:3]):
+        for text, (ids, decoded) in zip(texts, words.encode(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == library().encode_ordinary(text or "") and decoded == (text or "").encode()
+    words = bpe.WordCodec(vocabularies.path("byte_bpe_50k.tiktoken"), vocabularies.PATTERN)
+    words.encode(["seven eight\nnine eight"])
+    assert " eight" in words._known and "nine" in words._known and " eight\nnine" not in words._known
+
+
+def test_bpe_with_signs_that_take_line_breaks():
+    """A pattern in which a line break is no piece of its own."""
+    import tiktoken
+    with open(vocabularies.path("byte_bpe_50k.tiktoken"), "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    pattern = r"[^\r\n\p{L}\p{N}]?\p{L}+|\p{N}{1,3}| ?[^\s\p{L}\p{N}]+[\r\n/]*|\s*[\r\n]+|\s+(?!\S)|\s+"
+    own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    words = bpe.WordCodec(vocabularies.path("byte_bpe_50k.tiktoken"), pattern)
+    texts = [t for t in BROKEN if t] + ["a.\n/b c;\nd", "e).\nf g"]
+    assert [np.frombuffer(f[0], "<u4").tolist() for f in words.encode(texts)] == [own.encode_ordinary(t) for t in texts]
+
+
 def test_bpe_parts_are_bounded_in_rows_and_bytes():
     import pyarrow as pa
     texts = ["a" * n if n else None for n in (0, 5, 9, 30, 1, 1, 1, 1, 0)]
