@@ -31,6 +31,22 @@ def _bit_lengths(ids: np.ndarray) -> np.ndarray:
     return np.array([int(i).bit_length() for i in ids], dtype=np.uint8)
 
 
+def _starts(step: np.ndarray) -> np.ndarray:
+    """Places reached from the first one by steps of `step` ids, at most 60 each; four steps are walked at a time."""
+    n, place = len(step), np.arange(len(step) + 1)
+    one = np.append(step, np.uint8(0))  # no step leads beyond the end
+    two = one + one[place + one]
+    four = two + two[place + two]
+    walk, at, every = four.tobytes(), 0, []
+    while at < n:
+        every.append(at)
+        at += walk[at]
+    first = np.array(every, np.int64)
+    third = first + two[first]
+    starts = np.column_stack((first, first + one[first], third, third + one[third])).ravel()
+    return starts[starts < n]
+
+
 def encode_words(ids: np.ndarray) -> np.ndarray:
     """64-bit words of unsigned ids. Each word takes as many of the next ids as fit."""
     ids = np.ascontiguousarray(ids, dtype=np.uint64)
@@ -51,12 +67,7 @@ def encode_words(ids: np.ndarray) -> np.ndarray:
             over = np.negative((window(COUNTS[s]) > BITS[s]).view(np.uint8))  # 255 where it does not fit
             np.minimum(pick[: len(over)], over | np.uint8(s), out=pick[: len(over)])
     pick[pick == 255] = 0  # escape
-    step = np.asarray(COUNTS, np.uint8)[pick].tobytes()
-    at, starts = 0, []
-    while at < n:
-        starts.append(at)
-        at += step[at]
-    starts = np.asarray(starts, np.int64)
+    starts = _starts(np.asarray(COUNTS, np.uint8)[pick])
     chosen = pick[starts]
     place = np.cumsum(1 + (chosen == 0)) - 1 - (chosen == 0)  # of each selector word
     words = np.zeros(int(len(starts) + (chosen == 0).sum()), np.uint64)

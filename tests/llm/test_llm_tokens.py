@@ -291,3 +291,27 @@ def test_line_breaks_and_closing_marks_cost_no_inputs(tokenizer, monkeypatch):
         monkeypatch.setattr(token_ids, "_GATHER", few)
         again = token_ids.WordEncoder(vocabularies.path("byte_bpe_50k.json"), memory=20_000)
         assert list(again.stream(pa.array(texts, pa.large_string()).slice(1))) == want[1:] and again.encode(texts) == want
+
+
+def test_remembered_words_take_little(tokenizer):
+    """1200 words stay known within 150,000 bytes, and each is found again without being learned."""
+    from storepulse.llm.token_ids import WordEncoder
+    tokens, learned = WordEncoder(vocabularies.path("byte_bpe_50k.json"), memory=300_000), []
+    plain = tokens._plain
+    tokens._plain = lambda pieces: learned.extend(pieces) or plain(pieces)
+    texts = [" ".join(f"word{i}é," for i in range(at, at + 40)) for at in range(0, 1200, 40)] + ["", None, " a  b"]
+    want = [np.array(tokenizer(t), "<u4").tobytes() for t in texts]
+    for _ in range(3):
+        assert [i for t in texts for i in tokens.encode([t])] == want
+    assert tokens.encode(texts) == want and len(learned) == len(set(learned)) == len(tokens._known) == 1200
+
+
+@given(st.lists(st.integers(1, 60), max_size=400))
+@settings(max_examples=100, deadline=None)
+def test_selector_places_are_walked_whole(steps):
+    step = np.minimum(steps, np.arange(len(steps), 0, -1)).astype(np.uint8)
+    at, reached = 0, []
+    while at < len(step):
+        reached.append(at)
+        at += int(step[at])
+    assert simple8b._starts(step).tolist() == reached
